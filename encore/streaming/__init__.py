@@ -1,0 +1 @@
+"""Nothing here: every feature this library covers is a batch computation."""
