@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.temporal import whole_days, within_days
@@ -61,13 +61,10 @@ def label_within(
     )
 
 
-def censor(
-    firsts: DataFrame,
-    events: DataFrame,
-    first: str,
-    ts: str,
-    horizon_days: int,
-) -> DataFrame:
-    """Keep entities whose whole horizon is covered by the observed events."""
-    observed_until = events.agg(F.max(ts)).scalar()
+def censor(firsts: DataFrame, first: str, observed_until: Column, horizon_days: int) -> DataFrame:
+    """Keep entities whose whole horizon lies before the end of the data.
+
+    ``observed_until`` is the time of the last event: a literal or a scalar
+    subquery such as ``events.agg(F.max(ts)).scalar()``.
+    """
     return firsts.where(F.col(first) <= observed_until - F.make_dt_interval(F.lit(horizon_days)))
