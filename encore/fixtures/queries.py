@@ -149,7 +149,7 @@ def data_end(spark: SparkSession, sf: str) -> DataFrame:
 
 def review_median(spark: SparkSession, sf: str) -> DataFrame:
     firsts = preparation.stage(_first_purchase(spark, sf), "first_purchase")
-    median = ordering.exact_quantile(firsts, preparation.REVIEW)
+    median = ordering.exact_quantiles(firsts, [preparation.REVIEW])[preparation.REVIEW]
     counts = firsts.agg(F.count(preparation.REVIEW).alias("known_rows"))
     return tidy(counts.withColumn("median", F.lit(median)))
 

@@ -13,7 +13,7 @@ from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, Vec
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.operators.ordering import exact_quantile
+from encore.operators.ordering import exact_quantiles
 
 # stands for "no value" as a category of its own
 MISSING = "__missing__"
@@ -55,7 +55,7 @@ def numeric_statistics(train: DataFrame, columns: tuple[str, ...]) -> dict[str,
     A column without spread gets deviation 1, so it is only centred.  Fetches
     three numbers per column.
     """
-    medians = {c: exact_quantile(train, c) for c in columns}
+    medians = exact_quantiles(train, list(columns))
     unknown = [c for c, median in medians.items() if median is None]
     if unknown:
         raise ValueError(f"no known training value in {', '.join(unknown)}")

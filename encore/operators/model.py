@@ -26,24 +26,23 @@ def fit(
     ``depth`` (levels of the gradient aggregation) on a very large cluster.
     """
     rows = features_and_label(train, columns)
-    weights = class_weights(rows, columns.label)
-    per_class = {row[columns.label]: row["cnt"] for row in weights.collect()}
-    if set(per_class) != {0, 1}:
-        raise ValueError(f"training labels must be 0 and 1, found {sorted(per_class)}")
+    weights = class_weights(rows, columns.label).collect()
+    by_class = {row[columns.label]: row for row in weights}
+    if set(by_class) != {0, 1}:
+        raise ValueError(f"training labels must be 0 and 1, found {sorted(by_class)}")
+    weight = F.when(F.col(columns.label) == 1, by_class[1]["weight"]).otherwise(by_class[0]["weight"])
     regression = LogisticRegression(
         labelCol=columns.label,
         weightCol="weight",
         maxIter=max_iter,
         tol=tol,
-        regParam=1.0 / (inverse_penalty * sum(per_class.values())),
+        regParam=1.0 / (inverse_penalty * sum(row["cnt"] for row in weights)),
         elasticNetParam=0.0,
         standardization=False,
         aggregationDepth=depth,
     )
     stages = [cleaner(rows, columns), *encoder_stages(columns), assembler(columns), regression]
-    # two rows, one per class
-    weighted = rows.join(F.broadcast(weights.drop("cnt")), columns.label)
-    return Pipeline(stages=stages).fit(weighted)
+    return Pipeline(stages=stages).fit(rows.withColumn("weight", weight))
 
 
 def features_and_label(df: DataFrame, columns: ModelColumns) -> DataFrame:

@@ -7,14 +7,18 @@ one task are one total per partition or bucket.
 
 from __future__ import annotations
 
-from pyspark.ml.feature import QuantileDiscretizer
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.sources.staging import stage
 
-# monotonically_increasing_id() = partition number * 2**33 + row number inside it
-ROWS_PER_PART = 1 << 33
+# monotonically_increasing_id() is the partition number above 33 bits of row number
+PART_BITS = 33
+ROWS_PER_PART = 1 << PART_BITS
+LAST_SLOT = (1 << 63) - 1
 
 
 # --- row positions ---------------------------------------------------------
@@ -31,23 +35,25 @@ def write_in_order(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
+def _part() -> Column:
+    return F.shiftright("_slot", PART_BITS).alias("_part")
+
+
 def _part_starts(placed: DataFrame) -> DataFrame:
-    """Rows per sorted partition and rows before it: one row per partition."""
-    part = F.floor(F.col("_slot") / F.lit(ROWS_PER_PART)).alias("_part")
-    sizes = placed.groupBy(part).agg(F.count("*").alias("_rows"))
-    upto = F.sum("_rows").over(Window.orderBy("_part"))
-    return sizes.withColumn("_start", upto - F.col("_rows"))
+    """Rows ahead of every sorted partition: one row per partition."""
+    sizes = placed.groupBy(_part()).agg(F.count("*").alias("_rows"))
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
 
 
 def global_index(df: DataFrame, order: list[Column]) -> DataFrame:
     """Add ``_index``: every row's 0-based position in the order."""
     placed = write_in_order(df, order)
-    starts = _part_starts(placed).drop("_rows")
-    part = F.floor(F.col("_slot") / F.lit(ROWS_PER_PART))
     # one row per sorted partition, whatever the number of rows
+    starts = F.broadcast(_part_starts(placed))
     return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
+        placed.withColumn("_part", _part())
+        .join(starts, "_part")
         .withColumn("_index", F.col("_start") + F.pmod(F.col("_slot"), F.lit(ROWS_PER_PART)))
         .drop("_part", "_start", "_slot")
     )
@@ -57,18 +63,15 @@ def slot_of_fraction(placed: DataFrame, fraction: float) -> int:
     """The ``_slot`` of row ``int(n * fraction)`` of a table written in order.
 
     Rows with a smaller slot are exactly the first ``int(n * fraction)``.
-    Fetches one number.
+    Fetches the row count of every sorted partition, never rows.
     """
-    starts = _part_starts(placed)
-    n = F.sum("_rows").over(Window.partitionBy())
-    row = F.floor(n * F.lit(float(fraction)))
-    hit = (
-        starts.withColumn("_row", row)
-        .where((F.col("_row") >= F.col("_start")) & (F.col("_row") < F.col("_start") + F.col("_rows")))
-        .select((F.col("_part") * ROWS_PER_PART + F.col("_row") - F.col("_start")).alias("slot"))
-        .first()
-    )
-    return hit["slot"] if hit else (1 << 63) - 1
+    rows = dict(placed.groupBy(_part()).agg(F.count("*")).collect())
+    ahead = int(sum(rows.values()) * fraction)
+    for part in sorted(rows):
+        if ahead < rows[part]:
+            return part * ROWS_PER_PART + ahead
+        ahead -= rows[part]
+    return LAST_SLOT
 
 
 def time_split(df: DataFrame, ts: str, tie: str, fraction: float = 0.8) -> DataFrame:
@@ -99,15 +102,22 @@ def top_fraction(df: DataFrame, score: str, tie: str, fraction: float = 0.10) ->
 # --- quantile buckets ------------------------------------------------------
 
 
-def _bucket_model(df: DataFrame, column: str):
-    """Fit buckets of about equal row counts; equal values share a bucket."""
+def _bucket_model(df: DataFrame, columns: list[str]) -> Bucketizer:
+    """Buckets of about equal row counts; equal values share a bucket.
+
+    One pass over the columns.  There are as many buckets as shuffle partitions,
+    so a bucket shrinks as the session is sized up for more data.
+    """
     buckets = max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    return QuantileDiscretizer(
-        numBuckets=buckets,
-        inputCol=column,
-        outputCol="_bucket",
-        relativeError=1.0 / (2 * buckets),
-    ).fit(df)
+    borders = df.approxQuantile(columns, [i / buckets for i in range(1, buckets)], 0.5 / buckets)
+    return Bucketizer(
+        inputCols=columns,
+        outputCols=[f"_bucket_{c}" for c in columns],
+        splitsArray=[
+            [-math.inf, *(sorted(set(inner) - {-math.inf, math.inf}) or [0.0]), math.inf] for inner in borders
+        ],
+        handleInvalid="keep",
+    )
 
 
 def running_totals(
@@ -119,7 +129,11 @@ def running_totals(
     come from.  Runs one pass over ``fit_on[key]`` to find the bucket borders.
     """
     direction = F.desc if descending else F.asc
-    bucketed = _bucket_model(fit_on.select(key), key).transform(values)
+    bucketed = (
+        _bucket_model(fit_on.select(key), [key])
+        .transform(values)
+        .withColumnRenamed(f"_bucket_{key}", "_bucket")
+    )
     within = (
         Window.partitionBy("_bucket")
         .orderBy(direction(key))
@@ -139,40 +153,76 @@ def running_totals(
     )
 
 
-def exact_quantile(df: DataFrame, column: str, q: float = 0.5) -> float | None:
-    """The exact quantile, interpolated between neighbours; null values are skipped.
+def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5) -> dict[str, float | None]:
+    """The exact quantile of each column, interpolated between neighbours.
 
-    Three passes over one column, none of which shuffles it: bucket borders,
-    rows per bucket, then only the one or two buckets that hold the wanted
-    ranks.  Fetches one row per bucket and the two neighbouring values.
+    Null and NaN are skipped; a column without values gives None.  Three passes
+    for all columns together, none of which shuffles their rows: bucket borders,
+    rows per bucket, then only the buckets that hold the wanted ranks, reduced to
+    distinct values.  Fetches one row per bucket and two values per column.
     """
-    known = df.select(F.col(column).cast("double").alias("_value")).dropna()
-    model = _bucket_model(known, "_value")
-    if len(model.getSplits()) < 3:
-        return None
-    bucketed = model.transform(known)
-    sizes = bucketed.groupBy("_bucket").count().orderBy("_bucket").collect()
-    n = sum(row["count"] for row in sizes)
-    if n == 0:
-        return None
-    position = (n - 1) * q
-    ranks = (int(position), min(int(position) + 1, n - 1))
-    starts, before = {}, 0
-    for row in sizes:
-        if any(before <= rank < before + row["count"] for rank in ranks):
-            starts[row["_bucket"]] = before
-        before += row["count"]
-    start = F.element_at(F.create_map(*[F.lit(x) for pair in starts.items() for x in pair]), F.col("_bucket"))
-    upto = F.sum("_cnt").over(
-        Window.partitionBy("_bucket").orderBy("_value").rowsBetween(Window.unboundedPreceding, 0)
+    values = df.select(
+        *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
+    )
+    bucketed = _bucket_model(values, columns).transform(values)
+    # one struct per column, so that one grouping serves all of them
+    cells = F.explode(
+        F.array(
+            *[
+                F.struct(
+                    F.lit(c).alias("column"),
+                    F.col(f"_bucket_{c}").cast("int").alias("bucket"),
+                    F.col(c).alias("value"),
+                )
+                for c in columns
+            ]
+        )
+    )
+    long = bucketed.select(cells.alias("_cell")).select("_cell.*").where(F.col("value").isNotNull())
+    sizes: dict[str, list[tuple[int, int]]] = {c: [] for c in columns}
+    for row in long.groupBy("column", "bucket").count().collect():
+        sizes[row["column"]].append((row["bucket"], row["count"]))
+
+    wanted, picks = [], {}
+    for column, buckets in sizes.items():
+        n = sum(rows for _, rows in buckets)
+        if n == 0:
+            continue
+        position = (n - 1) * q
+        picks[column] = (int(position), min(int(position) + 1, n - 1), position % 1)
+        ahead = 0
+        for bucket, rows in sorted(buckets):
+            for rank in picks[column][:2]:
+                if ahead <= rank < ahead + rows:
+                    wanted.append((column, bucket, rank, rank - ahead))
+            ahead += rows
+    if not wanted:
+        return dict.fromkeys(columns)
+
+    here = Window.partitionBy("column", "bucket").orderBy("value")
+    upto = F.sum("cnt").over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    in_wanted = F.struct("column", "bucket").isin(
+        *[F.struct(F.lit(c), F.lit(b)) for c, b in {(c, b) for c, b, _, _ in wanted}]
     )
     reached = (
-        bucketed.where(F.col("_bucket").isin(*starts))
-        .groupBy("_bucket", "_value")
-        .agg(F.count("*").alias("_cnt"))
-        .select("_value", (start + upto).alias("_upto"))
+        long.where(in_wanted)
+        .groupBy("column", "bucket", "value")
+        .agg(F.count("*").alias("cnt"))
+        .withColumn("upto", upto)
     )
-    low, high = reached.agg(
-        *[F.min(F.when(F.col("_upto") > rank, F.col("_value"))) for rank in ranks]
+    found = reached.agg(
+        *[
+            F.min(
+                F.when(
+                    (F.col("column") == c) & (F.col("bucket") == b) & (F.col("upto") > local),
+                    F.col("value"),
+                )
+            ).alias(f"{c}:{rank}")
+            for c, b, rank, local in wanted
+        ]
     ).first()
-    return low + (high - low) * (position - ranks[0])
+    quantiles: dict[str, float | None] = dict.fromkeys(columns)
+    for column, (low, high, share) in picks.items():
+        below, above = found[f"{column}:{low}"], found[f"{column}:{high}"]
+        quantiles[column] = below + (above - below) * share
+    return quantiles

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.operators import grain, lifecycle
@@ -28,6 +28,7 @@ def label_name(horizon_days: int) -> str:
 class Prepared:
     """The tables of one preparation run, from fine to coarse."""
 
+    purchase_event: DataFrame
     first_purchase: DataFrame
     imputed: DataFrame
     base_table: DataFrame
@@ -51,15 +52,14 @@ def first_purchase(events: DataFrame, horizon_days: int = 90) -> DataFrame:
 def prepare(raw: dict[str, DataFrame], horizon_days: int = 90) -> Prepared:
     """Build the base table.
 
-    First purchases are read more than once, so they are staged.  The job that
-    writes them also observes the time of the last purchase event, which saves a
-    second run over the joins (a maximum is the same if a task runs twice).  The
-    median covers every first purchase, also those censored afterwards.
+    Purchase events and first purchases are read more than once (the end of the
+    data and the median are facts about the whole table), so both are staged and
+    the joins run once.  The median covers every first purchase, also those
+    censored afterwards.
     """
-    observed = Observation()
-    events = purchase_event(raw).observe(observed, F.max(PURCHASED).cast("string").alias("until"))
+    events = stage(purchase_event(raw), "purchase_event")
     firsts = stage(first_purchase(events, horizon_days), "first_purchase")
-    until = F.lit(observed.get["until"]).cast("timestamp_ntz")
     imputed = impute_median(firsts, REVIEW)
+    until = events.agg(F.max(PURCHASED)).scalar()
     base = lifecycle.censor(imputed, FIRST, until, horizon_days).drop(RANK, SECOND, DAYS)
-    return Prepared(firsts, imputed, base)
+    return Prepared(events, firsts, imputed, base)

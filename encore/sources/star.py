@@ -6,64 +6,63 @@ the raw schemas by fixed rules (see FIXTURES.md).
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+# the columns the views read
+COLUMNS = {
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_linenumber int, l_extendedprice double, "
+    "l_returnflag string",
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+}
 
-def _hours(n: Column | int) -> Column:
-    hours = n if isinstance(n, Column) else F.lit(n)
-    return F.make_dt_interval(F.lit(0), hours.cast("int"), F.lit(0), F.lit(0))
+_WEEK = "cast(trunc(cast(o_orderdate AS date), 'week') AS timestamp_ntz)"
 
 
-def _null_every(n: int, key: Column, value: Column) -> Column:
-    return F.when(key % n != 0, value)
+def _week_plus(hours: str) -> str:
+    return f"{_WEEK} + make_dt_interval(0, cast({hours} AS int))"
 
 
 def star_orders(orders: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    week = F.trunc(F.col("o_orderdate").cast("date"), "week").cast("timestamp_ntz")
-    bought = (key % 3) * 8
-    return orders.select(
-        key.alias("order_id"),
-        _null_every(499, key, key).alias("customer_id"),
-        F.when(F.col("o_orderstatus") == "O", "shipped").otherwise("delivered").alias("order_status"),
-        (week + _hours(bought)).alias("order_purchase_timestamp"),
-        _null_every(97, key, week + _hours(bought + 24 + (key * 37) % 700)).alias(
-            "order_delivered_customer_date"
-        ),
-        _null_every(211, key, week + _hours(360)).alias("order_estimated_delivery_date"),
+    return orders.selectExpr(
+        "o_orderkey AS order_id",
+        "CASE WHEN o_orderkey % 499 != 0 THEN o_orderkey END AS customer_id",
+        "CASE WHEN o_orderstatus = 'O' THEN 'shipped' ELSE 'delivered' END AS order_status",
+        f"{_week_plus('(o_orderkey % 3) * 8')} AS order_purchase_timestamp",
+        f"CASE WHEN o_orderkey % 97 != 0 THEN "
+        f"{_week_plus('(o_orderkey % 3) * 8 + 24 + (o_orderkey * 37) % 700')} END "
+        "AS order_delivered_customer_date",
+        f"CASE WHEN o_orderkey % 211 != 0 THEN {_week_plus('360')} END AS order_estimated_delivery_date",
     )
 
 
 def star_customers(orders: DataFrame, customer: DataFrame, nation: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    home = (F.col("c_nationkey") + key % 2) % 25
-    return (
-        orders.join(customer, F.col("o_custkey") == F.col("c_custkey"))
-        .join(nation, F.col("n_nationkey") == home)
-        .select(
-            key.alias("customer_id"),
-            (F.col("o_custkey") * 10 + (F.year("o_orderdate") - 1995)).alias("customer_unique_id"),
-            _null_every(53, key, F.col("n_name")).alias("customer_state"),
-        )
+    homes = orders.join(customer, orders.o_custkey == customer.c_custkey).selectExpr(
+        "o_orderkey AS customer_id",
+        "o_custkey * 10 + (year(o_orderdate) - 1995) AS customer_unique_id",
+        "(c_nationkey + o_orderkey % 2) % 25 AS home",
+    )
+    return homes.join(nation, homes.home == nation.n_nationkey).selectExpr(
+        "customer_id",
+        "customer_unique_id",
+        "CASE WHEN customer_id % 53 != 0 THEN n_name END AS customer_state",
     )
 
 
 def star_reviews(lineitem: DataFrame) -> DataFrame:
-    order, part = F.col("l_orderkey"), F.col("l_partkey")
-    score = F.lit(1.0) + (part % 400).cast("double") / F.lit(100.0)
-    return lineitem.where((F.col("l_returnflag") == "R") & (order % 4 != 0)).select(
-        (order * 10 + F.col("l_linenumber")).alias("review_id"),
-        order.alias("order_id"),
-        _null_every(41, part, score).alias("review_score"),
+    return lineitem.where("l_returnflag = 'R' AND l_orderkey % 4 != 0").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS review_id",
+        "l_orderkey AS order_id",
+        "CASE WHEN l_partkey % 41 != 0 THEN 1D + cast(l_partkey % 400 AS double) / 100D END AS review_score",
     )
 
 
 def star_items(lineitem: DataFrame) -> DataFrame:
-    return lineitem.select(
-        F.col("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        F.col("l_extendedprice").cast("decimal(12,2)").alias("price"),
+    return lineitem.selectExpr(
+        "l_orderkey AS order_id",
+        "l_linenumber AS order_item_id",
+        "cast(l_extendedprice AS decimal(12,2)) AS price",
     )
 
 
@@ -71,7 +70,7 @@ def star_raw(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     """The four raw tables over a directory of star-schema Parquet files."""
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{directory.rstrip('/')}/{name}.parquet")
+        return spark.read.schema(COLUMNS[name]).parquet(f"{directory.rstrip('/')}/{name}.parquet")
 
     orders, lineitem = table("orders"), table("lineitem")
     return {
