@@ -7,7 +7,7 @@ order and no customer.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.flags import later_than, present
@@ -15,6 +15,9 @@ from encore.functions.temporal import elapsed_days
 
 DELIVERED = "delivered"
 
+# rows of an id and a time that every executor can hold (some 10 MB)
+BROADCAST_ROWS = 100_000
+
 ORDER_COLUMNS = [
     "order_id",
     "customer_unique_id",
@@ -94,20 +97,20 @@ def order_base(raw: dict[str, DataFrame]) -> DataFrame:
     return join_order_facts(orders, raw["reviews"], raw["order_items"])
 
 
+def arrived(orders: DataFrame) -> DataFrame:
+    return orders.where(F.col("order_delivered_customer_date").isNotNull())
+
+
 def order_event(raw: dict[str, DataFrame]) -> DataFrame:
     """One row per order that has arrived, with delivery and review indicators."""
     bought = F.col("order_purchase_timestamp")
-    arrived = F.col("order_delivered_customer_date")
-    return (
-        order_base(raw)
-        .where(arrived.isNotNull())
-        .withColumns(
-            {
-                "delivery_days": elapsed_days(bought, arrived),
-                "late_flag": later_than(arrived, F.col("order_estimated_delivery_date")),
-                "has_review": present(F.col("review_score_mean")),
-            }
-        )
+    delivered = F.col("order_delivered_customer_date")
+    return arrived(order_base(raw)).withColumns(
+        {
+            "delivery_days": elapsed_days(bought, delivered),
+            "late_flag": later_than(delivered, F.col("order_estimated_delivery_date")),
+            "has_review": present(F.col("review_score_mean")),
+        }
     )
 
 
@@ -137,6 +140,26 @@ def purchase_event(orders: DataFrame) -> DataFrame:
     )
 
 
+def last_purchase_time(raw: dict[str, DataFrame]) -> Column:
+    """The time of the latest purchase event, as a literal.  Runs two small jobs.
+
+    It is the latest purchase among arrived orders with a known customer.  The
+    newest orders of all nearly always have one, and when they are few, looking
+    them up shuffles no customers.  If none of them has, all orders are looked up.
+    """
+    ts = "order_purchase_timestamp"
+    orders = arrived(delivered_orders(raw["orders"])).select("customer_id", ts)
+    known = raw["customers"].where(F.col("customer_unique_id").isNotNull()).select("customer_id")
+    newest = orders.where(F.col(ts) == orders.agg(F.max(ts)).scalar())
+    if newest.count() <= BROADCAST_ROWS:
+        newest = F.broadcast(newest)
+    for candidates in (newest, orders):
+        latest = candidates.join(known, "customer_id").agg(F.max(ts).cast("string")).first()[0]
+        if latest is not None:
+            break
+    return F.lit(latest).cast("timestamp_ntz")
+
+
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """Keys that occur more than once, with their number of rows."""
     known = df.dropna("any", subset=keys)

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from encore.operators import grain, lifecycle
 from encore.operators.impute import impute_median
@@ -28,7 +27,6 @@ def label_name(horizon_days: int) -> str:
 class Prepared:
     """The tables of one preparation run, from fine to coarse."""
 
-    purchase_event: DataFrame
     first_purchase: DataFrame
     imputed: DataFrame
     base_table: DataFrame
@@ -52,14 +50,12 @@ def first_purchase(events: DataFrame, horizon_days: int = 90) -> DataFrame:
 def prepare(raw: dict[str, DataFrame], horizon_days: int = 90) -> Prepared:
     """Build the base table.
 
-    Purchase events and first purchases are read more than once (the end of the
-    data and the median are facts about the whole table), so both are staged and
-    the joins run once.  The median covers every first purchase, also those
-    censored afterwards.
+    First purchases are read more than once (their median is a fact about the
+    whole table), so they are staged and the joins behind them run once.  The
+    median covers every first purchase, also those censored afterwards.
     """
-    events = stage(purchase_event(raw), "purchase_event")
-    firsts = stage(first_purchase(events, horizon_days), "first_purchase")
+    firsts = stage(first_purchase(purchase_event(raw), horizon_days), "first_purchase")
     imputed = impute_median(firsts, REVIEW)
-    until = events.agg(F.max(PURCHASED)).scalar()
+    until = grain.last_purchase_time(raw)
     base = lifecycle.censor(imputed, FIRST, until, horizon_days).drop(RANK, SECOND, DAYS)
-    return Prepared(events, firsts, imputed, base)
+    return Prepared(firsts, imputed, base)

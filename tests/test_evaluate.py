@@ -89,7 +89,7 @@ def test_curves(spark):
 
 
 def test_area_is_unchanged_by_a_monotone_score_change(spark):
-    df = scored(spark, [(i % 3 == 0, 0, (i * 37 % 100) / 100) for i in range(200)])
+    df = scored(spark, [(int(i % 3 == 0), 0, (i * 37 % 100) / 100) for i in range(200)])
     squashed = df.withColumn("y_prob", F.exp(3 * F.col("y_prob")) - 100)
     areas = [evaluate.ranking_metrics(evaluate.score_curve(d)).first() for d in (df, squashed)]
     assert tuple(areas[0]) == pytest.approx(tuple(areas[1]), abs=1e-12)

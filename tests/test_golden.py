@@ -33,7 +33,8 @@ def test_preparation(spark, sf):
         F.sum("first_purchase_gmv").cast("string"),
         F.count_if(F.col("customer_state").isNull()),
     ).first()
-    found = (done.purchase_event.count(), firsts.count(), firsts.where("second_purchase_ts IS NOT NULL").count())
+    events = preparation.purchase_event(star_raw(spark, f"/root/testdata/sf{sf}"))
+    found = (events.count(), firsts.count(), firsts.where("second_purchase_ts IS NOT NULL").count())
     assert found + tuple(summary) == PREPARED[sf]
 
 

@@ -193,6 +193,17 @@ def test_median_covers_customers_censored_later(spark):
     ]
 
 
+def test_end_of_data_needs_a_known_customer(spark):
+    tables = shop(spark)
+    # o7 is the newest order but has no customer: the end is dan's purchase
+    found = spark.range(1).select(grain.last_purchase_time(tables).alias("end")).first()["end"]
+    assert found == datetime(2018, 9, 1)
+    assert found == preparation.purchase_event(tables).agg(F.max("order_purchase_timestamp")).first()[0]
+    tables["customers"] = tables["customers"].where("false")
+    nobody = spark.range(1).select(grain.last_purchase_time(tables).alias("end")).first()["end"]
+    assert nobody is None
+
+
 def test_censoring_bound_is_inclusive_and_monotone(spark):
     firsts = spans(spark, ("2018-01-01 00:00:00", None), ("2018-01-01 00:00:01", None), ("2017-01-01 00:00:00", None))
     until = F.lit("2018-04-01 00:00:00").cast("timestamp_ntz")
