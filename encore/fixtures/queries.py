@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from encore.functions.temporal import ts_literal
 from encore.operators import evaluate, features, grain, lifecycle, ordering, profile
 from encore.operators.features import ModelColumns
 from encore.operators.impute import impute_median
@@ -21,7 +22,7 @@ from encore.plans import modelling, preparation
 from encore.schemas import BASE_TABLE, RAW, with_types
 from encore.sources.base_table import load_abt, write_abt
 from encore.sources.raw import load_raw
-from encore.sources.staging import new_path
+from encore.sources.staging import new_path, stage
 from encore.sources.star import star_raw
 
 COLUMNS = ModelColumns()
@@ -141,21 +142,23 @@ def abt(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def data_end(spark: SparkSession, sf: str) -> DataFrame:
-    events = preparation.purchase_event(star_raw(spark, sf))
-    return events.agg(F.max("order_purchase_timestamp").alias("data_end")).withColumn(
-        "analysis_end", F.col("data_end") - F.make_dt_interval(F.lit(90))
+    raw = star_raw(spark, sf)
+    firsts = stage(preparation.first_purchase(preparation.purchase_event(raw)), "first_purchase")
+    end = ts_literal(preparation.data_end(raw, firsts))
+    return spark.range(1).select(
+        end.alias("data_end"), (end - F.make_dt_interval(F.lit(90))).alias("analysis_end")
     )
 
 
 def review_median(spark: SparkSession, sf: str) -> DataFrame:
-    firsts = preparation.stage(_first_purchase(spark, sf), "first_purchase")
+    firsts = stage(_first_purchase(spark, sf), "first_purchase")
     median = ordering.exact_quantiles(firsts, [preparation.REVIEW])[preparation.REVIEW]
     counts = firsts.agg(F.count(preparation.REVIEW).alias("known_rows"))
     return tidy(counts.withColumn("median", F.lit(median)))
 
 
 def median_impute(spark: SparkSession, sf: str) -> DataFrame:
-    firsts = preparation.stage(_first_purchase(spark, sf), "first_purchase")
+    firsts = stage(_first_purchase(spark, sf), "first_purchase")
     return tidy(impute_median(firsts, preparation.REVIEW).select("customer_unique_id", preparation.REVIEW))
 
 

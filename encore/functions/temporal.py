@@ -6,6 +6,8 @@ depend on the session time zone (``timestampdiff`` does, around DST changes).
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +30,11 @@ def strict_ts(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.withColumns({c: parse(c) for c in columns})
 
 
+def ts_literal(value: datetime | None) -> Column:
+    """A zone-less timestamp constant."""
+    return F.lit(None if value is None else value.isoformat(" ")).cast("timestamp_ntz")
+
+
 def elapsed_days(start: Column, end: Column) -> Column:
     """Days from start to end with their fraction, to the microsecond."""
     seconds = (end - start).cast("decimal(18,6)")

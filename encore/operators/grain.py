@@ -7,11 +7,13 @@ order and no customer.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from datetime import datetime
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.flags import later_than, present
-from encore.functions.temporal import elapsed_days
+from encore.functions.temporal import elapsed_days, ts_literal
 
 DELIVERED = "delivered"
 
@@ -140,24 +142,21 @@ def purchase_event(orders: DataFrame) -> DataFrame:
     )
 
 
-def last_purchase_time(raw: dict[str, DataFrame]) -> Column:
-    """The time of the latest purchase event, as a literal.  Runs two small jobs.
+def latest_purchase(raw: dict[str, DataFrame], after: datetime | None) -> datetime | None:
+    """The time of the latest purchase event later than ``after``, else ``after``.
 
-    It is the latest purchase among arrived orders with a known customer.  The
-    newest orders of all nearly always have one, and when they are few, looking
-    them up shuffles no customers.  If none of them has, all orders are looked up.
+    A purchase event is an arrived order with a known customer.  Only orders
+    placed after the given time are looked up; with a good lower bound they are
+    few, and then no customers are shuffled.  Runs one small job, or two.
     """
     ts = "order_purchase_timestamp"
-    orders = arrived(delivered_orders(raw["orders"])).select("customer_id", ts)
+    later = arrived(delivered_orders(raw["orders"])).where(F.col(ts) > ts_literal(after)).select("customer_id", ts)
+    rows = later.count()
+    if rows == 0:
+        return after
     known = raw["customers"].where(F.col("customer_unique_id").isNotNull()).select("customer_id")
-    newest = orders.where(F.col(ts) == orders.agg(F.max(ts)).scalar())
-    if newest.count() <= BROADCAST_ROWS:
-        newest = F.broadcast(newest)
-    for candidates in (newest, orders):
-        latest = candidates.join(known, "customer_id").agg(F.max(ts).cast("string")).first()[0]
-        if latest is not None:
-            break
-    return F.lit(latest).cast("timestamp_ntz")
+    candidates = F.broadcast(later) if rows <= BROADCAST_ROWS else later
+    return candidates.join(known, "customer_id").agg(F.max(ts)).first()[0] or after
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from datetime import datetime
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from encore.functions.temporal import whole_days, within_days
+from encore.functions.temporal import ts_literal, whole_days, within_days
 from encore.operators.ordering import global_index
 
 
@@ -61,10 +63,10 @@ def label_within(
     )
 
 
-def censor(firsts: DataFrame, first: str, observed_until: Column, horizon_days: int) -> DataFrame:
+def censor(firsts: DataFrame, first: str, observed_until: datetime | None, horizon_days: int) -> DataFrame:
     """Keep entities whose whole horizon lies before the end of the data.
 
-    ``observed_until`` is the time of the last event: a literal or a scalar
-    subquery such as ``events.agg(F.max(ts)).scalar()``.
+    ``observed_until`` is the time of the last event of all entities.
     """
-    return firsts.where(F.col(first) <= observed_until - F.make_dt_interval(F.lit(horizon_days)))
+    last_start = ts_literal(observed_until) - F.make_dt_interval(F.lit(horizon_days))
+    return firsts.where(F.col(first) <= last_start)

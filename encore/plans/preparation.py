@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from encore.operators import grain, lifecycle
 from encore.operators.impute import impute_median
@@ -47,6 +49,16 @@ def first_purchase(events: DataFrame, horizon_days: int = 90) -> DataFrame:
     return lifecycle.label_within(firsts, FIRST, SECOND, horizon_days, DAYS, label_name(horizon_days))
 
 
+def data_end(raw: dict[str, DataFrame], firsts: DataFrame) -> datetime | None:
+    """The time of the last purchase event.
+
+    The staged first purchases know the first two events of every customer, which
+    is a close lower bound; only later orders are checked against the raw tables.
+    """
+    seen = firsts.agg(F.max(F.coalesce(SECOND, FIRST))).first()[0]
+    return grain.latest_purchase(raw, after=seen)
+
+
 def prepare(raw: dict[str, DataFrame], horizon_days: int = 90) -> Prepared:
     """Build the base table.
 
@@ -56,6 +68,5 @@ def prepare(raw: dict[str, DataFrame], horizon_days: int = 90) -> Prepared:
     """
     firsts = stage(first_purchase(purchase_event(raw), horizon_days), "first_purchase")
     imputed = impute_median(firsts, REVIEW)
-    until = grain.last_purchase_time(raw)
-    base = lifecycle.censor(imputed, FIRST, until, horizon_days).drop(RANK, SECOND, DAYS)
+    base = lifecycle.censor(imputed, FIRST, data_end(raw, firsts), horizon_days).drop(RANK, SECOND, DAYS)
     return Prepared(firsts, imputed, base)

@@ -193,20 +193,28 @@ def test_median_covers_customers_censored_later(spark):
     ]
 
 
-def test_end_of_data_needs_a_known_customer(spark):
+def test_end_of_data_is_the_last_event_of_any_rank_with_a_known_customer(spark):
     tables = shop(spark)
     # o7 is the newest order but has no customer: the end is dan's purchase
-    found = spark.range(1).select(grain.last_purchase_time(tables).alias("end")).first()["end"]
-    assert found == datetime(2018, 9, 1)
-    assert found == preparation.purchase_event(tables).agg(F.max("order_purchase_timestamp")).first()[0]
-    tables["customers"] = tables["customers"].where("false")
-    nobody = spark.range(1).select(grain.last_purchase_time(tables).alias("end")).first()["end"]
-    assert nobody is None
+    done = preparation.prepare(tables)
+    assert preparation.data_end(tables, done.first_purchase) == datetime(2018, 9, 1)
+    assert grain.latest_purchase(tables, after=datetime(2018, 1, 1)) == datetime(2018, 9, 1)
+    assert grain.latest_purchase(tables, after=datetime(2018, 9, 1)) == datetime(2018, 9, 1)
+    # ann's third purchase is later than anyone's first and second
+    third = orders_frame(spark, [("o10", "k10", "delivered", "2018-10-01 00:00:00", "2018-10-02 00:00:00", None)])
+    tables["orders"] = tables["orders"].union(third)
+    tables["customers"] = tables["customers"].union(spark.createDataFrame([("k10", "ann", "SP")], tables["customers"].schema))
+    done = preparation.prepare(tables)
+    assert preparation.data_end(tables, done.first_purchase) == datetime(2018, 10, 1)
+    nobody = {**tables, "customers": tables["customers"].where("false")}
+    done = preparation.prepare(nobody)
+    assert preparation.data_end(nobody, done.first_purchase) is None
+    assert done.base_table.count() == 0
 
 
 def test_censoring_bound_is_inclusive_and_monotone(spark):
     firsts = spans(spark, ("2018-01-01 00:00:00", None), ("2018-01-01 00:00:01", None), ("2017-01-01 00:00:00", None))
-    until = F.lit("2018-04-01 00:00:00").cast("timestamp_ntz")
+    until = datetime(2018, 4, 1)
     kept = [lifecycle.censor(firsts, "a", until, h).count() for h in (0, 89, 90, 91, 455, 456)]
     assert kept == [3, 3, 2, 1, 1, 0]
 
