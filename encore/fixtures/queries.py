@@ -228,36 +228,36 @@ def value_share(spark: SparkSession, sf: str) -> DataFrame:
 # --- modelling ---------------------------------------------------------------
 
 
-def _split(spark: SparkSession, sf: str) -> DataFrame:
+def _split(spark: SparkSession, sf: str) -> ordering.TimeSplit:
     return ordering.time_split(_abt(spark, sf), COLUMNS.ts, COLUMNS.key)
 
 
 def time_split(spark: SparkSession, sf: str) -> DataFrame:
-    return _split(spark, sf).select(COLUMNS.key, COLUMNS.ts, "split")
+    return _split(spark, sf).rows.select(COLUMNS.key, COLUMNS.ts, "split")
 
 
 def split_features(spark: SparkSession, sf: str) -> DataFrame:
     split = _split(spark, sf)
     train, test = (
-        features.features_and_target(modelling.part(split, name), COLUMNS).withColumn("split", F.lit(name))
-        for name in ("train", "test")
+        features.features_and_target(rows, COLUMNS).withColumn("split", F.lit(name))
+        for name, rows in (("train", split.train), ("test", split.test))
     )
     return tidy(train.union(test))
 
 
 def split_label_rates(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(profile.split_label_rates(_split(spark, sf), LABEL))
+    return tidy(profile.split_label_rates(_split(spark, sf).rows, LABEL))
 
 
 def one_hot_state(spark: SparkSession, sf: str) -> DataFrame:
     """The one-hot vector of each row as its width and the position of the 1."""
     split = _split(spark, sf)
     fill = F.coalesce("customer_state", F.lit(features.MISSING))
-    known = split.withColumn("customer_state_known", fill)
-    encoder = Pipeline(stages=features.encoder_stages(COLUMNS)).fit(modelling.part(known, "train"))
+    train, rows = (part.withColumn("customer_state_known", fill) for part in (split.train, split.rows))
+    encoder = Pipeline(stages=features.encoder_stages(COLUMNS)).fit(train)
     cells = vector_to_array("customer_state_onehot")
     return (
-        encoder.transform(known)
+        encoder.transform(rows)
         .withColumn("_cells", cells)
         .select(
             COLUMNS.key,
@@ -269,12 +269,12 @@ def one_hot_state(spark: SparkSession, sf: str) -> DataFrame:
 
 def scaled_numeric(spark: SparkSession, sf: str) -> DataFrame:
     split = _split(spark, sf)
-    scaled = features.cleaner(modelling.part(split, "train"), COLUMNS).transform(split)
+    scaled = features.cleaner(split.train, COLUMNS).transform(split.rows)
     return tidy(scaled.select(COLUMNS.key, *[f"{c}_scaled" for c in COLUMNS.numeric]))
 
 
 def class_weights(spark: SparkSession, sf: str) -> DataFrame:
-    return tidy(features.class_weights(modelling.part(_split(spark, sf), "train"), LABEL))
+    return tidy(features.class_weights(_split(spark, sf).train, LABEL))
 
 
 def logreg_scores(spark: SparkSession, sf: str) -> DataFrame:
@@ -299,7 +299,7 @@ def _scored(spark: SparkSession, sf: str) -> DataFrame:
     key, label = F.col(COLUMNS.key), F.col(LABEL)
     spread = ((key * 7919) % 101).cast("double") / F.lit(101.0) * F.lit(0.7)
     score = spread + F.lit(0.3) * label.cast("double") * (key % 3).cast("double")
-    return modelling.part(_split(spark, sf), "test").select(
+    return _split(spark, sf).test.select(
         COLUMNS.key,
         label.alias("y_true"),
         score.alias("y_prob"),

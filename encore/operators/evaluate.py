@@ -139,12 +139,13 @@ def ranking_metrics(curve: DataFrame) -> DataFrame:
     )
 
 
-def classification_metrics(scored: DataFrame) -> DataFrame:
+def classification_metrics(scored: DataFrame, curve: DataFrame | None = None) -> DataFrame:
     """The six headline metrics as (metric, value)."""
-    names = {"by_label": ["accuracy", "precision", "recall", "f1"], "by_rank": ["roc_auc", "pr_auc"]}
-    by_label = threshold_metrics(scored).unpivot([], names["by_label"], "metric", "value")
-    by_rank = ranking_metrics(score_curve(scored)).unpivot([], names["by_rank"], "metric", "value")
-    return by_label.union(by_rank)
+    at_threshold = threshold_metrics(scored)
+    by_rank = ranking_metrics(score_curve(scored) if curve is None else curve)
+    return at_threshold.unpivot([], at_threshold.columns, "metric", "value").union(
+        by_rank.unpivot([], by_rank.columns, "metric", "value")
+    )
 
 
 def top_fraction_lift(scored: DataFrame, tie: str, fraction: float = 0.10) -> DataFrame:

@@ -8,6 +8,7 @@ one task are one total per partition or bucket.
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
@@ -74,15 +75,35 @@ def slot_of_fraction(placed: DataFrame, fraction: float) -> int:
     return LAST_SLOT
 
 
-def time_split(df: DataFrame, ts: str, tie: str, fraction: float = 0.8) -> DataFrame:
-    """Mark the earliest ``int(n * fraction)`` rows ``train``, the rest ``test``.
+@dataclass(frozen=True)
+class TimeSplit:
+    """A table in time order, cut at one ``_slot``: two ranges of the same files."""
 
-    Writes ``df`` once, sorted by time; ``train`` and ``test`` are then ranges of
-    that table.
+    placed: DataFrame
+    cut: int
+
+    @property
+    def train(self) -> DataFrame:
+        return self.placed.where(F.col("_slot") < self.cut).drop("_slot")
+
+    @property
+    def test(self) -> DataFrame:
+        return self.placed.where(F.col("_slot") >= self.cut).drop("_slot")
+
+    @property
+    def rows(self) -> DataFrame:
+        """All rows with a ``split`` column saying train or test."""
+        name = F.when(F.col("_slot") < self.cut, "train").otherwise("test")
+        return self.placed.withColumn("split", name).drop("_slot")
+
+
+def time_split(df: DataFrame, ts: str, tie: str, fraction: float = 0.8) -> TimeSplit:
+    """Take the earliest ``int(n * fraction)`` rows for training, the rest for testing.
+
+    Writes ``df`` once, sorted by time, so that either part skips the other's files.
     """
     placed = write_in_order(df, [F.col(ts).asc(), F.col(tie).asc()])
-    boundary = F.col("_slot") < F.lit(slot_of_fraction(placed, fraction))
-    return placed.withColumn("split", F.when(boundary, "train").otherwise("test")).drop("_slot")
+    return TimeSplit(placed, slot_of_fraction(placed, fraction))
 
 
 def mark_top_fraction(
@@ -90,8 +111,7 @@ def mark_top_fraction(
 ) -> DataFrame:
     """Flag the ``int(n * fraction)`` rows with the highest scores."""
     placed = write_in_order(df, [F.col(score).desc(), F.col(tie).asc()])
-    boundary = F.col("_slot") < F.lit(slot_of_fraction(placed, fraction))
-    return placed.withColumn(flag, boundary).drop("_slot")
+    return placed.withColumn(flag, F.col("_slot") < slot_of_fraction(placed, fraction)).drop("_slot")
 
 
 def top_fraction(df: DataFrame, score: str, tie: str, fraction: float = 0.10) -> DataFrame:

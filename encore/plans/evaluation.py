@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from encore.operators import evaluate
+from encore.sources.staging import stage
 
 
 @dataclass(frozen=True)
@@ -20,9 +21,10 @@ class Evaluation:
 
 
 def evaluation(scored: DataFrame, tie: str = "customer_unique_id", top: float = 0.10) -> Evaluation:
-    curve = evaluate.score_curve(scored)
+    """The curve has one row per distinct score and feeds three tables: staged."""
+    curve = stage(evaluate.score_curve(scored), "curve")
     return Evaluation(
-        metrics=evaluate.classification_metrics(scored),
+        metrics=evaluate.classification_metrics(scored, curve),
         report=evaluate.classification_report(scored),
         confusion=evaluate.confusion_matrix(scored),
         roc=evaluate.roc_curve(curve),

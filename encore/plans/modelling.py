@@ -6,26 +6,20 @@ from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from encore.operators import model
 from encore.operators.features import ModelColumns
-from encore.operators.ordering import time_split
+from encore.operators.ordering import TimeSplit, time_split
 from encore.sources.staging import stage
 
 
 @dataclass(frozen=True)
 class ModelRun:
-    split: DataFrame
+    split: TimeSplit
     model: PipelineModel
     scored: DataFrame
 
 
-def part(split: DataFrame, name: str) -> DataFrame:
-    """The ``train`` or ``test`` rows of a split."""
-    return split.where(F.col("split") == name).drop("split")
-
-
 def train_and_score(
     base_table: DataFrame,
     columns: ModelColumns = ModelColumns(),
@@ -36,6 +30,6 @@ def train_and_score(
     The scored rows are staged: every metric reads them.
     """
     split = time_split(base_table, columns.ts, columns.key, fraction)
-    fitted = model.fit(part(split, "train"), columns)
-    scored = stage(model.score(fitted, part(split, "test"), columns), "scored")
+    fitted = model.fit(split.train, columns)
+    scored = stage(model.score(fitted, split.test, columns), "scored")
     return ModelRun(split, fitted, scored)

@@ -21,22 +21,27 @@ def base_table(spark, n=1500, seed=3):
     state = draw.choice(["SP", "RJ", "MG", None], n, p=[0.5, 0.2, 0.2, 0.1])
     z = 0.05 * days - 0.4 * review + 0.8 * late - 1 + (state == "SP") * 0.5
     label = (draw.uniform(0, 1, n) < 1 / (1 + np.exp(-z))).astype(int)
-    rows = [
-        (f"c{i:05d}", 20180000 + i // 3, float(days[i]), None if i % 29 == 0 else float(review[i]), int(late[i]),
-         int(reviewed[i]), state[i], 1, 10.0, int(label[i]))
-        for i in range(n)
-    ]
-    draw.shuffle(rows)
     schema = (
         "customer_unique_id string, first_purchase_ts long, delivery_days_mean double, "
         "first_event_review_score_mean double, late_flag int, has_review int, customer_state string, "
         "first_item_cnt long, first_purchase_gmv double, purchase_2nd_within_90d int"
     )
-    typed = [
-        (str(a), int(b), float(c), None if d is None else float(d), int(e), int(f), g, int(h), float(i), int(j))
-        for a, b, c, d, e, f, g, h, i, j in rows
+    rows = [
+        (
+            f"c{i:05d}",
+            20180000 + i // 3,
+            float(days[i]),
+            None if i % 29 == 0 else float(review[i]),
+            int(late[i]),
+            int(reviewed[i]),
+            state[i],
+            1 + i % 4,
+            10.0 + i % 7,
+            int(label[i]),
+        )
+        for i in range(n)
     ]
-    return spark.createDataFrame(typed, schema).repartition(5)
+    return spark.createDataFrame(rows, schema).repartition(5)
 
 
 def design(train: pd.DataFrame, rows: pd.DataFrame) -> np.ndarray:
@@ -69,8 +74,7 @@ def newton(x: np.ndarray, y: np.ndarray, steps: int = 50) -> np.ndarray:
 
 def test_fit_equals_newton(spark, tmp_path):
     run = modelling.train_and_score(base_table(spark))
-    train = modelling.part(run.split, "train").toPandas()
-    test = modelling.part(run.split, "test").toPandas()
+    train, test = run.split.train.toPandas(), run.split.test.toPandas()
     assert (len(train), len(test)) == (1200, 300)
     expected = newton(design(train, train), train[COLUMNS.label].to_numpy())
     regression = run.model.stages[-1]
@@ -85,7 +89,7 @@ def test_fit_equals_newton(spark, tmp_path):
 
     # the fitted pipeline can be saved, loaded and applied again
     run.model.write().save(str(tmp_path / "model"))
-    again = model.score(PipelineModel.load(str(tmp_path / "model")), modelling.part(run.split, "test"))
+    again = model.score(PipelineModel.load(str(tmp_path / "model")), run.split.test)
     assert again.join(run.scored.select("customer_unique_id", F.col("y_prob").alias("p")), "customer_unique_id").where(
         "y_prob <> p"
     ).count() == 0

@@ -44,8 +44,9 @@ def test_hot_key_is_spread_over_tasks(spark):
 @pytest.mark.parametrize(("n", "fraction"), [(5000, 0.8), (7, 0.8), (1, 0.8), (1, 1.0), (9, 0.1), (10, 0.1), (10, 0.0)])
 def test_split_takes_exactly_the_truncated_share(spark, n, fraction):
     split = ordering.time_split(frame(spark, n=n), "key", "id", fraction)
-    assert split.where("split = 'train'").count() == int(n * fraction)
-    assert split.count() == n
+    assert split.train.count() == int(n * fraction)
+    assert split.test.count() == n - int(n * fraction)
+    assert split.rows.where("split = 'train'").count() == int(n * fraction)
 
 
 def test_top_fraction_equals_sort_and_slice(spark):
