@@ -5,6 +5,8 @@ import os
 import pytest
 
 import __spark_entry__ as entry_points
+from encore.fixtures.oracle import ORACLE_SQL
+from encore.fixtures.queries import QUERIES
 from compare import duckdb_over, duckdb_result, spark_result
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -15,7 +17,7 @@ def duck():
     return duckdb_over(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(entry_points.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_sql(spark, duck, name):
     types, rows = spark_result(entry_points.queries()[name](spark, SF_DIR))
     sql_types, sql_rows = duckdb_result(duck, entry_points.oracle_sql()[name])
@@ -25,7 +27,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_only_the_model_fits_lack_sql():
-    without = set(entry_points.queries()) - set(entry_points.oracle_sql())
+    without = set(QUERIES) - set(ORACLE_SQL)
     assert without == {"logreg_scores", "logreg_metrics", "logreg_top_decile_lift"}
 
 
