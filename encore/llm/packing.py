@@ -10,10 +10,11 @@ Only the last window can have room left.
 
 from __future__ import annotations
 
+import re
+from array import array
 from collections.abc import Iterator
 from itertools import accumulate
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,17 +25,35 @@ WIDTH = 2048
 END_ID = 1
 PART_BITS = 33
 # words whose ids a task remembers; beyond it the memory starts anew
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 600_000
 LONGEST_REMEMBERED = 48
 
 ENCODED = pa.schema([("_doc", pa.int64()), ("_ahead", pa.int64()), ("_n", pa.int64()), ("_ids", pa.binary())])
 
 
+# a run of these after letters is a piece of its own
+TAILS = b".,!?$%&*#;:"
+# letters whose lower case or normal form needs the tokenizer's own rules
+FAR = re.compile("[^a-z\u00aa-\u00ff]")
+
+
+def byte_letters() -> dict[int, str]:
+    """The printable letter that stands for each byte in a byte-level vocabulary.
+
+    Printable bytes stand for themselves, the others for the letters from 256 on.
+    """
+    plain = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
 class WordIds(dict):
     """Ids of a word, as little-endian 32-bit integers, found once and remembered.
 
     The vocabulary drops white space, so words are encoded apart from each other.
-    A trailing comma or full stop after letters is a piece of its own.
+    Letters of Latin-1 need no normalising but lower case and are one piece, which
+    goes straight to the merges; a tail of punctuation is the next piece.  All
+    other words take the whole way.
     """
 
     def __init__(self, path: str):
@@ -43,23 +62,42 @@ class WordIds(dict):
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        self.encode = tokenizer.encode
+        self.encode, self.merge = tokenizer.encode, tokenizer.model.tokenize
+        self.stems: dict[str, bytes] = {}
+        self.letters = byte_letters()
+
+    def _stem(self, stem: str) -> bytes:
+        ids = self.stems.get(stem)
+        if ids is None:
+            piece = stem if stem.isascii() else stem.encode().decode("latin-1").translate(self.letters)
+            ids = array("I", [token.id for token in self.merge(piece)]).tobytes()
+            if len(self.stems) >= REMEMBERED_WORDS:
+                self.stems.clear()
+            self.stems[stem] = ids
+        return ids
 
     def __missing__(self, word: bytes) -> bytes:
-        stem, tail = word[:-1], word[-1:]
-        if tail in (b",", b".") and stem.decode().isalpha():
-            ids = self[stem] + self[tail]
+        if len(word) > LONGEST_REMEMBERED:
+            return self._whole(word.decode())
+        stem = word.rstrip(TAILS)
+        text = stem.decode().lower()
+        if text.isalpha() and (text.isascii() or not FAR.search(text)):
+            ids = self._stem(text)
+            if len(stem) < len(word):
+                ids += self[word[len(stem) :]]
         else:
-            ids = np.array(self.encode(word.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-        if len(word) <= LONGEST_REMEMBERED:
-            if len(self) >= REMEMBERED_WORDS:
-                self.clear()
-            self[word] = ids
+            ids = self._whole(word.decode())
+        if len(self) >= REMEMBERED_WORDS:
+            self.clear()
+        self[word] = ids
         return ids
 
+    def _whole(self, text: str) -> bytes:
+        return array("I", self.encode(text, add_special_tokens=False).ids).tobytes()
+
 
 def _encoder(path: str, end_id: int):
-    end = np.array([end_id], "<u4").tobytes()
+    end = array("I", [end_id]).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, rows, ahead = WordIds(path), Rows(ENCODED), 0
