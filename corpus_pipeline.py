@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from encore.llm import packing, quality_rules
+from encore.llm import block_naming, packing, quality_rules
 from encore.llm.tables import read, stage
 from encore.llm.vocabularies import WORD_BPE, vocabulary
 from encore.sources.staging import Workspace
@@ -15,6 +15,11 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_good(docs)
 
 
+def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of equal texts."""
+    return block_naming.drop_copies(docs)
+
+
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as pieces of fixed windows of tokens."""
     return packing.pack(docs, vocabulary(WORD_BPE))
@@ -22,6 +27,7 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 STAGES = [
     ("quality rules", quality),
+    ("exact dedup", exact_copies),
     ("packing", sequences),
 ]
 

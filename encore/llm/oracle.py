@@ -46,7 +46,20 @@ QUALITY = f"""
         FROM counts),
     verdicts AS (SELECT *, (NOT base_failed AND {_rules()}) AS kept FROM judged)"""
 
+#: group of equal texts of ``texts`` (id, text): one row per row
+COPIES = f"""
+    squeezed AS (
+        SELECT id, coalesce(text, '') AS text,
+               regexp_replace(coalesce(text, ''), '{WHITE}', '', 'g') AS same FROM texts),
+    copies AS (
+        SELECT id, first_value(id) OVER stays AS keep_id, count(*) OVER (PARTITION BY same) AS group_size,
+               row_number() OVER stays = 1 AS kept, sha256(same) AS text_sha256
+        FROM squeezed WINDOW stays AS (PARTITION BY same ORDER BY length(text) DESC, id NULLS LAST))"""
+
 ORACLE_SQL = {
+    "op8_block_naming": f"""
+        WITH texts AS (SELECT doc_id AS id, text FROM documents), {COPIES}
+        SELECT id AS doc_id, keep_id, group_size, kept, text_sha256 FROM copies""",
     "op10_quality_rules": f"""
         WITH texts AS (SELECT doc_id AS id, text FROM documents), {QUALITY}
         SELECT id AS doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
