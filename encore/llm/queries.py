@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import block_naming, packing, quality_rules
+from encore.llm import block_naming, packing, quality_rules, simhash
 from encore.llm.oracle import ORACLE_SQL  # noqa: F401
 from encore.llm.tables import read
 from encore.llm.vocabularies import BYTE_BPE, WORD_BPE, vocabulary
@@ -18,6 +18,10 @@ from encore.llm.vocabularies import BYTE_BPE, WORD_BPE, vocabulary
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_groups(read(spark, sf_dir, "documents"))
+
+
 def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(read(spark, sf_dir, "documents")).drop("_row")
 
@@ -36,6 +40,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op4_simhash,
         op8_block_naming,
         op9_packing,
         op10_quality_rules,
