@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.tables import Rows, stage, values
+from encore.llm.tables import Rows, once_per_worker, stage, values
 
 WIDTH = 2048
 END_ID = 1
@@ -100,7 +100,8 @@ def _encoder(path: str, end_id: int):
     end = array("I", [end_id]).tobytes()
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, rows, ahead = WordIds(path), Rows(ENCODED), 0
+        words = once_per_worker(f"word_ids {path}", lambda: WordIds(path))
+        rows, ahead = Rows(ENCODED), 0
         for batch in batches:
             for doc, text in zip(values(batch.column(0)), values(batch.column(1), ""), strict=True):
                 ids = b"".join(map(words.__getitem__, text.encode().split())) + end

@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import block_naming, packing, quality_rules, simhash
+from encore.llm import block_naming, byte_bpe, packing, quality_rules, simhash
 from encore.llm.oracle import ORACLE_SQL  # noqa: F401
 from encore.llm.tables import read
 from encore.llm.vocabularies import BYTE_BPE, WORD_BPE, vocabulary
@@ -22,6 +22,17 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = vocabulary(BYTE_BPE)
+    coded = byte_bpe.decode(byte_bpe.encode(read(spark, sf_dir, "documents"), path), path)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(read(spark, sf_dir, "documents")).drop("_row")
 
@@ -41,6 +52,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op4_simhash,
+        op6_byte_bpe,
         op8_block_naming,
         op9_packing,
         op10_quality_rules,

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import sys
+from collections.abc import Callable, Iterator
+from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,17 @@ def values(column: pa.Array, missing=None) -> Iterator:
         yield missing if plain is None else plain
 
 
+def once_per_worker(name: str, make: Callable):
+    """``make()``, kept by the Python worker, which serves many tasks one after another.
+
+    For what every task would have to load or learn anew; never for results.
+    """
+    memory = sys.modules.setdefault("_worker_memory", ModuleType("_worker_memory")).__dict__
+    if name not in memory:
+        memory[name] = make()
+    return memory[name]
+
+
 class Rows:
     """Collects rows and gives them out as batches of bounded size."""
 
