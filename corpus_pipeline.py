@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from encore.llm import block_naming, packing, quality_rules
+from encore.llm import block_naming, packing, pii, quality_rules, simhash
 from encore.llm.tables import read, stage
 from encore.llm.vocabularies import WORD_BPE, vocabulary
 from encore.sources.staging import Workspace
@@ -20,6 +21,17 @@ def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return block_naming.drop_copies(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of every group of near copies."""
+    return simhash.drop_near_copies(docs)
+
+
+def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data replaced; the length column follows the text."""
+    replaced = pii.replace(docs).drop("_n_entities")
+    return replaced.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+
+
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents as pieces of fixed windows of tokens."""
     return packing.pack(docs, vocabulary(WORD_BPE))
@@ -28,6 +40,8 @@ def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [
     ("quality rules", quality),
     ("exact dedup", exact_copies),
+    ("near dedup", near_copies),
+    ("surrogates", surrogates),
     ("packing", sequences),
 ]
 

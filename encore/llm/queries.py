@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import block_naming, byte_bpe, packing, quality_rules, simhash
+from encore.llm import block_naming, byte_bpe, packing, pii, quality_rules, simhash
 from encore.llm.oracle import ORACLE_SQL  # noqa: F401
 from encore.llm.tables import read
 from encore.llm.vocabularies import BYTE_BPE, WORD_BPE, vocabulary
@@ -33,6 +33,11 @@ def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    replaced = pii.replace(read(spark, sf_dir, "documents"))
+    return replaced.select("doc_id", "text", F.col("_n_entities").alias("n_entities"))
+
+
 def op8_block_naming(spark: SparkSession, sf_dir: str) -> DataFrame:
     return block_naming.exact_groups(read(spark, sf_dir, "documents")).drop("_row")
 
@@ -53,6 +58,7 @@ QUERIES: dict[str, Query] = {
     for query in (
         op4_simhash,
         op6_byte_bpe,
+        op7_pii,
         op8_block_naming,
         op9_packing,
         op10_quality_rules,
