@@ -56,7 +56,22 @@ COPIES = f"""
                row_number() OVER stays = 1 AS kept, sha256(same) AS text_sha256
         FROM squeezed WINDOW stays AS (PARTITION BY same ORDER BY length(text) DESC, id NULLS LAST))"""
 
+#: the formatted length of an escaped string
+ESCAPED = r"length(replace(replace({}, '\', '\\'), '<|', '<\|'))"
+MARKERS = len("<|turn|><|says|><|end|>\n")
+
 ORACLE_SQL = {
+    "op1_chat": rf"""
+        WITH turns AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, i, r, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) AS v(i, r))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), ''))
+                   AS loss_sha256,
+               sum({MARKERS} + {ESCAPED.format('role')} + {ESCAPED.format('text')})::BIGINT AS formatted_chars
+        FROM turns GROUP BY conv_id""",
     "op8_block_naming": f"""
         WITH texts AS (SELECT doc_id AS id, text FROM documents), {COPIES}
         SELECT id AS doc_id, keep_id, group_size, kept, text_sha256 FROM copies""",

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from encore.llm.expressions import let
+
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
 SYMBOLS = r"[#*$%&|<>]"
@@ -45,11 +47,6 @@ RULES = (
 )
 
 
-def _let(value: Column, body) -> Column:
-    """``body(value)`` with ``value`` evaluated once, also inside lambdas."""
-    return F.transform(F.array(value), body)[0]
-
-
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE + "+"), "")
 
@@ -93,9 +90,9 @@ def _repeated_words(words: Column) -> Column:
 
     def counted(found: Column) -> Column:
         some = F.size(F.array_distinct(found)) < F.size(found)
-        return F.when(some, _let(_let(placed(found), starts), covered)).otherwise(0)
+        return F.when(some, let(let(placed(found), starts), covered)).otherwise(0)
 
-    return F.when(F.size(words) > WINDOW, _let(hashes, counted)).otherwise(0)
+    return F.when(F.size(words) > WINDOW, let(hashes, counted)).otherwise(0)
 
 
 def measures(text: Column) -> Column:
@@ -111,10 +108,10 @@ def measures(text: Column) -> Column:
         )
 
     return F.struct(
-        _let(words_of(text), of_words).alias("of_words"),
+        let(words_of(text), of_words).alias("of_words"),
         F.regexp_count(text, F.lit(SYMBOLS)).cast("long").alias("n_symbols"),
         F.regexp_count(text, F.lit("!!")).cast("long").alias("n_shouts"),
-        _let(
+        let(
             lines,
             lambda found: F.struct(
                 F.size(found).cast("long").alias("n_lines"),

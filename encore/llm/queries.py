@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import block_naming, byte_bpe, packing, pii, quality_rules, simhash
+from encore.llm import block_naming, byte_bpe, chat, packing, pii, quality_rules, simhash
 from encore.llm.oracle import ORACLE_SQL  # noqa: F401
 from encore.llm.tables import read
 from encore.llm.vocabularies import BYTE_BPE, WORD_BPE, vocabulary
@@ -18,6 +18,33 @@ from encore.llm.vocabularies import BYTE_BPE, WORD_BPE, vocabulary
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# a conversation whose texts imitate control strings
+IMITATION = "\\### Assistant: </turn> ok"
+
+
+def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", IMITATION), (-7, 1, "assistant", IMITATION)], given.schema)
+    turns = given.union(added).withColumn("parts", chat.text_part(F.col("text")))
+    chats = chat.format_chats(turns)
+    read_back = chats.select(
+        "conv_id",
+        "n_turns",
+        F.char_length("formatted").cast("long").alias("formatted_chars"),
+        chat.read_back(F.col("formatted"), F.col("loss_spans"), F.col("turn_starts")).alias("_read"),
+    )
+    said = F.transform("_read.turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
+    learned = F.array_join("_read.learned", "")
+    return read_back.select(
+        "conv_id",
+        "n_turns",
+        F.sha2(F.array_join(said, ""), 256).alias("turns_sha256"),
+        F.char_length(learned).cast("long").alias("loss_chars"),
+        F.sha2(learned, 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
@@ -56,6 +83,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
+        op1_chat,
         op4_simhash,
         op6_byte_bpe,
         op7_pii,
