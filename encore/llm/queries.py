@@ -10,7 +10,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import block_naming, byte_bpe, chat, packing, pii, quality_rules, simhash
+from encore.llm import block_naming, byte_bpe, byte_cnn, chat, packing, pii, quality_rules, simhash, toxicity
+from encore.llm.labelled import held_out
 from encore.llm.oracle import ORACLE_SQL  # noqa: F401
 from encore.llm.tables import read
 from encore.llm.vocabularies import BYTE_BPE, WORD_BPE, vocabulary
@@ -45,10 +46,31 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _scored(scored: DataFrame, threshold: float) -> DataFrame:
+    return scored.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("_score").alias("score"),
+        (F.col("_score") >= threshold).cast("int").alias("predicted"),
+    )
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    lexicon = toxicity.learn(docs, labels)
+    return _scored(toxicity.score(docs.select("doc_id", "text"), lexicon), 0.5)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(read(spark, sf_dir, "documents"))
 
 
+def op5_byte_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    net = byte_cnn.learn(docs, labels)
+    return _scored(byte_cnn.score(docs.select("doc_id", "text"), net), 0.3)
+
+
 def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = vocabulary(BYTE_BPE)
     coded = byte_bpe.decode(byte_bpe.encode(read(spark, sf_dir, "documents"), path), path)
@@ -84,7 +106,9 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_chat,
+        op3_toxicity,
         op4_simhash,
+        op5_byte_cnn,
         op6_byte_bpe,
         op7_pii,
         op8_block_naming,
