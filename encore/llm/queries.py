@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import block_naming, byte_bpe, byte_cnn, chat, packing, pii, quality_rules, simhash, toxicity
+from encore.llm import block_naming, byte_bpe, byte_cnn, chat, packing, pii, quality_rules, simhash, suffix_dedup, toxicity
 from encore.llm.labelled import held_out
 from encore.llm.oracle import ORACLE_SQL  # noqa: F401
 from encore.llm.tables import read
@@ -46,6 +46,17 @@ def op1_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = suffix_dedup.remove_passages(read(spark, sf_dir, "documents"))
+    return left.select(
+        "doc_id",
+        "n_bytes",
+        (F.col("n_bytes") - F.length("kept")).cast("long").alias("n_removed"),
+        F.size("removed").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def _scored(scored: DataFrame, threshold: float) -> DataFrame:
     return scored.select(
         "doc_id",
@@ -106,6 +117,7 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         op1_chat,
+        op2_suffix_dedup,
         op3_toxicity,
         op4_simhash,
         op5_byte_cnn,
