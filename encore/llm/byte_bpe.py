@@ -28,8 +28,8 @@ WORDS = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 # words and pairs a task remembers; beyond it the memory starts anew
-REMEMBERED_WORDS = 600_000
-REMEMBERED_PAIRS = 2_000_000
+REMEMBERED_WORDS = 500_000
+REMEMBERED_PAIRS = 1_000_000
 LONGEST_REMEMBERED = 48
 # texts encoded together, so that their new words share one trie
 BATCH_CHARS = 4 << 20
@@ -204,13 +204,13 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
 
 def _decoder(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = once_per_worker(f"byte_bpe {path}", lambda: TextEncoder(path))
-        token_bytes = encoder.vocabulary.bytes.__getitem__
+        token_bytes = once_per_worker(f"token_bytes {path}", lambda: Vocabulary(path).bytes).__getitem__
         for batch in batches:
-            ids = batch.column(1)
             texts = [
-                b"".join(map(token_bytes, row.values.to_pylist())).decode("utf-8", "replace") if row.is_valid else ""
-                for row in ids
+                b"".join(map(token_bytes, row.values.to_numpy().tolist())).decode("utf-8", "replace")
+                if row.is_valid
+                else ""
+                for row in batch.column(1)
             ]
             yield pa.record_batch([*batch.columns, pa.array(texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
