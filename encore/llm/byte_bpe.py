@@ -28,11 +28,11 @@ WORDS = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 # words and pairs a task remembers; beyond it the memory starts anew
-REMEMBERED_WORDS = 500_000
+REMEMBERED_WORDS = 400_000
 REMEMBERED_PAIRS = 1_000_000
 LONGEST_REMEMBERED = 48
 # texts encoded together, so that their new words share one trie
-BATCH_CHARS = 4 << 20
+BATCH_CHARS = 2 << 20
 
 
 class Vocabulary:
