@@ -248,6 +248,10 @@ SELECTS = {
     "raw_csv_roundtrip": "\nUNION ALL\n".join(
         _schema_counts(view, types, name) for name, (view, types) in _RAW_TYPES.items()
     ),
+    "csv_text_roundtrip": """
+        WITH texts AS (SELECT doc_id, text FROM documents)
+        SELECT doc_id, CAST(length(text) AS INTEGER) AS n_points, text FROM texts""",
+    "duplicate_reviews": "SELECT review_id, count(*) AS cnt FROM r_reviews GROUP BY review_id HAVING count(*) > 1",
     "abt_from_raw_csv": _ABT,
     "abt_csv_roundtrip": _ABT,
     "review_profile": """

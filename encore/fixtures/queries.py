@@ -21,7 +21,7 @@ from encore.operators.impute import impute_median
 from encore.plans import modelling, preparation
 from encore.schemas import BASE_TABLE, RAW, with_types
 from encore.sources.base_table import load_abt, write_abt
-from encore.sources.raw import load_raw
+from encore.sources.raw import load_raw, load_table
 from encore.sources.staging import new_path, stage
 from encore.sources.star import star_raw
 
@@ -80,6 +80,19 @@ def abt_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(load_abt(spark, path, "csv", _bigint_keys(BASE_TABLE)))
 
 
+def csv_text_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document's text through a CSV file and back."""
+    path = new_path(spark, "texts_csv")
+    texts = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    write_abt(texts, path, "csv")
+    back = load_table(spark, path, texts.schema, multi_line=True)
+    return back.select("doc_id", F.char_length("text").alias("n_points"), "text")
+
+
+def duplicate_reviews(spark: SparkSession, sf: str) -> DataFrame:
+    return grain.duplicate_keys(star_raw(spark, sf)["reviews"], ["review_id"])
+
+
 # --- preparation -------------------------------------------------------------
 
 
@@ -347,6 +360,8 @@ QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
         raw_csv_roundtrip,
+        csv_text_roundtrip,
+        duplicate_reviews,
         abt_from_raw_csv,
         abt_csv_roundtrip,
         review_profile,

@@ -14,9 +14,14 @@ from pyspark.sql import functions as F
 SECONDS_PER_DAY = 86400.0
 
 
+def ts_or_null(text: Column) -> Column:
+    """The timestamp a text says; text that is no timestamp becomes null."""
+    return text.try_cast("timestamp_ntz")
+
+
 def coerce_ts(df: DataFrame, columns: list[str]) -> DataFrame:
     """Parse timestamps; text that is no timestamp becomes null."""
-    return df.withColumns({c: F.col(c).try_cast("timestamp_ntz") for c in columns})
+    return df.withColumns({c: ts_or_null(F.col(c)) for c in columns})
 
 
 def strict_ts(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -17,9 +17,6 @@ from encore.functions.temporal import elapsed_days, ts_literal
 
 DELIVERED = "delivered"
 
-# rows of an id and a time that every executor can hold (some 10 MB)
-BROADCAST_ROWS = 100_000
-
 ORDER_COLUMNS = [
     "order_id",
     "customer_unique_id",
@@ -146,17 +143,13 @@ def latest_purchase(raw: dict[str, DataFrame], after: datetime | None) -> dateti
     """The time of the latest purchase event later than ``after``, else ``after``.
 
     A purchase event is an arrived order with a known customer.  Only orders
-    placed after the given time are looked up; with a good lower bound they are
-    few, and then no customers are shuffled.  Runs one small job, or two.
+    placed after the given time are looked up; how they are joined is left to
+    adaptive execution, which sees their size.  Runs one job.
     """
     ts = "order_purchase_timestamp"
     later = arrived(delivered_orders(raw["orders"])).where(F.col(ts) > ts_literal(after)).select("customer_id", ts)
-    rows = later.count()
-    if rows == 0:
-        return after
     known = raw["customers"].where(F.col("customer_unique_id").isNotNull()).select("customer_id")
-    candidates = F.broadcast(later) if rows <= BROADCAST_ROWS else later
-    return candidates.join(known, "customer_id").agg(F.max(ts)).first()[0] or after
+    return later.join(known, "customer_id").agg(F.max(ts)).first()[0] or after
 
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:

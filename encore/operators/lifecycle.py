@@ -8,22 +8,51 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.temporal import ts_literal, whole_days, within_days
-from encore.operators.ordering import global_index
+from encore.operators.ordering import ROWS_PER_PART, part_of_slot, write_in_order
 
 
 def event_rank(events: DataFrame, key: str, ts: str, rank: str = "purchase_event_rank") -> DataFrame:
     """Number every entity's events 1, 2, 3, ... by time; (key, ts) is unique.
 
     A window per entity would sort all events of a heavy entity in one task.
-    Here one distributed sort places every event and the rank is the distance to
-    the entity's first one.  Writes a staged table.
+    Here one distributed sort places every event, and a window per sorted
+    partition and entity finds where the entity begins there.  Only a partition's
+    first entity can have begun earlier; its true begin comes from the partitions'
+    edges, one row each.  Nothing is joined or shuffled by the entity alone.
+    Writes a staged table.
     """
-    placed = global_index(events, [F.col(key), F.col(ts)])
-    starts = placed.groupBy(key).agg(F.min("_index").alias("_first"))
+    placed = write_in_order(events, [F.col(key), F.col(ts)]).withColumns(
+        {"_part": part_of_slot(), "_pos": F.pmod("_slot", F.lit(ROWS_PER_PART))}
+    )
+    runs = placed.groupBy("_part", key).agg(F.min("_pos").alias("_run"), F.count("*").alias("_rows"))
+    edges = runs.groupBy("_part").agg(
+        F.sum("_rows").alias("_rows"),
+        F.min_by(key, "_run").alias("_first_key"),
+        F.max_by(key, "_run").alias("_last_key"),
+        F.max("_run").alias("_last_run"),
+    )
+    # one row per sorted partition, whatever the number of events
+    in_order = Window.orderBy("_part")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    same = F.lag("_last_key").over(in_order).eqNullSafe(F.col("_first_key"))
+    edges = edges.withColumns(
+        {
+            "_start": F.coalesce(F.sum("_rows").over(earlier), F.lit(0)),
+            "_continues": F.lag("_part").over(in_order).isNotNull() & same,
+        }
+    )
+    one_run = F.col("_first_key").eqNullSafe(F.col("_last_key"))
+    edges = edges.withColumn(
+        "_begin", F.when(~(F.col("_continues") & one_run), F.col("_start") + F.col("_last_run"))
+    ).withColumn("_carried", F.when(F.col("_continues"), F.last("_begin", ignorenulls=True).over(earlier)))
+    edges = edges.select("_part", "_start", "_first_key", "_carried")
+    here = F.min("_pos").over(Window.partitionBy("_part", key))
+    carried = F.col("_carried").isNotNull() & F.col(key).eqNullSafe(F.col("_first_key"))
+    first = F.when(carried, F.col("_carried")).otherwise(F.col("_start") + here)
     return (
-        placed.join(starts, key)
-        .withColumn(rank, F.col("_index") - F.col("_first") + 1)
-        .drop("_index", "_first")
+        placed.join(F.broadcast(edges), "_part")
+        .withColumn(rank, F.col("_start") + F.col("_pos") - first + 1)
+        .drop("_part", "_pos", "_slot", "_start", "_first_key", "_carried")
     )
 
 

@@ -8,35 +8,36 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from encore.operators.features import ModelColumns, assembler, class_weights, cleaner, encoder_stages
+from encore.operators.features import ModelColumns, assembler, cleaner, encoder_stages
 
 
 def fit(
     train: DataFrame,
     columns: ModelColumns = ModelColumns(),
     max_iter: int = 1000,
-    tol: float = 1e-9,
+    tol: float = 3e-8,
     inverse_penalty: float = 1.0,
     depth: int = 2,
 ) -> PipelineModel:
     """Minimise sum(weight * log loss) + |coefficients|^2 / (2 * inverse_penalty).
 
     MLlib divides the loss by the weight total, which is the row count for
-    balanced weights, hence the penalty 1 / (inverse_penalty * rows).  Raise
+    balanced weights, hence the penalty 1 / (inverse_penalty * rows).  A much
+    smaller ``tol`` is below what the line search can resolve.  Raise
     ``depth`` (levels of the gradient aggregation) on a very large cluster.
     """
     rows = features_and_label(train, columns)
-    weights = class_weights(rows, columns.label).collect()
-    by_class = {row[columns.label]: row for row in weights}
-    if set(by_class) != {0, 1}:
-        raise ValueError(f"training labels must be 0 and 1, found {sorted(by_class)}")
-    weight = F.when(F.col(columns.label) == 1, by_class[1]["weight"]).otherwise(by_class[0]["weight"])
+    label = F.col(columns.label)
+    ones, zeros, total = rows.agg(F.count_if(label == 1), F.count_if(label == 0), F.count("*")).first()
+    if not ones or not zeros or ones + zeros != total:
+        raise ValueError(f"training labels must be 0 and 1, found {zeros} of 0, {ones} of 1, {total} rows")
+    weight = F.when(label == 1, total / (2 * ones)).otherwise(total / (2 * zeros))
     regression = LogisticRegression(
         labelCol=columns.label,
         weightCol="weight",
         maxIter=max_iter,
         tol=tol,
-        regParam=1.0 / (inverse_penalty * sum(row["cnt"] for row in weights)),
+        regParam=1.0 / (inverse_penalty * total),
         elasticNetParam=0.0,
         standardization=False,
         aggregationDepth=depth,

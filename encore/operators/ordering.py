@@ -36,13 +36,13 @@ def write_in_order(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
-def _part() -> Column:
+def part_of_slot() -> Column:
     return F.shiftright("_slot", PART_BITS).alias("_part")
 
 
 def _part_starts(placed: DataFrame) -> DataFrame:
     """Rows ahead of every sorted partition: one row per partition."""
-    sizes = placed.groupBy(_part()).agg(F.count("*").alias("_rows"))
+    sizes = placed.groupBy(part_of_slot()).agg(F.count("*").alias("_rows"))
     earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     return sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_start"))
 
@@ -53,7 +53,7 @@ def global_index(df: DataFrame, order: list[Column]) -> DataFrame:
     # one row per sorted partition, whatever the number of rows
     starts = F.broadcast(_part_starts(placed))
     return (
-        placed.withColumn("_part", _part())
+        placed.withColumn("_part", part_of_slot())
         .join(starts, "_part")
         .withColumn("_index", F.col("_start") + F.pmod(F.col("_slot"), F.lit(ROWS_PER_PART)))
         .drop("_part", "_start", "_slot")
@@ -66,7 +66,7 @@ def slot_of_fraction(placed: DataFrame, fraction: float) -> int:
     Rows with a smaller slot are exactly the first ``int(n * fraction)``.
     Fetches the row count of every sorted partition, never rows.
     """
-    rows = dict(placed.groupBy(_part()).agg(F.count("*")).collect())
+    rows = dict(placed.groupBy(part_of_slot()).agg(F.count("*")).collect())
     ahead = int(sum(rows.values()) * fraction)
     for part in sorted(rows):
         if ahead < rows[part]:

@@ -2,22 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.flags import ratio
 
 
+def _known(df: DataFrame, column: str) -> Column:
+    """NaN is no value, as null."""
+    value = F.col(f"`{column}`")
+    floating = dict(df.dtypes)[column] in ("double", "float")
+    return value.isNotNull() & ~F.isnan(value) if floating else value.isNotNull()
+
+
 def null_profile(df: DataFrame) -> DataFrame:
-    """Number of nulls in every column."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in df.columns])
+    """Number of nulls and NaNs in every column."""
+    counts = df.agg(*[F.count_if(~_known(df, c)).alias(c) for c in df.columns])
     return counts.unpivot([], df.columns, "column_name", "null_cnt")
 
 
 def schema_profile(df: DataFrame) -> DataFrame:
     """Type and number of known values of every column."""
     types = F.create_map(*[F.lit(x) for pair in df.dtypes for x in pair])
-    counts = df.agg(*[F.count(c).alias(c) for c in df.columns])
+    counts = df.agg(*[F.count_if(_known(df, c)).alias(c) for c in df.columns])
     long = counts.unpivot([], df.columns, "column_name", "non_null_cnt")
     return long.withColumn("data_type", types[F.col("column_name")])
 

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from encore.functions.temporal import ts_or_null
 from encore.schemas import RAW
 
 # The texts a headered CSV uses for "no value".
@@ -31,18 +34,21 @@ NULL_TOKENS = (
     "null",
 )
 
-# Only free text holds line breaks.  A multi-line file cannot be split between
-# tasks, so every other table is read line by line and splits normally.
-MULTI_LINE_TABLES = frozenset({"reviews"})
-
-
 def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """All columns as text, named by the header."""
+    """All columns as text, named by the header.
+
+    With ``multi_line`` quoted text may hold line breaks and a file is one task.
+    Without it files are split, and a row of another width than the header, such
+    as half a row before a line break, fails the job.
+    """
     return (
         spark.read.option("header", True)
         .option("multiLine", multi_line)
         .option("quote", '"')
         .option("escape", '"')
+        .option("mode", "PERMISSIVE" if multi_line else "FAILFAST")
+        # the width of a row is only known when all of it is parsed
+        .option("columnPruning", multi_line)
         .csv(path)
     )
 
@@ -51,7 +57,7 @@ def _typed(field: T.StructField, lenient_ts: bool) -> Column:
     text = F.col(f"`{field.name}`")
     known = F.when(~text.isin(*NULL_TOKENS), text)
     if isinstance(field.dataType, T.TimestampNTZType) and lenient_ts:
-        return known.try_cast(field.dataType).alias(field.name)
+        return ts_or_null(known).alias(field.name)
     return known.cast(field.dataType).alias(field.name)
 
 
@@ -85,16 +91,19 @@ def load_raw(
     fmt: str = "csv",
     files: dict[str, str] | None = None,
     schemas: dict[str, T.StructType] | None = None,
+    multi_line: Collection[str] = tuple(RAW),
 ) -> dict[str, DataFrame]:
     """Read orders, customers, reviews and order_items from a directory.
 
     ``files`` maps a table to its file or folder name (``<table>.<fmt>`` when
     left out).  CSV columns are matched by header name and unneeded ones are
-    never converted.
+    never converted.  ``multi_line`` names the tables whose quoted text may hold
+    line breaks, all four by default; a table left out is read line by line, in
+    splits, and fails on a broken row.
     """
     files = files or {}
     tables = {}
     for name, schema in {**RAW, **(schemas or {})}.items():
         path = f"{directory.rstrip('/')}/{files.get(name, f'{name}.{fmt}')}"
-        tables[name] = load_table(spark, path, schema, fmt, name in MULTI_LINE_TABLES)
+        tables[name] = load_table(spark, path, schema, fmt, name in multi_line)
     return tables

@@ -34,7 +34,7 @@ def test_hot_key_is_spread_over_tasks(spark):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
         placed = ordering.write_in_order(frame(spark, hot=0.9), [F.col("key"), F.col("id")])
-        sizes = placed.groupBy(ordering._part()).count()
+        sizes = placed.groupBy(ordering.part_of_slot()).count()
         assert sizes.count() == 4
         assert sizes.agg(F.max("count")).first()[0] < 0.4 * 5000
     finally:

@@ -5,7 +5,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from encore.operators import evaluate, grain, ordering, profile
+from encore.operators import evaluate, grain, lifecycle, ordering, profile
 from encore.plans import preparation
 from encore.sources.raw import load_raw
 from encore.sources.star import star_raw
@@ -93,3 +93,15 @@ def test_split_parts_are_ranges_of_the_written_table(spark):
     assert "PushedFilters: [IsNotNull(_slot), LessThan(_slot," in plan(split.train)
     assert "PushedFilters: [IsNotNull(_slot), GreaterThanOrEqual(_slot," in plan(split.test)
     assert "Exchange" not in plan(split.train)
+
+
+def test_ranks_of_a_heavy_customer_need_no_shuffle_by_customer(spark, no_broadcast):
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, -7).otherwise(F.col("id")).cast("bigint").alias("key"), F.col("id").alias("ts")
+    )
+    ranked = lifecycle.event_rank(rows, "key", "ts", "rank")
+    text = plan(ranked)
+    assert "SortMergeJoin" not in text and "ShuffledHashJoin" not in text
+    assert not re.search(r"hashpartitioning\(key#", text)
+    assert ranked.where("key = -7").agg(F.max("rank")).first()[0] == 1000
+    assert ranked.where("key <> -7").agg(F.max("rank")).first()[0] == 1

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from encore.plans import preparation
 from encore.schemas import BASE_TABLE, RAW
 from encore.sources.base_table import load_abt, write_abt
-from encore.sources.raw import NULL_TOKENS, load_raw
+from encore.sources.raw import NULL_TOKENS, load_raw, load_table
 from encore.sources.staging import stage, staging_folder
 
 FILES = {
@@ -125,3 +125,21 @@ def test_staged_tables_go_to_the_shared_folder(spark):
     assert staged.count() == 10
     assert staged.inputFiles()[0].split("file://")[-1].startswith(folder)
     assert isinstance(staged.schema["id"].dataType, T.LongType)
+
+
+def test_texts_keep_outer_blanks_and_line_breaks(spark, tmp_path):
+    texts = spark.createDataFrame([(1, ' SP '), (2, 'a "b"\nc, d')], "id bigint, state string")
+    write_abt(texts, str(tmp_path / "t"), "csv")
+    back = load_abt(spark, str(tmp_path / "t"), "csv", texts.schema)
+    assert sorted(map(tuple, back.collect())) == [(1, " SP "), (2, 'a "b"\nc, d')]
+
+
+def test_a_broken_row_fails_where_lines_are_rows(spark, tmp_path):
+    folder = tmp_path / "raw"
+    folder.mkdir()
+    (folder / "customers.csv").write_text('customer_id,customer_unique_id,customer_state\n1,u,"S\nP"\n')
+    schema = RAW["customers"]
+    path = str(folder / "customers.csv")
+    assert load_table(spark, path, schema, multi_line=True).collect()[0]["customer_state"] == "S\nP"
+    with pytest.raises(Exception, match="(?i)malformed"):
+        load_table(spark, path, schema).select("customer_id").collect()
