@@ -190,8 +190,10 @@ def _unpacked(note: bytes, *kinds) -> list[np.ndarray]:
 
 def _split(seeds: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
     """Slices of sorted minimisers by hash range."""
+    if not len(seeds):
+        return
     ranges = (seeds >> np.uint64(64 - bits)).astype(np.int64) if bits else np.zeros(len(seeds), np.int64)
-    begin = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1])) if len(ranges) else []
+    begin = np.flatnonzero(np.append(True, ranges[1:] != ranges[:-1]))
     for a, z in zip(begin, [*begin[1:], len(ranges)], strict=True):
         yield int(ranges[a]), slice(int(a), int(z))
 

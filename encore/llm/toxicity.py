@@ -42,7 +42,7 @@ HIDDEN = dict.fromkeys(map(ord, "­​‌‍⁠﻿"))
 WIDE = {0xFEE0 + c: chr(c) for c in range(0x21, 0x7F)}
 BLANKS = {c: " " for c in range(128) if not chr(c).isalnum() and chr(c) not in "@$"}
 FOLDED = str.maketrans(LOOK_ALIKES) | HIDDEN | WIDE | BLANKS
-STANDING_IN = re.compile(r"[^\W\d_]*[0134578@$][\w@$]*")
+STANDING_IN = re.compile(r"(?<![\w@$])[\w@$]*[0134578@$][\w@$]*")
 LETTER_OF = str.maketrans(DIGITS | {"$": "s"})
 
 
@@ -55,7 +55,7 @@ def _letters(match: re.Match) -> str:
 def fold(text: str) -> str:
     """A text's words in plain letters, one blank around each."""
     plain = text.lower().translate(FOLDED)
-    if not plain.isascii() or any(c in plain for c in "0134578@$"):
+    if any(c in plain for c in "0134578@$"):
         plain = STANDING_IN.sub(_letters, plain)
     return " " + " ".join(plain.split()) + " "
 
