@@ -275,7 +275,7 @@ def _tell_pieces(bits: int):
         for batch in batches:
             for b, ids, lens, body, notes in zip(*(values(batch.column(i)) for i in range(5)), strict=True):
                 block = Block(ids, lens, body)
-                texts, seeds, owners, _ = block.pieces(_chosen(block, notes, bits))
+                texts, seeds, owners, _ = block.pieces(_chosen(block, notes or [], bits))
                 for r, part in _split(seeds, bits):
                     mine = texts[part]
                     sizes = np.fromiter(map(len, mine), np.int32, len(mine))
@@ -348,7 +348,7 @@ def _answer_pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def _covered(block: Block, notes: list[dict], bits: int) -> np.ndarray:
     """Which bytes of the block lie in a string a smaller document has."""
-    _, seeds, owners, occurrences = block.pieces(_chosen(block, notes, bits))
+    _, seeds, owners, occurrences = block.pieces(_chosen(block, notes or [], bits))
     marks = np.zeros(len(block.body) + 1, np.int32)
     number, segment = occurrences[:, 0], occurrences[:, 1]
     doc, start, count = block.ids[block.doc[segment]], block.start[segment], block.count[segment]
