@@ -31,11 +31,11 @@ STEPS = {
         JOIN nation ON n_nationkey = (c_nationkey + o_orderkey % 2) % 25""",
     "r_reviews": """
         SELECT l_orderkey * 10 + l_linenumber AS review_id,
-               l_orderkey AS order_id,
+               CASE WHEN l_returnflag = 'R' AND l_orderkey % 4 <> 0 THEN l_orderkey END AS order_id,
                CASE WHEN l_partkey % 41 <> 0
                    THEN CAST(1 AS DOUBLE) + CAST(l_partkey % 400 AS DOUBLE) / CAST(100 AS DOUBLE) END
                    AS review_score
-        FROM lineitem WHERE l_returnflag = 'R' AND l_orderkey % 4 <> 0""",
+        FROM lineitem""",
     "r_items": """
         SELECT l_orderkey AS order_id, l_linenumber AS order_item_id,
                CAST(l_extendedprice AS DECIMAL(12,2)) AS price
@@ -117,6 +117,17 @@ STEPS = {
                    <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split
         FROM base""",
     "train": "SELECT * FROM parts WHERE split = 'train'",
+    "first_parts": """
+        SELECT *, CASE WHEN row_number() OVER (ORDER BY first_purchase_ts, customer_unique_id)
+                   <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split
+        FROM firsts""",
+    "first_medians": """
+        SELECT median(delivery_days_mean) AS d_median, median(first_event_review_score_mean) AS r_median
+        FROM first_parts WHERE split = 'train'""",
+    "first_filled": """
+        SELECT customer_unique_id, split, coalesce(delivery_days_mean, d_median) AS d,
+               coalesce(first_event_review_score_mean, r_median) AS r
+        FROM first_parts CROSS JOIN first_medians""",
     "scores": """
         SELECT customer_unique_id, purchase_2nd_within_90d AS y_true,
                CAST((customer_unique_id * 7919) % 101 AS DOUBLE) / CAST(101 AS DOUBLE) * CAST(0.7 AS DOUBLE)
@@ -337,6 +348,22 @@ SELECTS = {
                               avg(first_event_review_score_mean) AS r_mean,
                               stddev_pop(first_event_review_score_mean) AS r_dev
                        FROM train) t""",
+    "scaled_numeric_unimputed": """
+        SELECT f.customer_unique_id,
+               round((f.d - t.d_mean) / t.d_dev, 6) + 0.0 AS delivery_days_mean_scaled,
+               round((f.r - t.r_mean) / t.r_dev, 6) + 0.0 AS first_event_review_score_mean_scaled
+        FROM first_filled f, (SELECT avg(d) AS d_mean, stddev_pop(d) AS d_dev, avg(r) AS r_mean,
+                                     stddev_pop(r) AS r_dev
+                              FROM first_filled WHERE split = 'train') t""",
+    "logreg_optimality": """
+        SELECT name, CAST(total AS DOUBLE) AS total, CAST(0 AS DOUBLE) AS gradient, CAST(0 AS BIGINT) AS n_wrong
+        FROM (SELECT 'delivery_days_mean' AS name, 0 AS total
+              UNION ALL SELECT 'first_event_review_score_mean', 0
+              UNION ALL SELECT 'customer_state=' || coalesce(customer_state, '__missing__'), count(*)
+                        FROM train GROUP BY 1
+              UNION ALL SELECT 'late_flag', sum(late_flag) FROM train
+              UNION ALL SELECT 'has_review', sum(has_review) FROM train
+              UNION ALL SELECT 'intercept', count(*) FROM train)""",
     "class_weights": """
         SELECT purchase_2nd_within_90d, count(*) AS cnt,
                round(CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)), 6) AS weight

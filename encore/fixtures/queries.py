@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.functions.temporal import ts_literal
-from encore.operators import evaluate, features, grain, lifecycle, ordering, profile
+from encore.operators import evaluate, features, grain, lifecycle, model, ordering, profile
 from encore.operators.features import ModelColumns
 from encore.operators.impute import impute_median
 from encore.plans import modelling, preparation
@@ -286,10 +286,28 @@ def scaled_numeric(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(scaled.select(COLUMNS.key, *[f"{c}_scaled" for c in COLUMNS.numeric]))
 
 
+def scaled_numeric_unimputed(spark: SparkSession, sf: str) -> DataFrame:
+    """First purchases split and scaled as they are, so that the imputer meets real nulls."""
+    firsts = stage(_first_purchase(spark, sf), "first_purchase")
+    split = ordering.time_split(firsts, COLUMNS.ts, COLUMNS.key)
+    scaled = features.cleaner(split.train, COLUMNS).transform(split.rows)
+    return tidy(scaled.select(COLUMNS.key, *[(F.col(f"{c}_scaled") + 0.0).alias(f"{c}_scaled") for c in COLUMNS.numeric]))
+
+
 def class_weights(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(features.class_weights(_split(spark, sf).train, LABEL))
 
 
+def logreg_optimality(spark: SparkSession, sf: str) -> DataFrame:
+    """Column sums and the gradient at the fitted model over all training rows."""
+    train = _split(spark, sf).train
+    weights = features.class_weights(train, LABEL).select(LABEL, "weight")
+    fitted = model.fit(train, COLUMNS)
+    lines = tidy(model.optimality(fitted, train.join(F.broadcast(weights), LABEL), COLUMNS))
+    # no negative zero
+    return lines.select("name", (F.col("total") + 0.0).alias("total"), (F.col("gradient") + 0.0).alias("gradient"), "n_wrong")
+
+
 def logreg_scores(spark: SparkSession, sf: str) -> DataFrame:
     run = modelling.train_and_score(_abt(spark, sf))
     return tidy(run.scored.select(COLUMNS.key, "y_true", "y_prob", "y_pred"))
@@ -396,7 +414,9 @@ QUERIES: dict[str, Query] = {
         split_label_rates,
         one_hot_state,
         scaled_numeric,
+        scaled_numeric_unimputed,
         class_weights,
+        logreg_optimality,
         logreg_scores,
         logreg_metrics,
         logreg_top_decile_lift,

@@ -85,7 +85,7 @@ def classification_report(scored: DataFrame) -> DataFrame:
 
 
 def score_curve(scored: DataFrame) -> DataFrame:
-    """Per distinct score: positives, negatives, and tp / fp at that threshold."""
+    """Per distinct score: positives, negatives, tp / fp at that threshold, and the class totals."""
     known = scored.where(F.col("y_prob").isNotNull() & ~F.isnan("y_prob"))
     counts = known.groupBy("y_prob").agg(
         F.count_if(F.col("y_true") == 1).alias("pos"), F.count_if(F.col("y_true") == 0).alias("neg")
@@ -95,15 +95,25 @@ def score_curve(scored: DataFrame) -> DataFrame:
 
 
 def roc_curve(curve: DataFrame) -> DataFrame:
-    """False and true positive rate at every threshold, from the (0, 0) corner."""
-    corner = curve.sparkSession.range(1).selectExpr(
-        "cast(null AS double) AS threshold", "cast(0 AS bigint) AS fp", "cast(0 AS bigint) AS tp"
-    )
-    points = curve.select(F.col("y_prob").alias("threshold"), "fp", "tp").union(corner)
-    negatives, positives = curve.agg(F.sum("neg")).scalar(), curve.agg(F.sum("pos")).scalar()
-    return points.withColumns(
-        {"fpr": ratio(F.col("fp"), negatives), "tpr": ratio(F.col("tp"), positives)}
-    )
+    """False and true positive rate at every threshold, from the (0, 0) corner.
+
+    The rate of a class without rows is null, also in the corner; no rows, no points.
+    """
+
+    def point(threshold: Column, fp: Column, tp: Column) -> Column:
+        return F.struct(
+            threshold.cast("double").alias("threshold"),
+            fp.cast("bigint").alias("fp"),
+            tp.cast("bigint").alias("tp"),
+            ratio(fp, F.col("neg_all")).alias("fpr"),
+            ratio(tp, F.col("pos_all")).alias("tpr"),
+        )
+
+    here = point(F.col("y_prob"), F.col("fp"), F.col("tp"))
+    corner = point(F.lit(None), F.lit(0), F.lit(0))
+    # the corner goes before the highest score
+    highest = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    return curve.select(F.inline(F.when(highest, F.array(corner, here)).otherwise(F.array(here))))
 
 
 def pr_curve(curve: DataFrame) -> DataFrame:
@@ -111,8 +121,7 @@ def pr_curve(curve: DataFrame) -> DataFrame:
 
     Without any positive row recall is 1 everywhere but in the corner.
     """
-    positives = curve.agg(F.sum("pos")).scalar()
-    recall = F.coalesce(ratio(F.col("tp"), positives), F.lit(1.0))
+    recall = F.coalesce(ratio(F.col("tp"), F.col("pos_all")), F.lit(1.0))
     points = curve.select(
         F.col("y_prob").alias("threshold"),
         ratio_or_zero(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,13 +19,15 @@ def fit(
     tol: float = 3e-8,
     inverse_penalty: float = 1.0,
     depth: int = 2,
+    max_gradient: float = 1e-6,
 ) -> PipelineModel:
     """Minimise sum(weight * log loss) + |coefficients|^2 / (2 * inverse_penalty).
 
     MLlib divides the loss by the weight total, which is the row count for
     balanced weights, hence the penalty 1 / (inverse_penalty * rows).  A much
     smaller ``tol`` is below what the line search can resolve.  Raise
-    ``depth`` (levels of the gradient aggregation) on a very large cluster.
+    ``depth`` (levels of the gradient aggregation) on a very large cluster.  A
+    gradient a row above ``max_gradient`` at the end is an error, not a fit.
     """
     rows = features_and_label(train, columns)
     label = F.col(columns.label)
@@ -32,6 +35,7 @@ def fit(
     if not ones or not zeros or ones + zeros != total:
         raise ValueError(f"training labels must be 0 and 1, found {zeros} of 0, {ones} of 1, {total} rows")
     weight = F.when(label == 1, total / (2 * ones)).otherwise(total / (2 * zeros))
+    weighted = rows.withColumn("weight", weight)
     regression = LogisticRegression(
         labelCol=columns.label,
         weightCol="weight",
@@ -43,7 +47,57 @@ def fit(
         aggregationDepth=depth,
     )
     stages = [cleaner(rows, columns), *encoder_stages(columns), assembler(columns), regression]
-    return Pipeline(stages=stages).fit(rows.withColumn("weight", weight))
+    fitted = Pipeline(stages=stages).fit(weighted)
+    steepest = optimality(fitted, weighted, columns, inverse_penalty).agg(F.max(F.abs("gradient"))).first()[0]
+    if not steepest < max_gradient:
+        raise ArithmeticError(f"the solver stopped at a gradient of {steepest} a row, {max_gradient} is allowed")
+    return fitted
+
+
+def column_names(model: PipelineModel, columns: ModelColumns) -> list[str]:
+    """The coefficients' names in their order: numbers, ``column=category``, flags."""
+    indexer = next(stage for stage in model.stages if isinstance(stage, StringIndexerModel))
+    states = [
+        f"{c}={category}"
+        for c, known in zip(columns.categorical, indexer.labelsArray, strict=True)
+        for category in known
+    ]
+    return [*columns.numeric, *states, *columns.binary]
+
+
+def optimality(
+    model: PipelineModel, weighted: DataFrame, columns: ModelColumns = ModelColumns(), inverse_penalty: float = 1.0
+) -> DataFrame:
+    """Per coefficient and the intercept: the column's sum and the loss gradient a row.
+
+    ``weighted`` are the training rows with their ``weight``.  At the optimum, which is
+    unique, every gradient is 0.  ``n_wrong`` counts the rows whose prediction is not
+    what their probability says.  One aggregate over the rows.
+    """
+    coefficients = [*model.stages[-1].coefficients.toArray().tolist(), 0.0]
+    names = [*column_names(model, columns), "intercept"]
+    x, probability = vector_to_array("features"), vector_to_array("probability")[1]
+    rows = model.transform(weighted).select(
+        F.concat(x, F.array(F.lit(1.0))).alias("_x"),
+        (F.col("weight") * (probability - F.col(columns.label))).alias("_residual"),
+        (F.col("prediction") != (probability > 0.5).cast("double")).alias("_wrong"),
+    )
+    sums = rows.agg(
+        F.count("*").alias("_rows"),
+        F.count_if("_wrong").alias("n_wrong"),
+        *[F.sum(F.col("_x")[i]).alias(f"_sum{i}") for i in range(len(names))],
+        *[F.sum(F.col("_residual") * F.col("_x")[i]).alias(f"_slope{i}") for i in range(len(names))],
+    )
+    lines = [
+        F.struct(
+            F.lit(name).alias("name"),
+            F.col(f"_sum{i}").alias("total"),
+            ((F.col(f"_slope{i}") + coefficient / inverse_penalty) / F.col("_rows")).alias("gradient"),
+            F.col("n_wrong"),
+        )
+        for i, (name, coefficient) in enumerate(zip(names, coefficients, strict=True))
+    ]
+    return sums.select(F.inline(F.array(*lines)))
 
 
 def features_and_label(df: DataFrame, columns: ModelColumns) -> DataFrame:

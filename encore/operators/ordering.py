@@ -1,8 +1,9 @@
 """Global order without a single-task sort.
 
-Row positions come from one range-partitioned sort; running totals and exact
-quantiles come from quantile buckets.  In each case the only rows that meet in
-one task are one total per partition or bucket.
+Row positions come from one range-partitioned sort; the row at one position comes
+from counting alone; running totals and exact quantiles come from quantile buckets.
+The only rows that meet in one task are one total per partition or bucket, or a
+fixed number of rows.
 """
 
 from __future__ import annotations
@@ -11,15 +12,19 @@ import math
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from encore.functions.temporal import ts_literal
 from encore.sources.staging import stage
 
 # monotonically_increasing_id() is the partition number above 33 bits of row number
 PART_BITS = 33
 ROWS_PER_PART = 1 << PART_BITS
-LAST_SLOT = (1 << 63) - 1
+# rows drawn to divide an interval, and the size of an interval that is fetched
+PIVOTS = 32
+FETCH_ROWS = 4096
 
 
 # --- row positions ---------------------------------------------------------
@@ -60,63 +65,144 @@ def global_index(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
-def slot_of_fraction(placed: DataFrame, fraction: float) -> int:
-    """The ``_slot`` of row ``int(n * fraction)`` of a table written in order.
+# --- one place of an order, by counting -------------------------------------
 
-    Rows with a smaller slot are exactly the first ``int(n * fraction)``.
-    Fetches the row count of every sorted partition, never rows.
+
+@dataclass(frozen=True)
+class SortKey:
+    """One column of an order, nulls as in Spark: first when ascending, last when descending."""
+
+    name: str
+    descending: bool = False
+
+
+def _constant(value, kind: T.DataType) -> Column:
+    if isinstance(kind, T.TimestampNTZType):
+        return ts_literal(value)
+    return F.lit(value).cast(kind)
+
+
+def _ahead_of(keys: list[SortKey], cut: Row, schema: T.StructType) -> Column:
+    """Whether a row lies before ``cut``; never null, plain enough for a scan's filters."""
+    ahead = F.lit(False)
+    for key, value in reversed(list(zip(keys, cut, strict=True))):
+        column, bound = F.col(key.name), _constant(value, schema[key.name].dataType)
+        if value is None:
+            first = column.isNotNull() if key.descending else F.lit(False)
+        elif key.descending:
+            first = column.isNotNull() & (column > bound)
+        else:
+            first = column.isNull() | (column < bound)
+        ahead = first | (column.eqNullSafe(bound) & ahead)
+    return ahead
+
+
+def _same_as(keys: list[SortKey], cut: Row, schema: T.StructType) -> Column:
+    same = F.lit(True)
+    for key, value in zip(keys, cut, strict=True):
+        same &= F.col(key.name).eqNullSafe(_constant(value, schema[key.name].dataType))
+    return same
+
+
+def row_at(df: DataFrame, keys: list[SortKey], position: int, rows: int | None = None) -> Row | None:
+    """The sort columns of the row at the 0-based ``position``; None beyond the end.
+
+    Nothing is sorted or shuffled.  Each round draws a few rows as pivots, counts
+    the rows at and between them, and goes on in the interval with the position,
+    some sixteen times smaller, until that is a pivot or an interval of at most
+    ``FETCH_ROWS`` rows.  Pivots change the number of rounds, never the result.
+    A round scans the sort columns twice and fetches one row per pivot or count.
     """
-    rows = dict(placed.groupBy(part_of_slot()).agg(F.count("*")).collect())
-    ahead = int(sum(rows.values()) * fraction)
-    for part in sorted(rows):
-        if ahead < rows[part]:
-            return part * ROWS_PER_PART + ahead
-        ahead -= rows[part]
-    return LAST_SLOT
+    names = [key.name for key in keys]
+    order = [F.desc(key.name) if key.descending else F.asc(key.name) for key in keys]
+    here = df.select(*names)
+    schema = here.schema
+    rows = here.count() if rows is None else rows
+    if not 0 <= position < rows:
+        return None
+    low = high = None
+    while True:
+        bounds = F.lit(True)
+        if low is not None:
+            bounds &= ~_ahead_of(keys, low, schema) & ~_same_as(keys, low, schema)
+        if high is not None:
+            bounds &= _ahead_of(keys, high, schema)
+        inside = here.where(bounds)
+        if rows <= FETCH_ROWS:
+            return inside.orderBy(*order).limit(rows).collect()[position]
+        drawn = inside.orderBy(F.rand(rows)).limit(PIVOTS).distinct().orderBy(*order).collect()
+        # 2i + 1: equal to pivot i; 2i: between pivots i - 1 and i
+        side = F.lit(0)
+        for pivot in drawn:
+            ahead, same = _ahead_of(keys, pivot, schema), _same_as(keys, pivot, schema)
+            side += F.when(ahead, 0).when(same, 1).otherwise(2)
+        counts = dict(inside.groupBy(side.alias("side")).count().collect())
+        for at in sorted(counts):
+            if position < counts[at]:
+                break
+            position -= counts[at]
+        if at % 2:
+            return drawn[at // 2]
+        low = drawn[at // 2 - 1] if at else low
+        high = drawn[at // 2] if at // 2 < len(drawn) else high
+        rows = counts[at]
+
+
+def _first_fraction(df: DataFrame, keys: list[SortKey], fraction: float) -> Column:
+    """Whether a row is among the first ``int(n * fraction)`` of the order."""
+    rows = df.count()
+    ahead = int(rows * fraction)
+    if ahead == 0:
+        return F.lit(False)
+    cut = row_at(df, keys, ahead, rows)
+    return F.lit(True) if cut is None else _ahead_of(keys, cut, df.schema)
 
 
 @dataclass(frozen=True)
 class TimeSplit:
-    """A table in time order, cut at one ``_slot``: two ranges of the same files."""
+    """A table cut at one point in time: two filters of the same rows."""
 
-    placed: DataFrame
-    cut: int
+    table: DataFrame
+    early: Column
 
     @property
     def train(self) -> DataFrame:
-        return self.placed.where(F.col("_slot") < self.cut).drop("_slot")
+        return self.table.where(self.early)
 
     @property
     def test(self) -> DataFrame:
-        return self.placed.where(F.col("_slot") >= self.cut).drop("_slot")
+        return self.table.where(~self.early)
 
     @property
     def rows(self) -> DataFrame:
         """All rows with a ``split`` column saying train or test."""
-        name = F.when(F.col("_slot") < self.cut, "train").otherwise("test")
-        return self.placed.withColumn("split", name).drop("_slot")
+        return self.table.withColumn("split", F.when(self.early, "train").otherwise("test"))
 
 
 def time_split(df: DataFrame, ts: str, tie: str, fraction: float = 0.8) -> TimeSplit:
     """Take the earliest ``int(n * fraction)`` rows for training, the rest for testing.
 
-    Writes ``df`` once, sorted by time, so that either part skips the other's files.
+    ``df`` should be a stored or staged table: it is scanned some times for the cut,
+    then once per part, but neither sorted nor written.  Rows with one time are
+    divided by ``tie``; rows equal in both stay together, in the test part.
     """
-    placed = write_in_order(df, [F.col(ts).asc(), F.col(tie).asc()])
-    return TimeSplit(placed, slot_of_fraction(placed, fraction))
+    return TimeSplit(df, _first_fraction(df, [SortKey(ts), SortKey(tie)], fraction))
 
 
 def mark_top_fraction(
     df: DataFrame, score: str, tie: str, fraction: float = 0.10, flag: str = "in_top"
 ) -> DataFrame:
-    """Flag the ``int(n * fraction)`` rows with the highest scores."""
-    placed = write_in_order(df, [F.col(score).desc(), F.col(tie).asc()])
-    return placed.withColumn(flag, F.col("_slot") < slot_of_fraction(placed, fraction)).drop("_slot")
+    """Flag the ``int(n * fraction)`` rows with the highest scores; of equal scores the smallest ties.
+
+    ``df`` should be stored or staged, as for ``time_split``.
+    """
+    keys = [SortKey(score, descending=True), SortKey(tie)]
+    return df.withColumn(flag, _first_fraction(df, keys, fraction))
 
 
 def top_fraction(df: DataFrame, score: str, tie: str, fraction: float = 0.10) -> DataFrame:
     """The ``int(n * fraction)`` rows with the highest scores."""
-    return mark_top_fraction(df, score, tie, fraction, "_top").where("_top").drop("_top")
+    return df.where(_first_fraction(df, [SortKey(score, descending=True), SortKey(tie)], fraction))
 
 
 # --- quantile buckets ------------------------------------------------------
@@ -143,7 +229,7 @@ def _bucket_model(df: DataFrame, columns: list[str]) -> Bucketizer:
 def running_totals(
     values: DataFrame, key: str, totals: list[str], descending: bool, fit_on: DataFrame
 ) -> DataFrame:
-    """Add ``<total>_upto``: the sum over all keys up to and including this one.
+    """Add ``<total>_upto``, the sum over all keys up to and including this one, and ``<total>_all``.
 
     ``values`` has one row per distinct key; ``fit_on`` is the table those keys
     come from.  Runs one pass over ``fit_on[key]`` to find the bucket borders.
@@ -160,10 +246,15 @@ def running_totals(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     earlier = Window.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy(direction("_bucket")).rowsBetween(
+        Window.unboundedPreceding, Window.unboundedFollowing
+    )
     sums = bucketed.groupBy("_bucket").agg(*[F.sum(t).alias(t) for t in totals])
     # one row per bucket, whatever the number of keys
     starts = sums.select(
-        "_bucket", *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"_{t}_before") for t in totals]
+        "_bucket",
+        *[F.coalesce(F.sum(t).over(earlier), F.lit(0)).alias(f"_{t}_before") for t in totals],
+        *[F.sum(t).over(everything).alias(f"{t}_all") for t in totals],
     )
     return (
         bucketed.withColumns({f"{t}_upto": F.sum(t).over(within) for t in totals})
@@ -176,10 +267,10 @@ def running_totals(
 def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5) -> dict[str, float | None]:
     """The exact quantile of each column, interpolated between neighbours.
 
-    Null and NaN are skipped; a column without values gives None.  Three passes
-    for all columns together, none of which shuffles their rows: bucket borders,
-    rows per bucket, then only the buckets that hold the wanted ranks, reduced to
-    distinct values.  Fetches one row per bucket and two values per column.
+    Null and NaN are skipped; a column without values gives None.  Two passes for
+    all columns together: bucket borders and rows per bucket; then ``row_at`` within
+    the buckets that hold the wanted ranks.  No pass shuffles rows, no task's share
+    grows but with the scan.
     """
     values = df.select(
         *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
@@ -214,35 +305,22 @@ def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5) -> dict[s
         for bucket, rows in sorted(buckets):
             for rank in picks[column][:2]:
                 if ahead <= rank < ahead + rows:
-                    wanted.append((column, bucket, rank, rank - ahead))
+                    wanted.append((column, bucket, rank, rank - ahead, rows))
             ahead += rows
     if not wanted:
         return dict.fromkeys(columns)
 
-    here = Window.partitionBy("column", "bucket").orderBy("value")
-    upto = F.sum("cnt").over(here.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    in_wanted = F.struct("column", "bucket").isin(
-        *[F.struct(F.lit(c), F.lit(b)) for c, b in {(c, b) for c, b, _, _ in wanted}]
-    )
-    reached = (
-        long.where(in_wanted)
-        .groupBy("column", "bucket", "value")
-        .agg(F.count("*").alias("cnt"))
-        .withColumn("upto", upto)
-    )
-    found = reached.agg(
-        *[
-            F.min(
-                F.when(
-                    (F.col("column") == c) & (F.col("bucket") == b) & (F.col("upto") > local),
-                    F.col("value"),
-                )
-            ).alias(f"{c}:{rank}")
-            for c, b, rank, local in wanted
-        ]
-    ).first()
+    found = {
+        (column, rank): row_at(
+            bucketed.where((F.col(f"_bucket_{column}") == bucket) & F.col(column).isNotNull()),
+            [SortKey(column)],
+            local,
+            rows,
+        )[column]
+        for column, bucket, rank, local, rows in wanted
+    }
     quantiles: dict[str, float | None] = dict.fromkeys(columns)
     for column, (low, high, share) in picks.items():
-        below, above = found[f"{column}:{low}"], found[f"{column}:{high}"]
+        below, above = found[column, low], found[column, high]
         quantiles[column] = below + (above - below) * share
     return quantiles

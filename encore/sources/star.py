@@ -51,9 +51,9 @@ def star_customers(orders: DataFrame, customer: DataFrame, nation: DataFrame) ->
 
 
 def star_reviews(lineitem: DataFrame) -> DataFrame:
-    return lineitem.where("l_returnflag = 'R' AND l_orderkey % 4 != 0").selectExpr(
+    return lineitem.selectExpr(
         "l_orderkey * 10 + l_linenumber AS review_id",
-        "l_orderkey AS order_id",
+        "CASE WHEN l_returnflag = 'R' AND l_orderkey % 4 != 0 THEN l_orderkey END AS order_id",
         "CASE WHEN l_partkey % 41 != 0 THEN 1D + cast(l_partkey % 400 AS double) / 100D END AS review_score",
     )
 

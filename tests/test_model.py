@@ -140,3 +140,8 @@ def test_value_and_gmv_stay_out_unless_asked(spark):
     narrow = model.fit(df).stages[-1].numFeatures
     wide = model.fit(df, ModelColumns(numeric=(*COLUMNS.numeric, "first_item_cnt", "first_purchase_gmv"), unused=()))
     assert (narrow, wide.stages[-1].numFeatures) == (8, 10)
+
+
+def test_a_solver_that_gives_up_is_no_fit(spark):
+    with pytest.raises(ArithmeticError, match="gradient"):
+        model.fit(base_table(spark, n=300), max_iter=1)

@@ -56,6 +56,53 @@ def test_top_fraction_equals_sort_and_slice(spark):
     assert top == sorted(data["id"][: int(len(data) * 0.25)])
 
 
+@pytest.fixture
+def small_steps(monkeypatch):
+    """Intervals are divided down to a few rows, so that every branch runs."""
+    monkeypatch.setattr(ordering, "FETCH_ROWS", 3)
+    monkeypatch.setattr(ordering, "PIVOTS", 4)
+
+
+def tied(spark, kind):
+    """A third of the rows on one value, ties told apart by ``kind``; null times too."""
+    tie = {"string": F.concat(F.lit("k\u00e9"), F.col("id")), "bigint": F.col("id") + (1 << 60)}[kind]
+    ts = F.expr("timestamp_ntz'2024-03-31 01:30:00.000001'")
+    time = F.when(F.col("id") % 3 == 0, ts).when(F.col("id") % 11 != 0, ts + F.make_dt_interval((F.col("id") * 37 % 19 - 9).cast("int")))
+    score = F.when(F.col("id") % 3 == 0, 0.5).when(F.col("id") % 13 == 0, float("nan")).when(F.col("id") % 7 != 0, F.col("id") % 50 / 50.0)
+    return spark.range(400).select(time.alias("ts"), tie.alias("tie"), score.alias("score")).repartition(5)
+
+
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+@pytest.mark.parametrize("fraction", [0.3, 0.5, 0.97])
+def test_cuts_equal_a_sort(spark, small_steps, kind, fraction):
+    df = tied(spark, kind)
+    n = int(400 * fraction)
+    early = [r["tie"] for r in df.orderBy("ts", "tie").limit(n).collect()]
+    split = ordering.time_split(df, "ts", "tie", fraction)
+    assert sorted(r["tie"] for r in split.train.collect()) == sorted(early)
+    assert split.test.count() == 400 - n
+    best = [r["tie"] for r in df.orderBy(F.desc("score"), "tie").limit(n).collect()]
+    assert sorted(r["tie"] for r in ordering.top_fraction(df, "score", "tie", fraction).collect()) == sorted(best)
+    assert ordering.mark_top_fraction(df, "score", "tie", fraction).where("in_top").count() == n
+
+
+def test_cuts_of_no_rows_and_of_equal_rows(spark, small_steps):
+    none = spark.createDataFrame([], "ts int, tie int")
+    assert ordering.time_split(none, "ts", "tie").train.count() == 0
+    assert ordering.top_fraction(none, "ts", "tie").count() == 0
+    same = spark.createDataFrame([(1, 1)] * 50, "ts int, tie int")
+    split = ordering.time_split(same, "ts", "tie")
+    assert (split.train.count(), split.test.count()) == (0, 50)
+
+
+def test_median_inside_a_large_bucket(spark, small_steps):
+    data = pd.Series([r["x"] for r in frame(spark, n=400).collect()])
+    assert ordering.exact_quantiles(frame(spark, n=400), ["x", "key"]) == {
+        "x": data.median(),
+        "key": float(pd.Series([r["key"] for r in frame(spark, n=400).collect()]).median()),
+    }
+
+
 def test_rank_of_a_heavy_entity_equals_a_window(spark):
     df = frame(spark)
     ranked = lifecycle.event_rank(df, "key", "id", "rank")

@@ -87,12 +87,35 @@ def test_curve_gathers_only_bucket_totals(spark):
     assert "HashAggregate" in child and "_bucket" in child
 
 
-def test_split_parts_are_ranges_of_the_written_table(spark):
-    rows = spark.range(100).select(F.col("id"), (F.col("id") * 7 % 100).alias("ts"))
-    split = ordering.time_split(rows, "ts", "id")
-    assert "PushedFilters: [IsNotNull(_slot), LessThan(_slot," in plan(split.train)
-    assert "PushedFilters: [IsNotNull(_slot), GreaterThanOrEqual(_slot," in plan(split.test)
-    assert "Exchange" not in plan(split.train)
+@pytest.mark.parametrize("part", ["train", "test"])
+def test_split_parts_are_pushed_filters_of_the_table_itself(spark, tmp_path, part):
+    rows = spark.range(100).select(F.col("id"), (F.col("id") * 7 % 100).alias("ts"), F.lit("x").alias("wide"))
+    rows.write.parquet(str(tmp_path / "rows"))
+    split = ordering.time_split(spark.read.parquet(str(tmp_path / "rows")), "ts", "id")
+    text = plan(getattr(split, part).select("id"))
+    scan = next(line for line in text.splitlines() if "PushedFilters" in line)
+    assert ("LessThan(ts," if part == "train" else "GreaterThanOrEqual(ts,") in scan
+    assert "wide" not in scan
+    assert "Exchange" not in text and "Sort" not in text and "_slot" not in text
+
+
+def test_top_rows_need_no_sort(spark):
+    rows = spark.range(1000).select(F.col("id"), (F.col("id") * 7 % 100 / 3).alias("score"))
+    text = plan(ordering.top_fraction(rows, "score", "id"))
+    assert "Exchange" not in text and "Sort" not in text
+
+
+def test_curves_scan_the_scored_rows_once(spark, tmp_path):
+    rows = spark.range(1000).select(
+        (F.col("id") % 2).cast("int").alias("y_true"), (F.col("id") / 1000.0).alias("y_prob")
+    )
+    rows.write.parquet(str(tmp_path / "scored"))
+    curve = evaluate.score_curve(spark.read.parquet(str(tmp_path / "scored")))
+    for points in (evaluate.roc_curve(curve), evaluate.pr_curve(curve)):
+        points.collect()
+        final = plan(points).split("== Initial Plan ==")[0]
+        reads = [line for line in final.splitlines() if "FileScan" in line]
+        assert len(reads) == 1 or "ReusedExchange" in final
 
 
 def test_ranks_of_a_heavy_customer_need_no_shuffle_by_customer(spark, no_broadcast):
