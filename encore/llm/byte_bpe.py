@@ -28,17 +28,17 @@ WORDS = (
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 # words and pairs a task remembers; beyond it the memory starts anew
-REMEMBERED_WORDS = 400_000
-REMEMBERED_PAIRS = 1_000_000
+REMEMBERED_WORDS = 200_000
+REMEMBERED_PAIRS = 400_000
 LONGEST_REMEMBERED = 48
 # texts encoded together, so that their new words share one trie
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 
 
 class Vocabulary:
-    """Tokens as bytes, merges as pairs of ids, and strings that are one token anywhere."""
+    """Tokens as bytes, strings that are one token anywhere, and to encode merges as pairs of ids."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, merging: bool = True):
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         byte_of = {letter: byte for byte, letter in byte_letters().items()}
@@ -47,6 +47,8 @@ class Vocabulary:
         self.special = {token["content"]: token["id"] for token in spec["added_tokens"]}
         self.bytes = {i: token for token, i in self.ids.items()}
         self.bytes |= {i: content.encode() for content, i in self.special.items()}
+        if not merging:
+            return
         self.merges = {}
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = map(plain, merge.split(" ") if isinstance(merge, str) else merge)
@@ -204,7 +206,7 @@ def encode(docs: DataFrame, vocabulary: str, doc_id: str = "doc_id", text: str =
 
 def _decoder(path: str):
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token_bytes = once_per_worker(f"token_bytes {path}", lambda: Vocabulary(path).bytes).__getitem__
+        token_bytes = once_per_worker(f"token_bytes {path}", lambda: Vocabulary(path, merging=False).bytes).__getitem__
         for batch in batches:
             texts = [
                 b"".join(map(token_bytes, row.values.to_numpy().tolist())).decode("utf-8", "replace")
