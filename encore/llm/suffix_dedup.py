@@ -14,6 +14,12 @@ substrings), so strings meet in the task of their minimiser:
    are equal to themselves only and need no search.
 4. Every block marks the covered bytes of its documents.
 
+A line that very many documents have between different texts gives one minimiser
+with as many different pieces.  Blocks report how many they have, and a range calls
+a minimiser crowded beyond ``crowd``.  Crowded pieces travel as single strings of
+50 bytes, each by its own hash, so they spread over all ranges, and each block sends
+a string once.
+
 Blocks are read three times but never shuffled: answers come to their buckets.
 The number of ranges follows the size of the table.
 """
@@ -44,6 +50,10 @@ RANGE_BITS = 40
 MOST_WINDOWS = 64
 # bytes of pieces searched together
 SEARCH_BYTES = 1 << 20
+# different pieces of one minimiser that one task takes
+CROWD = 1 << 12
+# of 256 marks of pieces, how many blocks must show to tell many pieces from copies
+CROWD_MARKS = 128
 FAR = np.iinfo(np.int64).max
 
 BLOCKS = pa.schema([("b", pa.int64()), ("n", pa.int64()), ("ids", pa.binary()), ("lens", pa.binary()), ("body", pa.binary())])
@@ -114,9 +124,10 @@ class Block:
         doc = np.repeat(np.arange(len(self.lens)), self.lens)
         if windows <= 0:
             self.start = self.count = self.doc = np.zeros(0, np.int64)
-            self.seed = np.zeros(0, np.uint64)
+            self.seed = self.hashes = np.zeros(0, np.uint64)
             return
-        least, size, span = _hashes(x), 1, LENGTH - SEED_BYTES + 1
+        self.hashes = _hashes(x)
+        least, size, span = self.hashes, 1, LENGTH - SEED_BYTES + 1
         while 2 * size <= span:
             least, size = np.minimum(least[:-size], least[size:]), 2 * size
         least = np.minimum(least[:windows], least[span - size : span - size + windows])
@@ -133,15 +144,42 @@ class Block:
         self.seed = _mixed(least[self.start] + np.uint64(0x632BE59BD9B4E019))
         self.doc = doc[self.start]
 
-    def seeds(self) -> tuple[np.ndarray, np.ndarray]:
-        """Different minimisers, sorted, and which of them several documents here have."""
-        order = np.argsort(self.seed, kind="stable")
-        seed, doc = self.seed[order], self.ids[self.doc[order]]
-        begin = np.flatnonzero(np.append(True, seed[1:] != seed[:-1])) if len(seed) else np.zeros(0, np.int64)
-        if not len(begin):
-            return seed, np.zeros(0, bool)
+    def _ends(self, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+        """A hash of the first and the last bytes of pieces; of all 50 bytes of a single string."""
+        x, last = np.frombuffer(self.body, np.uint8), start + count + LENGTH - 1
+        ends = self.hashes[start] * np.uint64(0x9E3779B97F4A7C15) + self.hashes[last - SEED_BYTES]
+        for at in range(SEED_BYTES, LENGTH - SEED_BYTES):
+            ends = ends * np.uint64(257) + x[start + at]
+        return _mixed(ends)
+
+    def seeds(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Different minimisers, sorted; which of them several documents here have; how
+        many different pieces here; and a mark of one of these, the same for the same pieces."""
+        ends = self._ends(self.start, self.count)
+        order = np.lexsort((ends, self.seed))
+        seed, doc, ends = self.seed[order], self.ids[self.doc[order]], ends[order]
+        if not len(seed):
+            return seed, np.zeros(0, bool), np.zeros(0, np.uint16), np.zeros(0, np.uint8)
+        fresh = np.append(True, seed[1:] != seed[:-1])
+        begin = np.flatnonzero(fresh)
         several = np.minimum.reduceat(doc, begin) != np.maximum.reduceat(doc, begin)
-        return seed[begin], several
+        fresh[1:] |= ends[1:] != ends[:-1]
+        pieces = np.minimum(np.add.reduceat(fresh.astype(np.int64), begin), 0xFFFF).astype(np.uint16)
+        return seed[begin], several, pieces, (_mixed(ends[begin]) & np.uint64(0xFF)).astype(np.uint8)
+
+    def single(self, crowded: np.ndarray) -> np.ndarray:
+        """Cut the pieces of crowded minimisers to single strings; their hashes, sorted, as minimisers."""
+        chosen = np.isin(self.seed, crowded)
+        if not chosen.any():
+            return np.zeros(0, np.uint64)
+        count = self.count[chosen]
+        start = np.repeat(self.start[chosen], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        one = np.ones(len(start), np.int64)
+        seed = self._ends(start, one)
+        self.doc = np.append(self.doc[~chosen], np.repeat(self.doc[chosen], count))
+        self.start, self.count = np.append(self.start[~chosen], start), np.append(self.count[~chosen], one)
+        self.seed = np.append(self.seed[~chosen], seed)
+        return np.unique(seed)
 
     def pieces(self, shared: np.ndarray) -> tuple[list, np.ndarray, np.ndarray, np.ndarray]:
         """Different texts of pieces with a shared minimiser, their minimisers and smallest documents.
@@ -208,11 +246,11 @@ def _tell_seeds(bits: int):
         rows = Rows(NOTES, most_bytes=4 << 20)
         for batch in batches:
             for b, ids, lens, body in zip(*(values(batch.column(i)) for i in range(4)), strict=True):
-                seeds, several = Block(ids, lens, body).seeds()
+                seeds, several, pieces, mark = Block(ids, lens, body).seeds()
                 for r, part in _split(seeds, bits):
                     steps = np.diff(_short(seeds[part], bits), prepend=np.uint64(0))
                     small = steps.astype(np.uint32) if steps.max() < 1 << 32 else steps
-                    note = _packed(np.array([small.itemsize]), small, np.packbits(several[part]))
+                    note = _packed(np.array([small.itemsize]), small, np.packbits(several[part]), pieces[part], mark[part])
                     yield from rows.add((r, b, 0, note), len(note))
         yield from rows.rest()
 
@@ -234,39 +272,57 @@ def _by_range(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[int
         yield here, blocks, notes
 
 
-def _answer_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """To each block, which of its minimisers in this range several documents have."""
-    rows = Rows(NOTES, most_bytes=4 << 20)
-    for r, blocks, notes in _by_range(batches):
-        seeds, flags = [], []
-        for note in notes:
-            size, steps, several = _unpacked(note, np.int64, np.uint8, np.uint8)
-            steps = steps.view(np.uint32 if size[0] == 4 else np.uint64)
-            seeds.append(np.cumsum(steps, dtype=np.uint64))
-            flags.append(np.unpackbits(several, count=len(steps)).astype(bool))
-        joined = np.concatenate(seeds)
-        order = np.argsort(joined, kind="stable")
-        same = np.append(False, joined[order][1:] == joined[order][:-1])
-        shared = np.empty(len(joined), bool)
-        shared[order] = same | np.append(same[1:], False)
-        shared |= np.concatenate(flags)
-        at = 0
-        for b, mine in zip(blocks, seeds, strict=True):
-            answer = np.packbits(shared[at : at + len(mine)])
-            at += len(mine)
-            yield from rows.add((r, b, 1, _packed(answer)), len(answer))
-    yield from rows.rest()
+def _crowded(sums: np.ndarray, begin: np.ndarray, marks: np.ndarray, crowd: int) -> np.ndarray:
+    """Which minimisers have too many pieces for one task, copies in many blocks apart."""
+    ends, crowded = np.append(begin[1:], len(marks)), sums > crowd
+    for i in np.flatnonzero(crowded).tolist():
+        shown = len(np.unique(marks[begin[i] : ends[i]]))
+        crowded[i] = shown >= min(CROWD_MARKS, (ends[i] - begin[i] + 1) // 2)
+    return crowded
+
+
+def _answer_seeds(crowd: int):
+    """To each block, which of its minimisers in this range several documents have, and which are crowded."""
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = Rows(NOTES, most_bytes=4 << 20)
+        for r, blocks, notes in _by_range(batches):
+            seeds, flags, pieces, marks = [], [], [], []
+            for note in notes:
+                size, steps, several, n, mark = _unpacked(note, np.int64, np.uint8, np.uint8, np.uint16, np.uint8)
+                steps = steps.view(np.uint32 if size[0] == 4 else np.uint64)
+                seeds.append(np.cumsum(steps, dtype=np.uint64))
+                flags.append(np.unpackbits(several, count=len(steps)).astype(bool))
+                pieces.append(n)
+                marks.append(mark)
+            joined = np.concatenate(seeds)
+            order = np.argsort(joined, kind="stable")
+            begin = np.flatnonzero(np.append(True, joined[order][1:] != joined[order][:-1]))
+            held = np.diff(begin, append=len(joined))
+            sums = np.add.reduceat(np.concatenate(pieces)[order].astype(np.int64), begin)
+            crowded = _crowded(sums, begin, np.concatenate(marks)[order], crowd)
+            shared = np.empty((2, len(joined)), bool)
+            shared[:, order] = np.repeat([held > 1, crowded], held, axis=1)
+            shared[0] |= np.concatenate(flags)
+            at = 0
+            for b, mine in zip(blocks, seeds, strict=True):
+                here = _packed(*np.packbits(shared[:, at : at + len(mine)], axis=1))
+                at += len(mine)
+                yield from rows.add((r, b, 1, here), len(here))
+        yield from rows.rest()
+
+    return answer
 
 
 def _chosen(block: Block, notes: list[dict], bits: int) -> np.ndarray:
-    """The block's minimisers that the ranges found in several documents."""
-    seeds, _ = block.seeds()
+    """The block's minimisers that the ranges found in several documents, crowded ones cut up."""
+    seeds = np.unique(block.seed)
     answers = {n["r"]: n["note"] for n in notes if n["kind"] == 1}
-    kept = np.zeros(len(seeds), bool)
+    kept = np.zeros((2, len(seeds)), bool)
     for r, part in _split(seeds, bits):
-        (answer,) = _unpacked(answers[r], np.uint8)
-        kept[part] = np.unpackbits(answer, count=part.stop - part.start).astype(bool)
-    return seeds[kept]
+        kept[:, part] = [np.unpackbits(a, count=part.stop - part.start) for a in _unpacked(answers[r], np.uint8, np.uint8)]
+    shared, crowded = kept[0], kept[0] & kept[1]
+    return np.union1d(seeds[shared & ~crowded], block.single(seeds[crowded]))
 
 
 def _tell_pieces(bits: int):
@@ -424,7 +480,7 @@ def _bucketed(blocks: DataFrame, work: Workspace, buckets: int) -> DataFrame:
     return table
 
 
-def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", crowd: int = CROWD) -> DataFrame:
     """What is left of every row of ``docs`` without passages of smaller documents.
 
     A text is its UTF-8 bytes, null is empty.  A byte goes if a 50-byte string of
@@ -433,7 +489,8 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     ``doc_id``, ``n_bytes``, ``removed`` (start and length of the maximal runs) and
     ``kept`` (the remaining bytes).  Null ids count as larger than all others, rows
     with one id do not remove from each other.  Texts under 50 bytes stay whole.
-    Other columns are not read; an empty table gives an empty result.
+    Other columns are not read; an empty table gives an empty result.  ``crowd``
+    changes how the work spreads, not the result.
     """
     spark = docs.sparkSession
     work = Workspace(spark)
@@ -460,7 +517,7 @@ def remove_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         mine = notes.groupBy("b").agg(F.collect_list(F.struct("r", "kind", "note")).alias("notes"))
         return block.join(mine, "b", "left")
 
-    shared = told(block.mapInArrow(_tell_seeds(bits), NOTES_SQL), _answer_seeds)
+    shared = told(block.mapInArrow(_tell_seeds(bits), NOTES_SQL), _answer_seeds(crowd))
     least = told(with_notes(shared).mapInArrow(_tell_pieces(bits), NOTES_SQL), _answer_pieces)
     return with_notes(shared.unionByName(least)).mapInArrow(
         _mark(bits),

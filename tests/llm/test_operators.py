@@ -67,6 +67,28 @@ def test_passages(docs):
     assert sorted(got, key=key) == sorted(cases.removed(cases.ROWS), key=key)
 
 
+def test_passages_around_a_common_line(spark):
+    """The line's minimisers have as many pieces as there are documents."""
+    chance = random.Random(5)
+
+    def word():
+        return "".join(chance.choice("abcdef") for _ in range(9))
+
+    line = "a line of forty-four bytes in each of them, "
+    passage = f"{line}and then one that goes on for longer, é too"
+    rows = [
+        (i, f"{word()} {passage if i % 3 else line}{word() if i % 4 else 'the same end again and again'} {line}{word()}")
+        for i in range(120)
+    ]
+    rows += [(200 + i, rows[7][1]) for i in range(30)]
+    for crowd in (4, 1 << 12):
+        got = [
+            (r.doc_id, r.n_bytes, sum(s.length for s in r.removed), len(r.removed), bytes(r.kept))
+            for r in suffix_dedup.remove_passages(cases.table(spark, rows).repartition(5), crowd=crowd).collect()
+        ]
+        assert sorted(got) == sorted(cases.removed(rows))
+
+
 def test_least_owners_of_windows():
     chance = random.Random(3)
     texts = [bytes(chance.choice(b"ab") for _ in range(chance.randint(12, 60))) for _ in range(80)]
