@@ -10,11 +10,16 @@ three, or when all of it is already known to belong together.
 
 A block value shared by very many fingerprints is split again: what is left are
 48 bits, of which one of four 12-bit parts has to agree.
+
+Wider distances take one block more than bits may differ, so that one block always
+agrees; below it the same holds for the parts of the other bits.  Near copies are
+searched for that way and then compared by their sets of shingles.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +27,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.components import components
-from encore.llm.tables import Rows, stage, values
+from encore.llm.tables import Rows, numbered, stage, values
 from encore.sources.staging import Workspace
 
 MOST_DIFFERENT = 3
 SHINGLE_WORDS = 3
 SEED = 42
-BLOCKS = 4
-BLOCK_BITS = 64 // BLOCKS
-PART_BITS = BLOCK_BITS * (BLOCKS - 1) // BLOCKS
+# a block key: the block's number above its bits; a part key has these bits below the block key
+BLOCK_BITS = 16
+PART_BITS = 12
+NUMBER_BITS = 4
+HOT_MARK = 1 << 62
 RUN = 8
 # fingerprints with one block value beyond which the value is split
 HOT = 20_000
@@ -38,29 +45,47 @@ HOT = 20_000
 FRONTIER = 1 << 21
 BATCH = 1 << 17
 
-PRINTS = pa.schema([("_doc", pa.int64()), ("_fp", pa.int64())])
+# near copies: sets of five-word shingles, searched for by fingerprints that differ in so many bits
+SET_WORDS = 5
+SIMILAR = 0.8
+SEARCHED_BITS = 11
+# texts and shingles of a tile's side; larger groups are compared tile by tile
+TILE_TEXTS = 256
+TILE_SHINGLES = 200_000
+COLUMNS = 4096
+
+PRINTS = pa.schema([("_doc", pa.int64()), ("_fp", pa.int64()), ("_row", pa.int64())])
+SETS = pa.schema([("_row", pa.int64()), ("_group", pa.int64()), ("_n", pa.int64()), ("_set", pa.binary())])
 
 
 # --- fingerprints ----------------------------------------------------------------
 
 
-def fingerprint(text: str) -> int:
-    """The fingerprint of one text as an unsigned number; 0 without words."""
+def shingles(text: str, size: int = SHINGLE_WORDS) -> np.ndarray:
+    """Hashes of a text's shingles in their order, as often as they occur."""
     from xxhash import xxh64_intdigest
 
     words = text.encode().lower().split()
     if not words:
-        return 0
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
-    n = max(1, len(words) - SHINGLE_WORDS + 1)
-    last = ends[min(len(words), SHINGLE_WORDS) - 1 :]
-    hashes = np.fromiter(
+    n = max(1, len(words) - size + 1)
+    last = ends[min(len(words), size) - 1 :]
+    return np.fromiter(
         (xxh64_intdigest(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), last.tolist(), strict=True)),
         np.uint64,
         n,
     )
+
+
+def fingerprint(text: str, size: int = SHINGLE_WORDS) -> int:
+    """The fingerprint of one text as an unsigned number; 0 without words."""
+    hashes = shingles(text, size)
+    n = len(hashes)
+    if not n:
+        return 0
     ones = np.zeros(64, np.int64)
     for at in range(0, n, 8192):
         part = hashes[at : at + 8192]
@@ -68,13 +93,17 @@ def fingerprint(text: str) -> int:
     return int(np.packbits(2 * ones > n, bitorder="little").view(np.uint64)[0])
 
 
-def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    rows = Rows(PRINTS)
-    for batch in batches:
-        for doc, text in zip(values(batch.column(0)), values(batch.column(1), ""), strict=True):
-            value = fingerprint(text)
-            yield from rows.add((doc, value - (1 << 64) if value >> 63 else value))
-    yield from rows.rest()
+def _fingerprints(size: int):
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = Rows(PRINTS)
+        for batch in batches:
+            ids, texts, numbers = batch.columns
+            for doc, text, row in zip(values(ids), values(texts, ""), values(numbers), strict=True):
+                value = fingerprint(text, size)
+                yield from rows.add((doc, value - (1 << 64) if value >> 63 else value, row))
+        yield from rows.rest()
+
+    return prints
 
 
 # --- the index -------------------------------------------------------------------
@@ -108,15 +137,15 @@ def _levels(codes: np.ndarray, groups: np.ndarray) -> list[tuple]:
 class GrayIndex:
     """Finds which of the indexed fingerprints belong together, group by group."""
 
-    def __init__(self, codes: np.ndarray, groups: np.ndarray):
-        self.codes = codes
+    def __init__(self, codes: np.ndarray, groups: np.ndarray, most: int = MOST_DIFFERENT):
+        self.codes, self.most = codes, most
         self.levels = _levels(codes, groups)
         self.labels = np.arange(len(codes))
         self.roots = np.repeat(np.arange(len(self.levels[0][4])), np.diff(self.levels[0][3]))
         self.sizes = np.diff(self.levels[0][3])[self.roots]
 
     def link(self) -> np.ndarray:
-        """The smallest position each fingerprint is linked to, at most 3 bits a step."""
+        """The smallest position each fingerprint is linked to, at most ``most`` bits a step."""
         at, n = 0, len(self.codes)
         while at < n:
             budget = np.cumsum(self.sizes[at:])
@@ -136,7 +165,7 @@ class GrayIndex:
             own = self.labels[queries]
             known = (least[node] == own) & (most[node] == own)
             # only partners further on, so that a pair is met once
-            open_ = (distance <= MOST_DIFFERENT) & (leaves[node + 1] > queries + 1) & ~known
+            open_ = (distance <= self.most) & (leaves[node + 1] > queries + 1) & ~known
             queries, node, distance = queries[open_], node[open_], distance[open_]
             above = mask[node]
             fan = children[node + 1] - children[node]
@@ -144,8 +173,8 @@ class GrayIndex:
             queries, distance, above = (np.repeat(x, fan) for x in (queries, distance, above))
             node = first + np.arange(len(first))
         distance = distance + np.bitwise_count((self.codes[queries] ^ self.codes[node]) & ~above)
-        near = (distance <= MOST_DIFFERENT) & (node > queries)
-        self._unite(queries[near], node[near])
+        near = (distance <= self.most) & (node > queries)
+        _unite(self.labels, queries[near], node[near])
 
     def _spans(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Smallest and largest label under every node."""
@@ -154,20 +183,21 @@ class GrayIndex:
             for _, _, _, leaves, _ in self.levels
         ]
 
-    def _unite(self, a: np.ndarray, b: np.ndarray) -> None:
-        labels = self.labels
+
+def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Give what ``a`` and ``b`` link pair by pair one label, the smallest."""
+    while True:
+        left, right = labels[a], labels[b]
+        differ = left != right
+        if not differ.any():
+            return
+        a, b, left, right = a[differ], b[differ], left[differ], right[differ]
+        np.minimum.at(labels, np.maximum(left, right), np.minimum(left, right))
         while True:
-            left, right = labels[a], labels[b]
-            differ = left != right
-            if not differ.any():
-                return
-            a, b, left, right = a[differ], b[differ], left[differ], right[differ]
-            np.minimum.at(labels, np.maximum(left, right), np.minimum(left, right))
-            while True:
-                further = labels[labels]
-                if np.array_equal(further, labels):
-                    break
-                labels[:] = further
+            further = labels[labels]
+            if np.array_equal(further, labels):
+                break
+            labels[:] = further
 
 
 def _complete(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
@@ -187,12 +217,55 @@ def _complete(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, .
         yield tuple(map(np.concatenate, zip(*held, strict=True)))
 
 
-def _link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for keys, codes, nodes in _complete(batches):
-        labels = GrayIndex(codes.view(np.uint64), keys).link()
-        linked = np.flatnonzero(labels != np.arange(len(labels)))
-        # a forest: one link fewer than members, whatever the number of pairs
-        yield pa.record_batch([pa.array(nodes[linked]), pa.array(nodes[labels[linked]])], names=["a", "b"])
+def _cuts(bits: int, most: int) -> list[tuple[int, int]]:
+    """Lowest bit and width of one part more than bits may differ, four parts at least."""
+    parts = max(most, MOST_DIFFERENT) + 1
+    edges = [bits * i // parts for i in range(parts + 1)]
+    return [(low, high - low) for low, high in zip(edges, edges[1:])]
+
+
+def _rest_bits(most: int) -> int:
+    return 64 - min(width for _, width in _cuts(64, most))
+
+
+def _labels(keys: np.ndarray, codes: np.ndarray, most: int) -> np.ndarray:
+    """Which fingerprints of each key belong together.
+
+    Beyond 3 bits a block holds too few bits to search all that share it: each key
+    is searched part by part, and partners agree in one part.
+    """
+    if most <= MOST_DIFFERENT:
+        return GrayIndex(codes, keys, most).link()
+    labels = np.arange(len(codes))
+    groups = np.cumsum(np.concatenate([[0], np.diff(keys) != 0]))
+    split = keys >= HOT_MARK
+    blocks = np.array(_cuts(64, most), np.uint64)
+    low, width = blocks[np.where(split, 0, keys >> BLOCK_BITS)].T
+    rest = codes & ((np.uint64(1) << low) - np.uint64(1)) | codes >> low >> width << low
+    rank = codes.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
+    for number, (low, width) in enumerate(_cuts(_rest_bits(most), most)):
+        part = (rest >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
+        # keys that are split already are searched once, as they are
+        within = groups << PART_BITS | np.where(split, 0, part)
+        chosen = np.flatnonzero(~split) if number else np.arange(len(codes))
+        order = chosen[np.lexsort((rank[chosen], within[chosen]))]
+        if len(order):
+            found = GrayIndex(codes[order], within[order], most).link()
+            _unite(labels, order, order[found])
+    return labels
+
+
+def _link(most: int):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, codes, nodes in _complete(batches):
+            labels = _labels(keys, codes.view(np.uint64), most)
+            linked = np.flatnonzero(labels != np.arange(len(labels)))
+            # a forest: one link fewer than members, whatever the number of pairs
+            yield pa.record_batch([pa.array(nodes[linked]), pa.array(nodes[labels[linked]])], names=["a", "b"])
+
+    return link
 
 
 # --- the operator ------------------------------------------------------------------
@@ -209,82 +282,98 @@ def _bits(code: Column, low: int, count: int) -> Column:
     return F.shiftrightunsigned(code, low).bitwiseAND(F.lit((1 << count) - 1).cast("long"))
 
 
-def _block_keys(code: Column) -> Column:
+def _block_keys(code: Column, most: int) -> Column:
     """One key per block: the block's number and its bits."""
     return F.array(
-        *[F.lit(i << BLOCK_BITS).cast("long").bitwiseOR(_bits(code, i * BLOCK_BITS, BLOCK_BITS)) for i in range(BLOCKS)]
+        *[
+            F.lit(i << BLOCK_BITS).cast("long").bitwiseOR(_bits(code, low, width))
+            for i, (low, width) in enumerate(_cuts(64, most))
+        ]
     )
 
 
-def _part_keys(code: Column, key: Column) -> Column:
-    """Four keys below a block key: a 12-bit part of the other 48 bits each."""
+def _part_keys(code: Column, key: Column, most: int) -> Column:
+    """Keys below a block key: one for each part of the other bits."""
+    blocks = _cuts(64, most)
     number = F.shiftright(key, BLOCK_BITS).cast("int")
-    low = number * BLOCK_BITS
+    low, width = (F.array(*[F.lit(block[i]) for block in blocks])[number] for i in range(2))
     below = code.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), low) - 1)
     # the bits above the block, moved down over it; two shifts, as one of 64 would do nothing
-    top = F.call_function("shiftrightunsigned", F.call_function("shiftrightunsigned", code, low), F.lit(BLOCK_BITS))
+    top = F.call_function("shiftrightunsigned", F.call_function("shiftrightunsigned", code, low), width)
     rest = below.bitwiseOR(F.call_function("shiftleft", top, low))
     return F.array(
         *[
-            F.lit(1 << 62).cast("long")
-            .bitwiseOR(F.shiftleft(key, PART_BITS + 2))
+            F.lit(HOT_MARK).cast("long")
+            .bitwiseOR(F.shiftleft(key, PART_BITS + NUMBER_BITS))
             .bitwiseOR(F.lit(i << PART_BITS).cast("long"))
-            .bitwiseOR(_bits(rest, i * PART_BITS, PART_BITS))
-            for i in range(BLOCKS)
+            .bitwiseOR(_bits(rest, at, bits))
+            for i, (at, bits) in enumerate(_cuts(_rest_bits(most), most))
         ]
     )
 
 
-def _keyed(distinct: DataFrame) -> DataFrame:
+def _keyed(distinct: DataFrame, most: int = MOST_DIFFERENT) -> DataFrame:
     """Fingerprints under each key where a partner has to be."""
-    keyed = distinct.select("_fp", "_node", F.explode(_block_keys(F.col("_fp"))).alias("_key"))
-    # at most one row per possible block value: 4 * 65,536
+    keyed = distinct.select("_fp", "_node", F.explode(_block_keys(F.col("_fp"), most)).alias("_key"))
+    # at most one row per possible block value: 4 * 65,536 for 3 bits
     hot = keyed.groupBy("_key").count().where(F.col("count") > HOT).select("_key", F.lit(True).alias("_hot"))
     marked = keyed.join(F.broadcast(hot), "_key", "left")
-    own = F.array("_key")
+    parts = _part_keys(F.col("_fp"), F.col("_key"), most)
     return marked.select(
-        "_fp", "_node", F.explode(F.when(F.col("_hot"), _part_keys(F.col("_fp"), F.col("_key"))).otherwise(own)).alias("_key")
+        "_fp", "_node", F.explode(F.when(F.col("_hot"), parts).otherwise(F.array("_key"))).alias("_key")
     )
 
 
-def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``fingerprint``, ``component_id``.
-
-    Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case, shingles
-    three words joined by spaces, each as often as it occurs; a text of fewer words
-    is one shingle.  A text without words, empty or null, has fingerprint zero and
-    is linked like any other.  Fingerprints that differ in at most 3 bits are
-    linked; ``component_id`` is the smallest id reachable.  Rows without an id
-    take part under no id: they get the component of equal or linked fingerprints
-    that have one, else null.  Repeated rows each give a row; other columns are not
-    read; an empty table gives an empty result.
-    """
-    spark = docs.sparkSession
-    work = Workspace(spark)
-    prints = stage(
-        docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(_fingerprints, "_doc long, _fp long"),
-        "fingerprints",
-        work,
-    )
+def _linked(rows: DataFrame, size: int, most: int, work: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Fingerprints of (id, text, row number) rows, and the group of each different one."""
+    if not 0 <= most < 1 << NUMBER_BITS:
+        raise ValueError("fingerprints are searched for up to 15 different bits")
+    spark = rows.sparkSession
+    prints = stage(rows.mapInArrow(_fingerprints(size), "_doc long, _fp long, _row long"), "fingerprints", work)
     # equal fingerprints are one node from here on, known by a number of its own
     distinct = stage(
-        prints.groupBy("_fp").agg(F.min("_doc").alias("_least")).withColumn("_node", F.monotonically_increasing_id()),
+        prints.groupBy("_fp")
+        .agg(F.min("_doc").alias("_least"), F.count("*").alias("_n"))
+        .withColumn("_node", F.monotonically_increasing_id()),
         "distinct",
         work,
     )
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     links = (
-        _keyed(distinct)
+        _keyed(distinct, most)
         .repartition(parts, "_key")
         .sortWithinPartitions("_key", _gray_rank(F.col("_fp")))
         .select("_key", "_fp", "_node")
-        .mapInArrow(_link, "a long, b long")
+        .mapInArrow(_link(most), "a long, b long")
     )
     found = components(links, work)
     joined = distinct.join(found, F.col("_node") == F.col("node"), "left").select(
-        "_fp", "_least", F.coalesce("component", "_node").alias("_group")
+        "_fp", "_least", "_n", F.coalesce("component", "_node").alias("_group")
     )
-    joined = stage(joined, "grouped", work)
+    return prints, stage(joined, "grouped", work)
+
+
+def near_groups(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    shingle_words: int = SHINGLE_WORDS,
+    most_different: int = MOST_DIFFERENT,
+) -> DataFrame:
+    """One row per row of ``docs``: ``doc_id``, ``fingerprint``, ``component_id``.
+
+    Words are ``[^\\x20\\x09-\\x0D]+`` of the text with A-Z in lower case, shingles
+    ``shingle_words`` words joined by spaces, each as often as it occurs; a text of
+    fewer words is one shingle.  A text without words, empty or null, has fingerprint
+    zero and is linked like any other.  Fingerprints that differ in at most
+    ``most_different`` bits are linked; ``component_id`` is the smallest id reachable.
+    Rows without an id take part under no id: they get the component of equal or
+    linked fingerprints that have one, else null.  Repeated rows each give a row;
+    other columns are not read; an empty table gives an empty result.
+    """
+    work = Workspace(docs.sparkSession)
+    rows = docs.select(F.col(doc_id).cast("long"), F.col(text), F.lit(0).cast("long"))
+    prints, joined = _linked(rows, shingle_words, most_different, work)
     least = joined.groupBy("_group").agg(F.min("_least").alias("component_id"))
     by_print = stage(joined.join(least, "_group").select("_fp", "component_id"), "components", work)
     return prints.join(by_print, "_fp").select(
@@ -292,11 +381,124 @@ def near_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
 
 
-def drop_near_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row of every component of ``docs`` stays, that with the smallest id.
+# --- near copies -------------------------------------------------------------------
+
+
+def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows = Rows(SETS)
+    for batch in batches:
+        numbers, groups, texts = batch.columns
+        for row, group, text in zip(values(numbers), values(groups), values(texts, ""), strict=True):
+            held = np.unique(shingles(text, SET_WORDS))
+            yield from rows.add((row, group, len(held), held.tobytes()), held.nbytes)
+    yield from rows.rest()
+
 
-    ``doc_id`` has to be unique and known, as it names the rows that stay.
+def _similar(sets: list[np.ndarray], similar: float) -> np.ndarray:
+    """The smallest position each set is linked to by pairs of so high a Jaccard similarity."""
+    n, labels = len(sets), np.arange(len(sets))
+    sizes = np.array([len(held) for held in sets])
+    owners = np.repeat(np.arange(n), sizes)
+    _, names, counts = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = counts > 1
+    columns = (np.cumsum(often) - 1)[names]
+    owners, columns = owners[often[names]], columns[often[names]]
+    order = np.argsort(columns, kind="stable")
+    owners, columns = owners[order], columns[order]
+    shared = np.zeros((n, n), np.int64)
+    for first in range(0, int(often.sum()), COLUMNS):
+        begin, end = np.searchsorted(columns, [first, first + COLUMNS])
+        has = np.zeros((n, COLUMNS), np.float32)
+        has[owners[begin:end], columns[begin:end] - first] = 1
+        shared += (has @ has.T).astype(np.int64)
+    least = Fraction(str(similar))
+    either = sizes[:, None] + sizes[None, :] - shared
+    a, b = np.nonzero(np.triu(shared * least.denominator >= either * least.numerator, 1))
+    _unite(labels, a, b)
+    return labels
+
+
+def _compared(similar: float):
+    """Links between the rows of each tile; rows come sorted by tile."""
+
+    def links(tile: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        labels = _similar([np.frombuffer(held, np.uint64) for _, held in tile], similar)
+        linked = np.flatnonzero(labels != np.arange(len(tile))).tolist()
+        made = [[tile[i][0] for i in linked], [tile[labels[i]][0] for i in linked]]
+        return pa.record_batch([pa.array(x, pa.int64()) for x in made], names=["a", "b"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tile, at = [], None
+        for batch in batches:
+            for *key, row, held in zip(*map(values, batch.columns), strict=True):
+                if key != at:
+                    if len(tile) > 1:
+                        yield links(tile)
+                    tile, at = [], key
+                tile.append((row, held))
+        if len(tile) > 1:
+            yield links(tile)
+
+    return compare
+
+
+def _copies(members: DataFrame, similar: float, work: Workspace) -> DataFrame:
+    """``node`` and ``component`` of (``_row``, ``_group``, ``text``) rows similar to another of their group."""
+    schema = "_row long, _group long, _n long, _set binary"
+    sets = members.mapInArrow(_sets, schema).withColumn("_sha", F.sha2("_set", 256))
+    sets = stage(sets, "sets", work)
+    # equal sets are compared once, by their first row
+    first = stage(sets.groupBy("_group", "_sha").agg(F.min("_row").alias("_first")), "first", work)
+    equal = sets.select("_row", "_group", "_sha").join(first, ["_group", "_sha"])
+    equal = equal.where("_row <> _first").select(F.col("_row").alias("a"), F.col("_first").alias("b"))
+    firsts = first.select(F.col("_first").alias("_row"))
+    different = stage(sets.join(firsts, "_row", "left_semi").drop("_sha"), "different", work)
+    sides = F.greatest(F.ceil(F.count("*") / TILE_TEXTS), F.ceil(F.sum("_n") / TILE_SHINGLES)).cast("int")
+    # groups of one tile need no row here: a row per TILE_TEXTS texts or TILE_SHINGLES shingles at most
+    large = different.groupBy("_group").agg(sides.alias("_sides")).where("_sides > 1")
+    tiles = different.join(F.broadcast(large), "_group", "left").withColumn("_sides", F.coalesce("_sides", F.lit(1)))
+    tiles = tiles.withColumn("_side", F.pmod(F.xxhash64("_row"), F.col("_sides")).cast("int"))
+    tiles = tiles.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_sides") - 1)))
+    key = [F.col("_group"), F.least("_side", "_other").alias("_low"), F.greatest("_side", "_other").alias("_high")]
+    parts = int(members.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = (
+        tiles.select(*key, "_row", "_set")
+        .repartition(parts, "_group", "_low", "_high")
+        .sortWithinPartitions("_group", "_low", "_high")
+        .mapInArrow(_compared(similar), "a long, b long")
+    )
+    return components(links.unionByName(equal), work)
+
+
+def drop_near_copies(
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    similar: float = SIMILAR,
+    most_different: int = SEARCHED_BITS,
+) -> DataFrame:
+    """One row of every group of near copies stays: the smallest id, nulls last, then the first row.
+
+    Near copies have sets of five-word shingles (by their 64-bit hashes; a shorter
+    text is one shingle, texts without words are alike) with a Jaccard similarity of
+    ``similar`` or more, and groups are what such pairs link.  Compared are all texts
+    that links of at most ``most_different`` bits between three-word fingerprints
+    join; a pair that lies further apart and is not joined over others is missed.
+    Every row is told by a number of its own, so ids may be null or repeat; columns
+    are kept; an empty table gives an empty one.
     """
-    groups = near_groups(docs, doc_id, text)
-    stays = groups.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(stays, docs[doc_id] == stays["_kept_id"], "left_semi")
+    work = Workspace(docs.sparkSession)
+    rows, row = numbered(docs, work)
+    given = rows.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"), F.col(row))
+    prints, joined = _linked(given, SHINGLE_WORDS, most_different, work)
+    several = joined.groupBy("_group").agg(F.sum("_n").alias("_n")).where("_n > 1").select("_group")
+    grouped = stage(joined.join(several, "_group").select("_fp", "_group"), "several", work)
+    placed = stage(prints.join(grouped, "_fp").select("_row", "_group"), "placed", work)
+    texts = rows.select(F.col(row).alias("_row"), F.col(f"`{text}`").alias("text"))
+    found = _copies(placed.join(texts, "_row").select("_row", "_group", "text"), similar, work)
+    found = stage(found, "copies", work)
+    ids = prints.join(found, prints["_row"] == found["node"]).select("_row", "_doc", "component")
+    order = F.struct(F.col("_doc").isNull(), "_doc", "_row")
+    best = stage(ids.groupBy("component").agg(F.min(order)["_row"].alias("_row")), "best", work)
+    goes = found.select(F.col("node").alias("_row")).join(best, "_row", "left_anti")
+    return rows.join(goes, rows[row] == goes["_row"], "left_anti").drop(row)

@@ -8,6 +8,7 @@ from types import ModuleType
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from encore.sources.staging import Workspace
 
@@ -23,6 +24,20 @@ def stage(df: DataFrame, label: str, workspace: Workspace | None = None) -> Data
     return (workspace or Workspace(df.sparkSession)).stage(df, label, **WORKSPACE_CODEC)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with as many underscores before it as no column has, in whatever case."""
+    taken = {column.lower() for column in taken}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def numbered(docs: DataFrame, work: Workspace) -> tuple[DataFrame, str]:
+    """``docs`` written once with a number for every row, and that column's name."""
+    row = free_name("_row", docs.columns)
+    return stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered", work), row
+
+
 def values(column: pa.Array, missing=None) -> Iterator:
     """A column's values one by one, never as one list."""
     for value in column:

@@ -127,6 +127,77 @@ def test_gray_index_finds_what_all_pairs_find():
     assert (labels == plain).all()
 
 
+def _family(chance, bits):
+    seeds = [chance.getrandbits(64) for _ in range(60)]
+    made = {s: None for s in seeds}
+    for s in seeds:
+        for _ in range(4):
+            made[s ^ sum(1 << i for i in chance.sample(range(64), chance.randint(1, bits)))] = None
+    return [c - (1 << 64) if c >> 63 else c for c in made]
+
+
+@pytest.mark.parametrize("most", [0, 2, 3, 5, 11, 15])
+@pytest.mark.parametrize("hot", [2, 20_000])
+def test_wide_search_finds_what_all_pairs_find(spark, monkeypatch, most, hot):
+    codes = _family(random.Random(most), most + 1)
+    monkeypatch.setattr(simhash, "HOT", hot)
+    distinct = spark.createDataFrame([(c, n) for n, c in enumerate(codes)], "_fp bigint, _node bigint")
+    rows = sorted((r._key, r._fp, r._node) for r in simhash._keyed(distinct, most).collect())
+    keys, prints, nodes = (np.array(x, np.int64) for x in zip(*rows))
+    rank = prints.view(np.uint64).copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
+    order = np.lexsort((rank, keys))
+    keys, prints, nodes = keys[order], prints[order].view(np.uint64), nodes[order]
+    labels, found = simhash._labels(keys, prints, most), np.arange(len(codes))
+    simhash._unite(found, nodes, nodes[labels])
+    wide, plain = np.array(codes, np.int64).view(np.uint64), np.arange(len(codes))
+    simhash._unite(plain, *np.nonzero(np.bitwise_count(wide[:, None] ^ wide[None, :]) <= most))
+    assert (found == plain).all()
+
+
+def near_kept(rows, similar=0.8):
+    """Numbers of the rows that stay, by comparing the shingles of all pairs."""
+    sets = []
+    for _, text in rows:
+        words = (text or "").encode().lower().split()
+        sets.append({tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set())
+    group = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if 5 * len(a & b) >= 4 * len(a | b) and group[i] != group[j]:
+                group = [group[j] if g == group[i] else g for g in group]
+    first = {}
+    for n, (i, _) in enumerate(rows):
+        own = (i is None, i or 0, n)
+        first[group[n]] = min(first.get(group[n], own), own)
+    return sorted(n for _, _, n in first.values())
+
+
+def near_rows():
+    chance = random.Random(8)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for i in range(40):
+        text = chance.choices(words, k=chance.randint(120, 300))
+        rows.append((1000 - i, " ".join(text)))
+        for copy in range(chance.randint(0, 4)):
+            changed = list(text)
+            for at in chance.sample(range(len(text)), chance.choice((1, 3, len(text) // 50, len(text) // 20))):
+                changed[at] = chance.choice(words)
+            rows.append((chance.choice((None, i, 2000 + i)), " ".join(changed)))
+    return rows
+
+
+@pytest.mark.parametrize("tile", [2, 256])
+def test_near_copies_by_jaccard(spark, monkeypatch, tile):
+    monkeypatch.setattr(simhash, "TILE_TEXTS", tile)
+    rows = near_rows()
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, n int")
+    kept = sorted(r.n for r in simhash.drop_near_copies(docs.coalesce(1)).collect())
+    assert kept == near_kept(rows) and len(kept) < len(rows) - 20
+
+
 def test_hot_blocks_are_split_without_loss(spark, monkeypatch):
     base = 0x0123456789ABCDEF
     codes = [base] + [base ^ (1 << i) ^ (1 << j) for i in range(0, 64, 3) for j in range(1, 64, 7) if i != j]
