@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from encore.llm.tables import Rows, stage, values
+from encore.llm.tables import Rows, numbered, stage, values
 from encore.sources.staging import Workspace
 
 BLOCK_BYTES = 4096
@@ -33,6 +33,7 @@ REMEMBERED_BYTES = 48 << 20
 CUT = pa.schema(
     [
         ("_doc", pa.int64()),
+        ("_row", pa.int64()),
         ("_points", pa.int64()),
         ("_sha", pa.string()),
         ("_names", pa.list_(pa.int64())),
@@ -47,7 +48,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, known, held = Rows(CUT), {}, 0
     following = TaskContext.get().partitionId() << PART_BITS
     for batch in batches:
-        for doc, text in zip(values(batch.column(0)), values(batch.column(1), ""), strict=True):
+        ids, texts, numbers = batch.columns
+        for doc, text, row in zip(values(ids), values(texts, ""), values(numbers), strict=True):
             squeezed = text.encode().translate(None, SPACE)
             names = []
             for at in range(0, max(1, len(squeezed)), BLOCK_BYTES):
@@ -59,10 +61,10 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         known, held = {}, 0
                     known[block] = name
                     held += len(block) + 150
-                    yield from rows.add((None, None, None, None, name, block), len(block))
+                    yield from rows.add((None, None, None, None, None, name, block), len(block))
                 names.append(name)
             sha = hashlib.sha256(squeezed).hexdigest()
-            yield from rows.add((doc, len(text), sha, names, None, None), 8 * len(names))
+            yield from rows.add((doc, row, len(text), sha, names, None, None), 8 * len(names))
     yield from rows.rest()
 
 
@@ -130,13 +132,18 @@ def exact_groups(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     ``_row``, a row's place in the table as read.  Other columns are not read; an
     empty table gives an empty result.
     """
-    spark = docs.sparkSession
-    work = Workspace(spark)
+    rows = docs.select(F.col(doc_id).cast("long"), F.col(text), F.monotonically_increasing_id())
+    return _exact(rows, Workspace(docs.sparkSession))
+
+
+def _exact(rows: DataFrame, work: Workspace) -> DataFrame:
+    """``exact_groups`` of (id, text, row number) rows."""
+    spark = rows.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cut = stage(
-        docs.select(F.col(doc_id).cast("long"), F.col(text))
-        .mapInArrow(_cut, "_doc long, _points long, _sha string, _names array<long>, _local long, _block binary")
-        .withColumn("_row", F.monotonically_increasing_id()),
+        rows.mapInArrow(
+            _cut, "_doc long, _row long, _points long, _sha string, _names array<long>, _local long, _block binary"
+        ),
         "blocks",
         work,
     )
@@ -185,9 +192,13 @@ def _groups(identified: DataFrame, work: Workspace) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, one per group of equal texts.
+    """The rows of ``docs`` that stay, one per group of equal texts as in ``exact_groups``.
 
-    ``doc_id`` has to be unique and known, as it names the rows that stay.
+    Every row is told by a number of its own, so ids may be null or repeat; columns
+    are kept; an empty table gives an empty one.
     """
-    stays = exact_groups(docs, doc_id, text).where("kept").select(F.col("doc_id").alias("_kept_id"))
-    return docs.join(stays, docs[doc_id] == stays["_kept_id"], "left_semi")
+    work = Workspace(docs.sparkSession)
+    rows, row = numbered(docs, work)
+    given = rows.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"), F.col(row))
+    stays = _exact(given, work).where("kept").select(F.col("_row").alias("_kept_row"))
+    return rows.join(stays, rows[row] == stays["_kept_row"], "left_semi").drop(row)

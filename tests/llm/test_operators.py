@@ -198,6 +198,38 @@ def test_near_copies_by_jaccard(spark, monkeypatch, tile):
     assert kept == near_kept(rows) and len(kept) < len(rows) - 20
 
 
+AWKWARD = [
+    *cases.ROWS,
+    (None, "a text of its own without an id"),
+    (None, "start " + cases.LONG),
+    (2, "the same id, another text"),
+    (2, "the same id, another text"),
+    (7, cases.LONG + " end"),
+    (None, None),
+]
+
+
+def test_stages_keep_one_row_per_group_of_awkward_rows(spark):
+    docs = cases.table(spark, AWKWARD).withColumn("_row", F.lit("own")).coalesce(1)
+    best = {}
+    for i, text in AWKWARD:
+        key = cases.squeezed(text)
+        best[key] = min(best.get(key, (1, True, 0, "")), (-len(text or ""), i is None, i or 0, text or ""))
+    exact = block_naming.drop_copies(docs)
+    assert exact.columns == docs.columns
+    rows = exact.collect()
+    assert sorted((-len(r.text or ""), r.doc_id is None, r.doc_id or 0, r.text or "") for r in rows) == sorted(best.values())
+    near = simhash.drop_near_copies(docs)
+    assert near.columns == docs.columns
+    rows = near.collect()
+    order = lambda x: (x[0] is None, x[0] or 0, x[1] or "")
+    expected = [AWKWARD[n] for n in near_kept(AWKWARD)]
+    assert sorted(((r.doc_id, r.text) for r in rows), key=order) == sorted(expected, key=order)
+    assert {r._row for r in rows} == {"own"}
+    assert block_naming.drop_copies(docs.where("false")).count() == 0
+    assert simhash.drop_near_copies(docs.where("false")).count() == 0
+
+
 def test_hot_blocks_are_split_without_loss(spark, monkeypatch):
     base = 0x0123456789ABCDEF
     codes = [base] + [base ^ (1 << i) ^ (1 << j) for i in range(0, 64, 3) for j in range(1, 64, 7) if i != j]
