@@ -66,7 +66,8 @@ TITLED = re.compile(
 )
 NAMED = re.compile(r"\b(" + "|".join(sorted(GROUP_OF, key=len, reverse=True)) + r") ([^\W\d_]{2,})")
 DIGIT = re.compile(r"\d")
-ANY_NAME = frozenset(GROUP_OF) | frozenset(GENDER_OF) | {title + "." for title in GENDER_OF}
+# what either pattern begins with; most texts have none
+ANY_NAME = re.compile(r"\b(?:" + "|".join(sorted({*GENDER_OF, *GROUP_OF}, key=len, reverse=True)) + r")\b")
 
 
 def script_of(word: str) -> str:
@@ -100,7 +101,7 @@ def find(text: str) -> list[dict]:
     candidates = []
     if "@" in text or DIGIT.search(text):
         candidates = [(kind, m.start(), m[0]) for kind, pattern in PATTERNS for m in pattern.finditer(text)]
-    if not ANY_NAME.isdisjoint(text.split()):
+    if ANY_NAME.search(text):
         candidates += _names(text)
     for kind, start, surface in candidates:
         end = start + len(surface)

@@ -298,6 +298,12 @@ def test_names_keep_gender_and_script():
     assert given in pii.NAMES["m", "cyrillic"] and pii.script_of(family) == "cyrillic" and family[0].isupper()
 
 
+@pytest.mark.parametrize("before", ["", "(", '"', "\u201e", "by/", "so\u2014", "-", "["])
+@pytest.mark.parametrize("name, entity", [("Anna Schmidt", "Anna Schmidt"), ("Mr. Smith", "Smith"), ("Frau Weber", "Weber")])
+def test_names_beside_punctuation(before, name, entity):
+    assert [e["entity"] for e in pii.find(f"it was {before}{name}, then")] == [entity]
+
+
 def test_exact_groups(docs):
     groups = defaultdict(list)
     for i, t in cases.ROWS:
