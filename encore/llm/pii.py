@@ -66,6 +66,10 @@ TITLED = re.compile(
 )
 NAMED = re.compile(r"\b(" + "|".join(sorted(GROUP_OF, key=len, reverse=True)) + r") ([^\W\d_]{2,})")
 DIGIT = re.compile(r"\d")
+# fixed values: country codes of one and two digits; all others have three, and none begins another
+COUNTRY = re.compile(
+    r"\+(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{1,3})"
+)
 # what either pattern begins with; most texts have none
 ANY_NAME = re.compile(r"\b(?:" + "|".join(sorted({*GENDER_OF, *GROUP_OF}, key=len, reverse=True)) + r")\b")
 
@@ -78,6 +82,8 @@ def script_of(word: str) -> str:
 
 
 def _canonical(kind: str, surface: str) -> str:
+    if kind == "phone" and surface[0] == "+":
+        return "+" + re.sub(r"\D", "", surface)
     if kind in ("card", "phone", "ssn"):
         return re.sub(r"\D", "", surface)
     return surface.lower() if kind in ("email", "secret") else surface
@@ -164,6 +170,10 @@ def surrogate(kind: str, entity: str, draw: int, key: bytes = KEY) -> str:
         name, _, domain = entity.partition("@")
         host, _, top = domain.rpartition(".")
         return "".join(map(stream.like, name)) + more + "@" + "".join(map(stream.like, host)) + "." + top
+    if kind == "phone" and entity[0] == "+":
+        # however the number is written, its country code stays and all other digits are drawn
+        code = COUNTRY.match(entity)[0]
+        return code + "".join(map(stream.like, entity[len(code) :])) + more
     if kind == "card":
         luhn = _check_digit(entity[:-1]) == entity[-1]
         digits = "".join(map(stream.like, entity[:-1]))
@@ -182,12 +192,8 @@ def surrogate(kind: str, entity: str, draw: int, key: bytes = KEY) -> str:
 def _dressed(kind: str, surface: str, canonical: str) -> str:
     """A canonical surrogate written the way the entity was written."""
     if kind in ("card", "phone", "ssn"):
-        digits = iter(canonical)
-        country = re.match(r"\+\d{1,3}(?=[ .(-])", surface) if kind == "phone" else None
-        kept = country.end() if country else 0
-        for _ in range(kept - 1):
-            next(digits, None)
-        return surface[:kept] + "".join(next(digits, c) if c.isdigit() else c for c in surface[kept:]) + "".join(digits)
+        digits = iter(canonical.removeprefix("+"))
+        return "".join(next(digits) if c.isdigit() else c for c in surface) + "".join(digits)
     if kind in ("email", "secret"):
         return canonical.upper() if surface.isupper() else canonical
     return canonical

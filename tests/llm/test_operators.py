@@ -304,6 +304,28 @@ def test_names_beside_punctuation(before, name, entity):
     assert [e["entity"] for e in pii.find(f"it was {before}{name}, then")] == [entity]
 
 
+def test_one_number_in_several_formats():
+    written = ["+15095556973", "+1 (509) 555-6973", "+1-509-555-6973", "+1 509 555 6973"]
+    (entity,) = {e["entity"] for text in written for e in pii.find(text)}
+    made = pii.surrogate("phone", entity, 0)
+    out = [pii._dressed("phone", text, made) for text in written]
+    assert {"+" + "".join(c for c in text if c.isdigit()) for text in out} == {made} and made != entity
+    assert all(text.startswith("+1") and len(text) == len(given) for text, given in zip(out, written))
+    assert pii.surrogate("phone", "+35312345678", 3).startswith("+353")
+    assert pii.surrogate("phone", "+4930123456", 3).startswith("+49")
+
+
+def test_numbers_of_one_country_code_are_written_differently(spark):
+    """With two free digits most first draws collide."""
+    numbers = [f"+353 {i} {i + 1:02}" for i in range(1, 10)] + ["+353 1 99", "+353112"]
+    known = [(pii._canonical("phone", n),) for n in numbers]
+    entities = spark.createDataFrame(known, "entity string").selectExpr("'phone' AS kind", "entity")
+    drawn = {r.entity: r.surrogate for r in pii.draw_surrogates(entities, b"k", Workspace(spark)).collect()}
+    out = {e: pii._dressed("phone", e, s) for e, s in drawn.items()}
+    assert len(set(out.values())) == len(out) == len(set(known)) and not set(out.values()) & set(out)
+    assert all(text.startswith("+353") for text in out.values())
+
+
 def test_exact_groups(docs):
     groups = defaultdict(list)
     for i, t in cases.ROWS:
