@@ -28,6 +28,8 @@ KEY = b"surrogates"
 FOUND = "array<struct<kind:string,start:int,length:int,entity:string>>"
 # draws after which a surrogate may get longer, so that a full format cannot stop the search
 SAME_LENGTH_DRAWS = 24
+# draws after which an address is one of the block reserved for documentation, which has room for all
+DOTTED_DRAWS = 2 * SAME_LENGTH_DRAWS
 
 # fixed values: given names by gender and script
 NAMES = {
@@ -159,6 +161,10 @@ def surrogate(kind: str, entity: str, draw: int, key: bytes = KEY) -> str:
     stream = _Stream(key, kind, entity, str(draw))
     more = "".join(str(stream.below(10)) for _ in range(max(0, draw - SAME_LENGTH_DRAWS)))
     if kind == "ip":
+        if draw > DOTTED_DRAWS:
+            return "2001:db8:" + ":".join(f"{stream.below(1 << 16):04x}" for _ in range(6))
+        if draw > SAME_LENGTH_DRAWS:
+            return ".".join(str(stream.below(256)) for _ in range(4))
         ranges = {1: (0, 10), 2: (10, 100), 3: (100, 256)}
         return ".".join(
             str(low + stream.below(high - low)) for low, high in (ranges[len(part)] for part in entity.split("."))

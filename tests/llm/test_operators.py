@@ -326,6 +326,22 @@ def test_numbers_of_one_country_code_are_written_differently(spark):
     assert all(text.startswith("+353") for text in out.values())
 
 
+def test_a_full_format_of_addresses_ends():
+    entities = [".".join(f"{i:04}") for i in range(10_000)]
+    real, made, losers, draw = set(entities), set(), entities, 0
+    while losers:
+        again = []
+        for entity in losers:
+            drawn = pii.surrogate("ip", entity, draw)
+            if drawn in real or drawn in made:
+                again.append(entity)
+            made.add(drawn)
+        losers, draw = again, draw + 1
+        assert draw < pii.DOTTED_DRAWS
+    far = {pii.surrogate("ip", entity, pii.DOTTED_DRAWS + 1) for entity in entities}
+    assert len(far) == len(entities) and not any(pii.find(address) for address in far)
+
+
 def test_exact_groups(docs):
     groups = defaultdict(list)
     for i, t in cases.ROWS:
