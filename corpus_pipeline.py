@@ -28,7 +28,7 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data replaced; the length column follows the text."""
-    replaced = pii.replace(docs).drop("_n_entities")
+    replaced = pii.replace(docs)
     return replaced.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
 
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from encore.llm.tables import stage, values
+from encore.llm.tables import free_name, stage, values
 from encore.sources.staging import Workspace
 
 KEY = b"surrogates"
@@ -205,7 +205,7 @@ def _dressed(kind: str, surface: str, canonical: str) -> str:
     return canonical
 
 
-def _found(schema_names: list[str], text: str):
+def _found(schema_names: list[str], text: str, name: str):
     at = schema_names.index(text)
     kind = pa.list_(
         pa.struct([("kind", pa.string()), ("start", pa.int32()), ("length", pa.int32()), ("entity", pa.string())])
@@ -214,7 +214,7 @@ def _found(schema_names: list[str], text: str):
     def find_all(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = pa.array([find(text) for text in values(batch.column(at), "")], kind)
-            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*schema_names, "_found"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, found], names=[*schema_names, name])
 
     return find_all
 
@@ -265,8 +265,8 @@ def draw_surrogates(entities: DataFrame, key: bytes, work: Workspace) -> DataFra
         drawn = stage(marked.where("NOT _lost").drop("_lost").unionByName(again), "drawn", work)
 
 
-def _rewritten(names: list[str], text: str):
-    at, spans_at = names.index(text), names.index("_spans")
+def _rewritten(names: list[str], text: str, spans: str):
+    at, spans_at = names.index(text), names.index(spans)
 
     def rewrite(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,23 +291,26 @@ def replace(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataFrame:
     Every row comes back with its own columns.  A text without entities, empty or
     null, comes back as it is.  Repeated rows are rewritten alike; the same entity
     has the same surrogate in all rows, different entities have different ones.
-    An empty table gives an empty one.  Columns named ``_row``, ``_found``,
-    ``_spans`` and ``_n_entities`` are the operator's own.
+    An empty table gives an empty one.  Where ``docs`` has a column ``_n_entities``,
+    the number gets a name with more underscores before it.
     """
     work = Workspace(docs.sparkSession)
-    schema = T.StructType([*docs.schema.fields, T.StructField("_found", T._parse_datatype_string(FOUND))])
-    looked = docs.mapInArrow(_found(docs.columns, text), schema)
-    plain = looked.where("size(_found) = 0").drop("_found").withColumn("_n_entities", F.lit(0).cast("long"))
+    found, row, placed, number = (
+        free_name(name, docs.columns) for name in ("_found", "_row", "_spans", "_n_entities")
+    )
+    schema = T.StructType([*docs.schema.fields, T.StructField(found, T._parse_datatype_string(FOUND))])
+    looked = docs.mapInArrow(_found(docs.columns, text, found), schema)
+    plain = looked.where(F.size(found) == 0).drop(found).withColumn(number, F.lit(0).cast("long"))
     # only texts with an entity are written and shuffled
-    hits = stage(looked.where("size(_found) > 0").withColumn("_row", F.monotonically_increasing_id()), "hits", work)
-    occurrences = hits.select("_row", F.explode("_found").alias("_at")).select("_row", "_at.*")
+    hits = stage(looked.where(F.size(found) > 0).withColumn(row, F.monotonically_increasing_id()), "hits", work)
+    occurrences = hits.select(row, F.explode(found).alias("_at")).select(row, "_at.*")
     drawn = stage(draw_surrogates(occurrences, key, work), "surrogates", work)
     spans = (
         occurrences.join(drawn, ["kind", "entity"])
-        .groupBy("_row")
-        .agg(F.collect_list(F.struct("kind", "start", "length", "surrogate")).alias("_spans"))
+        .groupBy(row)
+        .agg(F.collect_list(F.struct("kind", "start", "length", "surrogate")).alias(placed))
     )
-    dressed = hits.drop("_found").join(spans, "_row").drop("_row")
-    rewritten = dressed.mapInArrow(_rewritten(dressed.columns, text), dressed.schema)
-    rewritten = rewritten.withColumn("_n_entities", F.size("_spans").cast("long")).drop("_spans")
+    dressed = hits.drop(found).join(spans, row).drop(row)
+    rewritten = dressed.mapInArrow(_rewritten(dressed.columns, text, placed), dressed.schema)
+    rewritten = rewritten.withColumn(number, F.size(placed).cast("long")).drop(placed)
     return plain.unionByName(rewritten)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.llm.expressions import let
+from encore.llm.tables import free_name
 
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]"
@@ -152,29 +153,30 @@ def judge(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text")
     twice or more in the text.  ``kept``: not failed, and every rule holds.
     A null or empty text has no words, no lines, and fails.  Rows are judged one
     by one: repeats are judged alike, an empty table gives an empty one, and the
-    caller's columns are kept, one named ``_quality`` excepted.
+    caller's columns are kept; beside one named ``_quality`` the struct gets a
+    name with more underscores before it.
     """
+    name = free_name("_quality", docs.columns)
+    parts = (f"{name}.of_words.*", f"{name}.n_symbols", f"{name}.n_shouts", f"{name}.of_lines.*")
     return (
-        docs.withColumn("_quality", measures(F.coalesce(F.col(text), F.lit(""))))
-        .withColumn(
-            "_quality",
-            F.struct("_quality.of_words.*", "_quality.n_symbols", "_quality.n_shouts", "_quality.of_lines.*"),
-        )
-        .withColumn("_quality", _verdict(rules))
+        docs.withColumn(name, measures(F.coalesce(F.col(text), F.lit(""))))
+        .withColumn(name, F.struct(*parts))
+        .withColumn(name, _verdict(rules, name))
     )
 
 
-def _verdict(rules: tuple[Rule, ...]) -> Column:
+def _verdict(rules: tuple[Rule, ...], name: str) -> Column:
     names = ("n_words", "word_chars", "n_stop_words", "n_repeat_words", "n_symbols", "n_shouts", "n_lines", "n_dup_lines")
-    counts = {name: F.col(f"_quality.{name}") for name in names}
+    counts = {count: F.col(f"{name}.{count}") for count in names}
     failed = (counts["n_words"] < LEAST_WORDS) | (
         100 * counts["n_repeat_words"] > MOST_REPEATED_PERCENT * counts["n_words"]
     )
     return F.struct(
-        "_quality.*", failed.alias("base_failed"), (~failed & compile_rules(rules, counts)).alias("kept")
+        f"{name}.*", failed.alias("base_failed"), (~failed & compile_rules(rules, counts)).alias("kept")
     )
 
 
 def keep_good(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that the rules keep, with the columns they came with."""
-    return judge(docs, rules, text).where("_quality.kept").select(*[F.col(f"`{c}`") for c in docs.columns])
+    name = free_name("_quality", docs.columns)
+    return judge(docs, rules, text).where(f"{name}.kept").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -342,6 +342,18 @@ def test_a_full_format_of_addresses_ends():
     assert len(far) == len(entities) and not any(pii.find(address) for address in far)
 
 
+def test_columns_with_the_operators_own_names(spark, docs):
+    own = ("_row", "_found", "_spans", "_n_entities", "_quality", "kind", "entity", "surrogate", "node")
+    clashing = docs.withColumns({name: F.lit(f"own {name}") for name in own})
+    replaced, judged = pii.replace(clashing), quality_rules.keep_good(clashing)
+    assert replaced.columns == [*clashing.columns, "__n_entities"] and judged.columns == clashing.columns
+    rows = replaced.collect()
+    assert all(r[name] == f"own {name}" for r in [*rows, *judged.collect()] for name in own)
+    assert len(rows) == len(cases.ROWS)
+    assert sorted(r["__n_entities"] for r in rows) == sorted(r._n_entities for r in pii.replace(docs).collect())
+    assert quality_rules.judge(clashing).columns[-1] == "__quality"
+
+
 def test_exact_groups(docs):
     groups = defaultdict(list)
     for i, t in cases.ROWS:
