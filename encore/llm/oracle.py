@@ -60,6 +60,17 @@ COPIES = f"""
 ESCAPED = r"length(replace(replace({}, '\', '\\'), '<|', '<\|'))"
 MARKERS = len("<|turn|><|says|><|end|>\n")
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+ENDS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+#: every line with its key, and the keys of common lines
+COMMON_LINES = f"""
+    docs AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    lines AS (SELECT r, doc_id, unnest(lines) AS line, generate_subscripts(lines, 1) AS i FROM docs),
+    keyed AS (SELECT *, translate(trim(line, {ENDS}), '{UPPER}', '{LOWER}') AS k FROM lines),
+    common AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
+    marked AS (SELECT keyed.*, common.k IS NOT NULL AS gone FROM keyed LEFT JOIN common ON keyed.k = common.k)"""
+
 ORACLE_SQL = {
     "op1_chat": rf"""
         WITH turns AS (
@@ -79,4 +90,9 @@ ORACLE_SQL = {
         WITH texts AS (SELECT doc_id AS id, text FROM documents), {QUALITY}
         SELECT id AS doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
         FROM verdicts""",
+    "op13_line_runs": f"""
+        WITH {COMMON_LINES}
+        SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM marked GROUP BY r""",
 }

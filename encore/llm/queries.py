@@ -10,7 +10,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from encore.llm import block_naming, byte_bpe, byte_cnn, chat, packing, pii, quality_rules, simhash, suffix_dedup, toxicity
+from encore.llm import (
+    block_naming,
+    byte_bpe,
+    byte_cnn,
+    chat,
+    line_runs,
+    packing,
+    pii,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    toxicity,
+)
 from encore.llm.labelled import held_out
 from encore.llm.oracle import ORACLE_SQL  # noqa: F401
 from encore.llm.tables import read
@@ -113,6 +125,11 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"_quality.{c}" for c in counts])
 
 
+def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = line_runs.drop_common_lines(read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     query.__name__: query
     for query in (
@@ -126,6 +143,7 @@ QUERIES: dict[str, Query] = {
         op8_block_naming,
         op9_packing,
         op10_quality_rules,
+        op13_line_runs,
     )
 }
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable, Iterator
 from types import ModuleType
+from uuid import uuid4
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -76,3 +77,15 @@ class Rows:
             arrays = [pa.array(c, f.type) for c, f in zip(columns, self.schema, strict=True)]
             self.rows, self.held = [], 0
             yield pa.record_batch(arrays, schema=self.schema)
+
+
+def bucketed(df: DataFrame, label: str, work: Workspace, buckets: int, key: str) -> DataFrame:
+    """``df`` written sorted, in buckets by ``key``, so that later joins on it shuffle nothing of it."""
+    spark = df.sparkSession
+    name = f"{label}_{uuid4().hex}"
+    writer = df.write.bucketBy(buckets, key).sortBy(key).options(**WORKSPACE_CODEC)
+    writer.option("path", work.new_path(label)).saveAsTable(name)
+    table = spark.table(name)
+    table.schema  # resolved now; the name is not needed any more, the files are
+    spark.sql(f"DROP TABLE {name}")
+    return table
