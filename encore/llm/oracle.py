@@ -71,6 +71,25 @@ COMMON_LINES = f"""
     common AS (SELECT k FROM keyed WHERE k <> '' GROUP BY k HAVING count(DISTINCT r) >= 10),
     marked AS (SELECT keyed.*, common.k IS NOT NULL AS gone FROM keyed LEFT JOIN common ON keyed.k = common.k)"""
 
+#: every group's and every language's probability of each kept term, in billionths
+PROBABILITIES = f"""
+    docs AS (SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                    translate(coalesce(text, ''), '{UPPER}', '{LOWER}') AS t FROM documents),
+    words AS (SELECT r, lang, source,
+                     unnest(regexp_extract_all(t, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM docs),
+    kept AS (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 10),
+    langs AS (SELECT lang, count(*) AS v, sum(n) AS n FROM kept GROUP BY lang),
+    counts AS (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+    groups AS (SELECT DISTINCT lang, source FROM docs),
+    totals AS (SELECT lang, source, coalesce(sum(n), 0) AS n FROM groups LEFT JOIN counts USING (lang, source)
+               GROUP BY lang, source),
+    probable AS (
+        SELECT totals.lang, totals.source, kept.term, coalesce(counts.n, 0) AS n,
+               1 + 1000000000::HUGEINT * (coalesce(counts.n, 0) + 2) // (totals.n + 2 * langs.v) AS p,
+               1 + 1000000000::HUGEINT * (kept.n + 2) // (langs.n + 2 * langs.v) AS q
+        FROM totals JOIN kept USING (lang) JOIN langs USING (lang)
+        LEFT JOIN counts ON counts.lang = totals.lang AND counts.source = totals.source AND counts.term = kept.term)"""
+
 ORACLE_SQL = {
     "op1_chat": rf"""
         WITH turns AS (
@@ -90,6 +109,22 @@ ORACLE_SQL = {
         WITH texts AS (SELECT doc_id AS id, text FROM documents), {QUALITY}
         SELECT id AS doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept
         FROM verdicts""",
+    "op11_divergence": f"""
+        WITH {PROBABILITIES},
+        apart AS (
+            SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+            FROM probable AS a JOIN probable AS b USING (lang, term) GROUP BY ALL),
+        pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+            FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN apart ON apart.lang = a.lang AND apart.source = a.source AND apart.item = b.source),
+        terms AS (
+            SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value
+            FROM probable WHERE n > 0 AND p > q),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INT AS rank
+            FROM (FROM pairs UNION ALL FROM terms))
+        SELECT * FROM ranked WHERE part = 'pair' OR rank <= 10""",
     "op13_line_runs": f"""
         WITH {COMMON_LINES}
         SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,

@@ -15,6 +15,7 @@ from encore.llm import (
     byte_bpe,
     byte_cnn,
     chat,
+    divergence,
     line_runs,
     packing,
     pii,
@@ -125,6 +126,10 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"_quality.{c}" for c in counts])
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(read(spark, sf_dir, "documents"))
+
+
 def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_runs.drop_common_lines(read(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -143,6 +148,7 @@ QUERIES: dict[str, Query] = {
         op8_block_naming,
         op9_packing,
         op10_quality_rules,
+        op11_divergence,
         op13_line_runs,
     )
 }
