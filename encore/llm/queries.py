@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm import (
+    alignment,
     block_naming,
     byte_bpe,
     byte_cnn,
@@ -27,7 +28,7 @@ from encore.llm import (
 from encore.llm.labelled import held_out
 from encore.llm.oracle import ORACLE_SQL  # noqa: F401
 from encore.llm.tables import read
-from encore.llm.vocabularies import BYTE_BPE, WORD_BPE, vocabulary
+from encore.llm.vocabularies import BYTE_BPE, PIECE_BPE, WORD_BPE, vocabulary
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -130,6 +131,12 @@ def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(read(spark, sf_dir, "documents"))
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = alignment.align(read(spark, sf_dir, "documents"), vocabulary(BYTE_BPE), vocabulary(PIECE_BPE))
+    digest = F.when(F.col("n_a") > 0, F.sha2("alignment", 256)).otherwise("")
+    return aligned.withColumn("groups_sha256", digest).drop("alignment")
+
+
 def op13_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     left = line_runs.drop_common_lines(read(spark, sf_dir, "documents"))
     return left.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -149,6 +156,7 @@ QUERIES: dict[str, Query] = {
         op9_packing,
         op10_quality_rules,
         op11_divergence,
+        op12_alignment,
         op13_line_runs,
     )
 }

@@ -6,6 +6,7 @@ import os
 
 BYTE_BPE = "byte_bpe_50k.json"
 WORD_BPE = "word_bpe_49k.json"
+PIECE_BPE = "piece_bpe_32k.model"
 
 
 def vocabulary(name: str) -> str:
