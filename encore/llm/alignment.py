@@ -7,6 +7,10 @@ all report the whole character, and B's byte-fallback tokens report nothing unti
 last.  A token whose span is as long as its decoded bytes ends where the span ends;
 the others are refined by adding up decoded bytes since the last such end.
 
+Neither tokenizer has a token that goes on over a single space between two other
+characters, so texts are cut into words there.  Words are aligned many at once, as one
+text, and a word's alignment is remembered for the next document.
+
 Offsets where a token of A and one of B end together cut the tokens into groups.  No
 entry of a vocabulary is empty, so exactly one token of each ends at a cut: a group
 is one link, between its last token of A and its last token of B.
@@ -33,12 +37,16 @@ from encore.llm.packing import byte_letters
 from encore.llm.tables import once_per_worker, stage, values
 from encore.sources.staging import Workspace
 
-# a longer text is cut before a single space between two of these, where no token of either goes on
-PIECE_CHARS = 1 << 16
-BORDER = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
 SPACE_PIECE = "▁"
-# tokens whose groups are written, and links that are counted, at once
-HELD_TOKENS = 1 << 19
+# a single space between two characters that are no white space
+BORDER = re.compile(r" (?<=\S )(?=\S)")
+# words a task learns before it forgets those it has not met since the last time
+REMEMBERED_WORDS = 150_000
+LONGEST_REMEMBERED = 64
+# characters of new words that are encoded as one text
+BATCH_CHARS = 1 << 16
+# characters that are aligned, tokens whose groups are written, links that are counted at once
+HELD_TOKENS = 1 << 18
 
 LISTS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
 ALIGNED = pa.schema(
@@ -87,26 +95,24 @@ class Aligner:
             plain = all(c in byte_of for c in token)
             self.a_bytes[i] = bytes(byte_of[c] for c in token) if plain else token.encode()
         self.b_bytes = []
-        cuttable = True
+        self.cuttable = True
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
-            cuttable &= SPACE_PIECE not in piece.lstrip(SPACE_PIECE)
+            # a piece with a space inside would go on over a border
+            self.cuttable &= SPACE_PIECE not in piece.lstrip(SPACE_PIECE)
             whole = bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace(SPACE_PIECE, " ").encode()
             self.b_bytes.append(whole)
-        # a piece with a space inside could go on over a border
-        self.most = PIECE_CHARS if cuttable else None
+        # per word its counts of A's tokens, B's tokens and groups, A's ids, B's ids, and how many
+        # of each every group has, as 32-bit integers; None for a word that is not given back
+        self.known: dict[str, bytes | None] = {}
+        self.before: dict[str, bytes | None] = {}
         self.a_size, self.b_size = (np.array([*map(len, x)]) for x in (self.a_bytes, self.b_bytes))
 
-    def _pieces(self, text: str) -> Iterator[str]:
-        """``text`` in pieces that begin with a space, each encoded as on its own."""
-        at = 0
-        while self.most and len(text) - at > self.most:
-            border = BORDER.search(text, at + self.most)
-            if not border:
-                break
-            yield text[at : border.start()]
-            at = border.start()
-        yield text[at:] if at else text
+    def words(self, text: str) -> list[str]:
+        """``text`` cut at every border; an empty text has no words."""
+        if not text:
+            return []
+        return BORDER.split(text) if self.cuttable else [text]
 
     def spans_a(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids and ends of A's tokens, from character offsets."""
@@ -129,36 +135,106 @@ class Aligner:
         start = np.concatenate([[0], end[:-1]])
         return ids, refined(start + 1, end + 1, self.b_size[ids])
 
-    def _groups(self, text: str):
-        """Ids and group sizes of one piece; None if a tokenizer does not give back its bytes."""
+    def _learn(self, words: list[str]) -> None:
+        """Align words, encoded as one text: a border is an end of both, so every group is in one word."""
+        text = " " + " ".join(words)
         whole = text.encode()
         a_ids, a_ends = self.spans_a(text)
         b_ids, b_ends = self.spans_b(text)
-        if b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) != whole:
-            return None
-        if b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) != whole:
-            return None
+        given_back = (
+            b"".join(map(self.a_bytes.__getitem__, a_ids.tolist())) == whole
+            and b"".join(map(self.b_bytes.__getitem__, b_ids.tolist())) == whole
+        )
+        if not given_back:
+            if len(words) == 1:
+                self.known[words[0]] = None
+            else:
+                for word in words:
+                    self._learn([word])
+            return
         ends = np.zeros(len(whole) + 1, np.int8)
         ends[a_ends] += 1
         ends[b_ends] += 2
-        sizes = [np.diff(np.flatnonzero(ends[x] == 3), prepend=-1) for x in (a_ends, b_ends)]
-        return a_ids, b_ids, *sizes
-
-    def align(self, text: str) -> tuple[np.ndarray, ...]:
-        """A's ids, B's ids, and how many of each every group has; all empty for a text without tokens."""
-        found = []
-        for piece in self._pieces(f" {text}" if text else ""):
-            groups = self._groups(piece) if piece else None
-            if groups is None:
-                return NOTHING, NOTHING, NOTHING, NOTHING
-            found.append(groups)
-        # a border is an end of both, so pieces' groups follow each other
-        return found[0] if len(found) == 1 else tuple(map(np.concatenate, zip(*found, strict=True)))
+        a_upto, b_upto = (np.flatnonzero(ends[x] == 3) + 1 for x in (a_ends, b_ends))
+        # groups, and with them tokens, up to the end of every word
+        at = np.searchsorted(a_ends[a_upto - 1], np.cumsum([len(w.encode()) + 1 for w in words]), "right")
+        counts = [np.diff(x, prepend=0) for x in (a_upto[at - 1], b_upto[at - 1], at)]
+        lists = [a_ids, b_ids, np.diff(a_upto, prepend=0), np.diff(b_upto, prepend=0)]
+        ends = np.cumsum(counts[0] + counts[1] + 2 * counts[2] + 3)
+        begin = np.concatenate([[0], ends[:-1]])
+        out = np.zeros(ends[-1], np.int32)
+        for i, count in enumerate(counts):
+            out[begin + i] = count
+        begin += 3
+        for numbers, count in zip(lists, (*counts, counts[2]), strict=True):
+            out[_runs(begin, count)] = numbers
+            begin += count
+        packed, ends = out.tobytes(), (4 * ends).tolist()
+        self.known.update((w, packed[a:z]) for w, a, z in zip(words, [0, *ends], ends))
+
+    def _remember(self, words: set[str]) -> set[str]:
+        """Make all words known; those that are too long to keep are returned."""
+        if len(self.known) >= REMEMBERED_WORDS:
+            self.before, self.known = self.known, {}
+        fresh = words.difference(self.known)
+        again = fresh.intersection(self.before)
+        self.known.update((w, self.before[w]) for w in again)
+        together, held = [], 0
+        for word in fresh - again:
+            # white space at an end could join a neighbour's
+            if not self.cuttable or word[0].isspace() or word[-1].isspace():
+                self._learn([word])
+                continue
+            together.append(word)
+            held += len(word)
+            if held >= BATCH_CHARS:
+                self._learn(together)
+                together, held = [], 0
+        if together:
+            self._learn(together)
+        return {w for w in fresh if len(w) > LONGEST_REMEMBERED}
+
+    def align(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """A's ids, B's ids and the groups' sizes in both, of all texts in a row; and how many each text has.
+
+        A text that is empty or not given back has none.
+        """
+        cut = [self.words(text) for text in texts]
+        long = self._remember(set().union(*cut))
+        found, upto = [], []
+        for words in cut:
+            here = [*map(self.known.__getitem__, words)]
+            if None not in here:
+                found += here
+            upto.append(len(found))
+        for word in long:
+            del self.known[word]
+        packed = np.frombuffer(b"".join(found), np.int32)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begin = np.cumsum(size) - size
+        counts = [packed[begin + i].astype(np.int64) for i in range(3)]
+        counts.append(counts[2])
+        begin += 3
+        lists = []
+        for count in counts:
+            lists.append(packed[_runs(begin, count)])
+            begin += count
+        return lists, [_shares(count, np.array(upto, np.int64)) for count in counts]
 
     def pair(self, a_ids: np.ndarray, b_ids: np.ndarray) -> np.ndarray:
         return a_ids.astype(np.int64) * len(self.b_bytes) + b_ids
 
 
+def _runs(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places of consecutive runs: ``count`` from each ``begin``."""
+    return np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
+
+
+def _shares(numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of consecutive runs that end at ``ends``."""
+    return np.diff(np.concatenate([[0], np.cumsum(numbers)])[ends], prepend=0)
+
+
 def _last(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The last id of every group."""
     return ids[np.cumsum(sizes) - 1]
@@ -187,34 +263,33 @@ class Tally:
         self.n, self.fresh, self.held = total, [], 0
 
 
-def _listed(arrays: list[np.ndarray]) -> pa.ListArray:
-    offsets = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-    return pa.ListArray.from_arrays(offsets, np.concatenate(arrays).astype(np.int32))
+def _listed(numbers: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(np.cumsum([0, *lengths]).astype(np.int32), numbers)
 
 
 def _aligned(byte_level: str, pieces: str):
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = once_per_worker(f"aligner {byte_level} {pieces}", lambda: Aligner(byte_level, pieces))
-        tally, docs, found, held = Tally(), [], [], 0
+        tally = Tally()
 
-        def done() -> pa.RecordBatch:
-            lists = [_listed([*column]) for column in zip(*found, strict=True)]
+        def done(docs: list, texts: list[str]) -> pa.RecordBatch:
+            (a_ids, b_ids, a_sizes, b_sizes), lengths = aligner.align(texts)
+            tally.add(aligner.pair(_last(a_ids, a_sizes), _last(b_ids, b_sizes)))
+            lists = map(_listed, (a_ids, b_ids, a_sizes, b_sizes), lengths)
             none = pa.nulls(len(docs), pa.int64())
             return pa.record_batch([pa.array(docs, pa.int64()), *lists, none, none], schema=ALIGNED)
 
         for batch in batches:
+            docs, texts, held = [], [], 0
             for doc, text in zip(values(batch.column(0)), values(batch.column(1), ""), strict=True):
-                groups = aligner.align(text)
-                a_ids, b_ids, a_sizes, b_sizes = groups
-                tally.add(aligner.pair(_last(a_ids, a_sizes), _last(b_ids, b_sizes)))
                 docs.append(doc)
-                found.append(groups)
-                held += len(a_ids) + len(b_ids)
+                texts.append(text)
+                held += len(text)
                 if held >= HELD_TOKENS:
-                    yield done()
-                    docs, found, held = [], [], 0
-        if docs:
-            yield done()
+                    yield done(docs, texts)
+                    docs, texts, held = [], [], 0
+            if docs:
+                yield done(docs, texts)
         tally.settle()
         size = len(tally.pairs)
         lists = [pa.nulls(size, pa.list_(pa.int32()))] * len(LISTS)
@@ -246,11 +321,6 @@ class Writer:
         return parts
 
 
-def _shares(numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Sums of consecutive runs that end at ``ends``."""
-    return np.diff(np.concatenate([[0], np.cumsum(numbers)])[ends], prepend=0)
-
-
 def _scored(byte_level: str, pieces: str, pairs: np.ndarray, counts: np.ndarray, best: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = once_per_worker(f"aligner {byte_level} {pieces}", lambda: Aligner(byte_level, pieces))

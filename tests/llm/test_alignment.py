@@ -100,15 +100,32 @@ def test_query_equals_a_plain_version(spark):
     assert got == sorted((*r[:-1], digest(r[-1])) for r in plain(rows))
 
 
-def test_pieces_of_a_long_text_are_encoded_as_the_whole(monkeypatch):
-    aligner = alignment.Aligner(*PATHS)
-    text = LONG[:30_000] + "  x\ty z" + "q" * 5000 + " end of it"
-    want = aligner.align(text)
-    assert len(want[0]) and aligner.most
-    aligner.most = 50
-    assert len([*aligner._pieces(" " + text)]) > 300
-    for got, whole in zip(aligner.align(text), want, strict=True):
-        assert np.array_equal(got, whole)
+def same(one, other):
+    return all(np.array_equal(x, y) for a, b in zip(one, other, strict=True) for x, y in zip(a, b, strict=True))
+
+
+def test_words_are_encoded_as_the_whole_text():
+    text = LONG[:30_000] + "  x\ty z" + "q" * 5000 + " end\xa0 of\u3000it  . 's \x1c x\x1c y ́o 'll\n\n  'm"
+    texts = [text, f" {text} ", "é 𐍈 ☃ 日本 ﬁ", "one", "", " ", "a ▁ b", text]
+    by_word, whole = alignment.Aligner(*PATHS), alignment.Aligner(*PATHS)
+    assert by_word.cuttable
+    whole.cuttable = False
+    assert len(by_word.words(text)) > 1000 and whole.words(text) == [text]
+    assert all(" ".join(by_word.words(t)) == t for t in texts)
+    want = whole.align(texts)
+    assert want[1][0].tolist()[4] == want[1][0].tolist()[6] == 0 < want[1][0].tolist()[5]
+    assert same(by_word.align(texts), want)
+    assert same(by_word.align(texts), want)  # all remembered now
+
+
+def test_words_are_forgotten_and_learned_again(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED_WORDS", 50)
+    monkeypatch.setattr(alignment, "BATCH_CHARS", 100)
+    aligner, whole = alignment.Aligner(*PATHS), alignment.Aligner(*PATHS)
+    whole.cuttable = False
+    for at in range(0, 6000, 500):
+        text = LONG[at : at + 700]
+        assert same(aligner.align([text, "▁"]), whole.align([text, "▁"]))
 
 
 def test_the_table_of_pairs_is_bounded_by_the_vocabularies():
