@@ -30,6 +30,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,18 +42,17 @@ SPACE_PIECE = "▁"
 # a single space between two characters that are no white space
 BORDER = re.compile(r" (?<=\S )(?=\S)")
 # words a task learns before it forgets those it has not met since the last time
-REMEMBERED_WORDS = 150_000
+REMEMBERED_WORDS = 200_000
 LONGEST_REMEMBERED = 64
 # characters of new words that are encoded as one text
 BATCH_CHARS = 1 << 16
-# characters that are aligned, tokens whose groups are written, links that are counted at once
-HELD_TOKENS = 1 << 18
-
-LISTS = ("a_ids", "b_ids", "a_sizes", "b_sizes")
-ALIGNED = pa.schema(
-    [("doc_id", pa.int64()), *((c, pa.list_(pa.int32())) for c in LISTS), ("pair", pa.int64()), ("n", pa.int64())]
-)
-ALIGNED_SQL = "doc_id long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>, pair long, n long"
+# characters that are aligned, links that are counted, and bytes of packed groups that are written at once
+HELD_CHARS = 1 << 18
+HELD_LINKS = 1 << 18
+HELD_BYTES = 1 << 18
+
+ALIGNED = pa.schema([("doc_id", pa.int64()), ("body", pa.binary()), ("pair", pa.int64()), ("n", pa.int64())])
+ALIGNED_SQL = "doc_id long, body binary, pair long, n long"
 NUMBERS = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum")
 SCORED = pa.schema([("doc_id", pa.int64()), *((c, pa.int64()) for c in NUMBERS), ("alignment", pa.string())])
 SCORED_SQL = ", ".join(["doc_id long", *(f"{c} long" for c in NUMBERS), "alignment string"])
@@ -195,7 +195,7 @@ class Aligner:
         return {w for w in fresh if len(w) > LONGEST_REMEMBERED}
 
     def align(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """A's ids, B's ids and the groups' sizes in both, of all texts in a row; and how many each text has.
+        """A's ids, B's ids and the groups' sizes in both: four lists, a run of each per text; and the runs' lengths.
 
         A text that is empty or not given back has none.
         """
@@ -212,8 +212,7 @@ class Aligner:
         packed = np.frombuffer(b"".join(found), np.int32)
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         begin = np.cumsum(size) - size
-        counts = [packed[begin + i].astype(np.int64) for i in range(3)]
-        counts.append(counts[2])
+        counts = [packed[begin + i] for i in (0, 1, 2, 2)]
         begin += 3
         lists = []
         for count in counts:
@@ -221,18 +220,26 @@ class Aligner:
             begin += count
         return lists, [_shares(count, np.array(upto, np.int64)) for count in counts]
 
+    def forget(self) -> None:
+        self.known, self.before = {}, {}
+
     def pair(self, a_ids: np.ndarray, b_ids: np.ndarray) -> np.ndarray:
-        return a_ids.astype(np.int64) * len(self.b_bytes) + b_ids
+        return _pair(a_ids, b_ids, len(self.b_bytes))
 
 
 def _runs(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
     """The places of consecutive runs: ``count`` from each ``begin``."""
+    count = count.astype(np.int64)
     return np.repeat(begin - np.cumsum(count) + count, count) + np.arange(count.sum())
 
 
 def _shares(numbers: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of consecutive runs that end at ``ends``."""
-    return np.diff(np.concatenate([[0], np.cumsum(numbers)])[ends], prepend=0)
+    return np.diff(np.concatenate([[0], np.cumsum(numbers, dtype=np.int64)])[ends], prepend=0)
+
+
+def _pair(a_ids: np.ndarray, b_ids: np.ndarray, b_entries: int) -> np.ndarray:
+    return a_ids.astype(np.int64) * b_entries + b_ids
 
 
 def _last(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -251,7 +258,7 @@ class Tally:
     def add(self, pairs: np.ndarray) -> None:
         self.fresh.append(pairs)
         self.held += len(pairs)
-        if self.held >= HELD_TOKENS:
+        if self.held >= HELD_LINKS:
             self.settle()
 
     def settle(self) -> None:
@@ -263,8 +270,17 @@ class Tally:
         self.n, self.fresh, self.held = total, [], 0
 
 
-def _listed(numbers: np.ndarray, lengths: np.ndarray) -> pa.ListArray:
-    return pa.ListArray.from_arrays(np.cumsum([0, *lengths]).astype(np.int32), numbers)
+def _bodies(lists: list[np.ndarray], lengths: list[np.ndarray]) -> list[bytes]:
+    """Each text's lengths and lists, packed."""
+    lists = [x.astype(np.int32, copy=False) for x in lists]
+    ends = [np.cumsum(x).tolist() for x in lengths]
+    heads = np.stack(lengths, axis=1).astype(np.int32)
+    pack, bodies, at = zstandard.ZstdCompressor(level=1).compress, [], [0] * len(lists)
+    for head, *to in zip(heads, *ends, strict=True):
+        parts = [x[a:z].tobytes() for x, a, z in zip(lists, at, to, strict=True)]
+        bodies.append(pack(head.tobytes() + b"".join(parts)))
+        at = to
+    return bodies
 
 
 def _aligned(byte_level: str, pieces: str):
@@ -273,11 +289,12 @@ def _aligned(byte_level: str, pieces: str):
         tally = Tally()
 
         def done(docs: list, texts: list[str]) -> pa.RecordBatch:
-            (a_ids, b_ids, a_sizes, b_sizes), lengths = aligner.align(texts)
+            lists, lengths = aligner.align(texts)
+            a_ids, b_ids, a_sizes, b_sizes = lists
             tally.add(aligner.pair(_last(a_ids, a_sizes), _last(b_ids, b_sizes)))
-            lists = map(_listed, (a_ids, b_ids, a_sizes, b_sizes), lengths)
+            bodies = pa.array(_bodies(lists, lengths), pa.binary())
             none = pa.nulls(len(docs), pa.int64())
-            return pa.record_batch([pa.array(docs, pa.int64()), *lists, none, none], schema=ALIGNED)
+            return pa.record_batch([pa.array(docs, pa.int64()), bodies, none, none], schema=ALIGNED)
 
         for batch in batches:
             docs, texts, held = [], [], 0
@@ -285,15 +302,15 @@ def _aligned(byte_level: str, pieces: str):
                 docs.append(doc)
                 texts.append(text)
                 held += len(text)
-                if held >= HELD_TOKENS:
+                if held >= HELD_CHARS:
                     yield done(docs, texts)
                     docs, texts, held = [], [], 0
             if docs:
                 yield done(docs, texts)
+        aligner.forget()
         tally.settle()
-        size = len(tally.pairs)
-        lists = [pa.nulls(size, pa.list_(pa.int32()))] * len(LISTS)
-        yield pa.record_batch([pa.nulls(size, pa.int64()), *lists, pa.array(tally.pairs), pa.array(tally.n)], schema=ALIGNED)
+        none = pa.nulls(len(tally.pairs))
+        yield pa.record_batch([none.cast(pa.int64()), none.cast(pa.binary()), tally.pairs, tally.n], schema=ALIGNED)
 
     return align
 
@@ -321,34 +338,37 @@ class Writer:
         return parts
 
 
-def _scored(byte_level: str, pieces: str, pairs: np.ndarray, counts: np.ndarray, best: np.ndarray):
+def _scored(a_entries: int, b_entries: int, pairs: np.ndarray, counts: np.ndarray, best: np.ndarray):
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        aligner = once_per_worker(f"aligner {byte_level} {pieces}", lambda: Aligner(byte_level, pieces))
-        writer = once_per_worker(
-            f"writer {byte_level} {pieces}", lambda: Writer(len(aligner.a_bytes), len(aligner.b_bytes))
-        )
-
-        def scored(batch: pa.RecordBatch) -> pa.RecordBatch:
-            lists = [batch.column(i) for i in range(1, 5)]
-            ids_and_sizes = [x.flatten().to_numpy().astype(np.int64) for x in lists]
-            lengths = [np.diff(x.offsets.to_numpy()).astype(np.int64) for x in lists]
-            a_ids, b_ids, a_sizes, b_sizes = ids_and_sizes
-            at = np.searchsorted(pairs, aligner.pair(_last(a_ids, a_sizes), _last(b_ids, b_sizes)))
+        writer = once_per_worker(f"writer {a_entries} {b_entries}", lambda: Writer(a_entries, b_entries))
+
+        def scored(docs: list, bodies: list[bytes]) -> pa.RecordBatch:
+            unpacked = [np.frombuffer(zstandard.decompress(body), np.int32) for body in bodies]
+            lengths = np.array([x[:4] for x in unpacked], np.int64).T
+            cuts = 4 + np.cumsum(lengths, axis=0)
+            lists = [
+                np.concatenate([x[end - n : end] for x, end, n in zip(unpacked, *y, strict=True)])
+                for y in zip(cuts, lengths, strict=True)
+            ]
+            a_ids, b_ids, a_sizes, b_sizes = lists
+            at = np.searchsorted(pairs, _pair(_last(a_ids, a_sizes), _last(b_ids, b_sizes), b_entries))
             group_ends = np.cumsum(lengths[2])
-            parts, ends = writer.parts(*ids_and_sizes), np.cumsum(lengths[0] + lengths[1]).tolist()
+            parts, ends = writer.parts(*lists), np.cumsum(lengths[0] + lengths[1]).tolist()
             texts = ["".join(parts[a:z].tolist())[:-1] for a, z in zip([0, *ends], ends)]
-            numbers = [lengths[0], lengths[1], lengths[2], lengths[2]]
-            numbers += [_shares(x[at], group_ends) for x in (best.astype(np.int64), counts)]
-            return pa.record_batch([batch.column(0), *map(pa.array, numbers), pa.array(texts, pa.string())], schema=SCORED)
+            numbers = [*lengths[:3], lengths[2], *(_shares(x[at], group_ends) for x in (best.astype(np.int64), counts))]
+            return pa.record_batch([pa.array(docs, pa.int64()), *numbers, pa.array(texts, pa.string())], schema=SCORED)
 
         for batch in batches:
-            tokens = np.cumsum(sum(np.diff(batch.column(i).offsets.to_numpy()).astype(np.int64) for i in (1, 2)))
-            begin = 0
-            while begin < batch.num_rows:
-                before = tokens[begin - 1] if begin else 0
-                end = max(begin + 1, int(np.searchsorted(tokens, before + HELD_TOKENS)))
-                yield scored(batch.slice(begin, end - begin))
-                begin = end
+            docs, bodies, held = [], [], 0
+            for doc, body in zip(values(batch.column(0)), values(batch.column(1)), strict=True):
+                docs.append(doc)
+                bodies.append(body)
+                held += len(body)
+                if held >= HELD_BYTES:
+                    yield scored(docs, bodies)
+                    docs, bodies, held = [], [], 0
+            if docs:
+                yield scored(docs, bodies)
 
     return score
 
@@ -372,8 +392,9 @@ def align(docs: DataFrame, byte_level: str, pieces: str, doc_id: str = "doc_id",
     # at most one row per byte of both vocabularies, see above
     counts = aligned.where("pair IS NOT NULL").groupBy("pair").agg(F.sum("n").alias("n")).orderBy("pair").toArrow()
     pairs, n = (counts.column(c).to_numpy().astype(np.int64) for c in ("pair", "n"))
-    b_entries = Aligner(byte_level, pieces).b.get_piece_size()
+    aligner = Aligner(byte_level, pieces)
+    b_entries = len(aligner.b_bytes)
     most = np.zeros(b_entries, np.int64)
     np.maximum.at(most, pairs % b_entries, n)
-    score = _scored(byte_level, pieces, pairs, n, n == most[pairs % b_entries])
-    return aligned.where("pair IS NULL").select("doc_id", *LISTS).mapInArrow(score, SCORED_SQL)
+    score = _scored(len(aligner.a_bytes), b_entries, pairs, n, n == most[pairs % b_entries])
+    return aligned.where("pair IS NULL").select("doc_id", "body").mapInArrow(score, SCORED_SQL)
