@@ -41,8 +41,8 @@ from encore.sources.staging import Workspace
 SPACE_PIECE = "▁"
 # a single space between two characters that are no white space
 BORDER = re.compile(r" (?<=\S )(?=\S)")
-# words a task learns before it forgets those it has not met since the last time
-REMEMBERED_WORDS = 200_000
+# words a worker learns, 230 bytes each, before it forgets those it has not met since the last time
+REMEMBERED_WORDS = 500_000
 LONGEST_REMEMBERED = 64
 # characters of new words that are encoded as one text
 BATCH_CHARS = 1 << 16
@@ -220,9 +220,6 @@ class Aligner:
             begin += count
         return lists, [_shares(count, np.array(upto, np.int64)) for count in counts]
 
-    def forget(self) -> None:
-        self.known, self.before = {}, {}
-
     def pair(self, a_ids: np.ndarray, b_ids: np.ndarray) -> np.ndarray:
         return _pair(a_ids, b_ids, len(self.b_bytes))
 
@@ -307,7 +304,6 @@ def _aligned(byte_level: str, pieces: str):
                     docs, texts, held = [], [], 0
             if docs:
                 yield done(docs, texts)
-        aligner.forget()
         tally.settle()
         none = pa.nulls(len(tally.pairs))
         yield pa.record_batch([none.cast(pa.int64()), none.cast(pa.binary()), tally.pairs, tally.n], schema=ALIGNED)
