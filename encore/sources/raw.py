@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from encore.functions.temporal import ts_or_null
 from encore.schemas import RAW
+from encore.sources.quoted_csv import read_quoted_csv
 
 # The texts a headered CSV uses for "no value".
 NULL_TOKENS = (
@@ -34,23 +35,32 @@ NULL_TOKENS = (
     "null",
 )
 
-def read_csv_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+# how fields are quoted, for every reader
+QUOTING = {"quote": '"', "escape": '"'}
+
+
+def read_csv_text(
+    spark: SparkSession, path: str, multi_line: bool = False, whole_files: bool = False
+) -> DataFrame:
     """All columns as text, named by the header.
 
-    With ``multi_line`` quoted text may hold line breaks and a file is one task.
-    Without it files are split, and a row of another width than the header, such
-    as half a row before a line break, fails the job.
+    With ``multi_line`` quoted text may hold line breaks; files are read in splits all
+    the same, see ``quoted_csv``, unless ``whole_files`` makes every file one task.
+    Without it a row of another width than the header, such as half a row before a
+    line break, fails the job.
     """
-    return (
+    reader = (
         spark.read.option("header", True)
+        .options(**QUOTING)
         .option("multiLine", multi_line)
-        .option("quote", '"')
-        .option("escape", '"')
         .option("mode", "PERMISSIVE" if multi_line else "FAILFAST")
         # the width of a row is only known when all of it is parsed
         .option("columnPruning", multi_line)
-        .csv(path)
     )
+    if multi_line and not whole_files:
+        # only the header is read for the names
+        return read_quoted_csv(spark, path, QUOTING, reader.csv(path).columns)
+    return reader.csv(path)
 
 
 def _typed(field: T.StructField, lenient_ts: bool) -> Column:
@@ -78,9 +88,10 @@ def load_table(
     schema: T.StructType,
     fmt: str = "csv",
     multi_line: bool = False,
+    whole_files: bool = False,
 ) -> DataFrame:
     if fmt == "csv":
-        return without_nan(apply_schema(read_csv_text(spark, path, multi_line), schema))
+        return without_nan(apply_schema(read_csv_text(spark, path, multi_line, whole_files), schema))
     table = spark.read.format(fmt).schema(schema).load(path)
     return without_nan(table)
 
@@ -92,18 +103,20 @@ def load_raw(
     files: dict[str, str] | None = None,
     schemas: dict[str, T.StructType] | None = None,
     multi_line: Collection[str] = tuple(RAW),
+    whole_files: Collection[str] = (),
 ) -> dict[str, DataFrame]:
     """Read orders, customers, reviews and order_items from a directory.
 
     ``files`` maps a table to its file or folder name (``<table>.<fmt>`` when
     left out).  CSV columns are matched by header name and unneeded ones are
     never converted.  ``multi_line`` names the tables whose quoted text may hold
-    line breaks, all four by default; a table left out is read line by line, in
-    splits, and fails on a broken row.
+    line breaks, all four by default; a table left out fails on a broken row.  Either
+    way files are read in splits.  ``whole_files`` names tables whose files are one
+    task each, which saves a shuffle where files are many and small.
     """
     files = files or {}
     tables = {}
     for name, schema in {**RAW, **(schemas or {})}.items():
         path = f"{directory.rstrip('/')}/{files.get(name, f'{name}.{fmt}')}"
-        tables[name] = load_table(spark, path, schema, fmt, name in multi_line)
+        tables[name] = load_table(spark, path, schema, fmt, name in multi_line, name in whole_files)
     return tables

@@ -72,9 +72,13 @@ def test_every_null_text_is_null(spark, tmp_path):
     assert customers.where("customer_state IS NOT NULL").count() == 0
 
 
-def test_only_needed_csv_columns_are_read(raw):
-    plan = raw["customers"].select("customer_state")._jdf.queryExecution().executedPlan().toString()
+def test_only_needed_csv_columns_are_read(spark, raw, tmp_path):
+    names = {name: f"shop_{name}.csv" for name in FILES}
+    whole = load_raw(spark, str(tmp_path), files=names, whole_files=tuple(RAW))
+    plan = whole["customers"].select("customer_state")._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<customer_state:string>" in plan
+    plan = raw["customers"].select("customer_state")._jdf.queryExecution().optimizedPlan().toString()
+    assert "c4" in plan and "customer_city" not in plan
 
 
 def base_rows(spark):
