@@ -1,18 +1,19 @@
 """Global order without a single-task sort.
 
-Row positions come from one range-partitioned sort; the row at one position comes
-from counting alone; running totals and exact quantiles come from quantile buckets.
-The only rows that meet in one task are one total per partition or bucket, or a
-fixed number of rows.
+Row positions come from one range-partitioned sort; cuts and exact quantiles come
+from counting alone; running totals come from quantile buckets.  The only rows that
+meet in one task are one total per partition or bucket, or a bounded number of values.
 """
 
 from __future__ import annotations
 
 import math
+from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,9 +23,13 @@ from encore.sources.staging import stage
 # monotonically_increasing_id() is the partition number above 33 bits of row number
 PART_BITS = 33
 ROWS_PER_PART = 1 << PART_BITS
-# rows drawn to divide an interval, and the size of an interval that is fetched
-PIVOTS = 32
-FETCH_ROWS = 4096
+# how far a sketched rank may be off, and how far around a wanted rank values are counted, of all rows
+SKETCH_ERROR = 1e-4
+MARGIN = 2e-3
+# values a column's range may have to be fetched, and values drawn to divide a larger one of strings
+FETCH_ROWS = 1 << 16
+PIVOTS = 1 << 10
+SAME_MEASURE = 1 << 20
 
 
 # --- row positions ---------------------------------------------------------
@@ -65,7 +70,7 @@ def global_index(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
-# --- one place of an order, by counting -------------------------------------
+# --- places of an order, by counting ----------------------------------------
 
 
 @dataclass(frozen=True)
@@ -82,80 +87,268 @@ def _constant(value, kind: T.DataType) -> Column:
     return F.lit(value).cast(kind)
 
 
-def _ahead_of(keys: list[SortKey], cut: Row, schema: T.StructType) -> Column:
-    """Whether a row lies before ``cut``; never null, plain enough for a scan's filters."""
-    ahead = F.lit(False)
-    for key, value in reversed(list(zip(keys, cut, strict=True))):
-        column, bound = F.col(key.name), _constant(value, schema[key.name].dataType)
-        if value is None:
-            first = column.isNotNull() if key.descending else F.lit(False)
-        elif key.descending:
-            first = column.isNotNull() & (column > bound)
-        else:
-            first = column.isNull() | (column < bound)
-        ahead = first | (column.eqNullSafe(bound) & ahead)
-    return ahead
-
-
-def _same_as(keys: list[SortKey], cut: Row, schema: T.StructType) -> Column:
-    same = F.lit(True)
-    for key, value in zip(keys, cut, strict=True):
-        same &= F.col(key.name).eqNullSafe(_constant(value, schema[key.name].dataType))
-    return same
-
-
-def row_at(df: DataFrame, keys: list[SortKey], position: int, rows: int | None = None) -> Row | None:
-    """The sort columns of the row at the 0-based ``position``; None beyond the end.
-
-    Nothing is sorted or shuffled.  Each round draws a few rows as pivots, counts
-    the rows at and between them, and goes on in the interval with the position,
-    some sixteen times smaller, until that is a pivot or an interval of at most
-    ``FETCH_ROWS`` rows.  Pivots change the number of rounds, never the result.
-    A round scans the sort columns twice and fetches one row per pivot or count.
+def _ahead_of(key: SortKey, value, kind: T.DataType) -> Column:
+    """Whether a row lies before ``value``; never null, plain enough for a scan's filters."""
+    column, bound = F.col(key.name), _constant(value, kind)
+    if value is None:
+        return column.isNotNull() if key.descending else F.lit(False)
+    if key.descending:
+        return column.isNotNull() & (column > bound)
+    return column.isNull() | (column < bound)
+
+
+@dataclass(frozen=True)
+class _Place:
+    """A value at a rank, the rows with smaller values, and the rows with this one."""
+
+    value: object
+    ahead: int
+    ties: int
+
+
+@dataclass(frozen=True)
+class _Sizes:
+    nulls: int
+    nans: int
+    known: int
+
+
+def _measure(name: str, kind: T.DataType) -> Column | None:
+    """A double that never falls where the column rises; None if there is none."""
+    if isinstance(kind, T.NumericType):
+        return F.col(name).cast("double")
+    if isinstance(kind, T.TimestampNTZType):
+        return F.expr(f"timestampdiff(MICROSECOND, timestamp_ntz'1970-01-01 00:00:00', `{name}`)").cast("double")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(name).cast("double")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(name).cast("double")
+    return None
+
+
+@dataclass
+class _Target:
+    """Some wanted ranks of a column (``picks`` among all of them) and where their values lie.
+
+    ``low`` and ``high`` belong to the range unless it is ``open``; None is no bound.
+    ``shares`` say how far into the range the ranks are.
     """
-    names = [key.name for key in keys]
-    order = [F.desc(key.name) if key.descending else F.asc(key.name) for key in keys]
-    here = df.select(*names)
-    schema = here.schema
-    rows = here.count() if rows is None else rows
-    if not 0 <= position < rows:
-        return None
-    low = high = None
-    while True:
-        bounds = F.lit(True)
+
+    column: str
+    picks: list[int] | None
+    shares: list[float]
+    low: object = None
+    high: object = None
+    open: bool = False
+
+    @property
+    def single(self) -> bool:
+        return self.low is not None and self.low == self.high
+
+
+NULL, NAN, BEFORE, LOW, INSIDE, HIGH, BEHIND = range(7)
+
+
+class _Search:
+    """The values at some ranks of some columns at once; nothing is sorted or shuffled by value.
+
+    One pass sketches all columns and brackets every wanted rank; one pass counts
+    the rows before and behind the brackets and, inside, by value.  Only if that are
+    more than ``FETCH_ROWS`` values, counts alone and a sketch inside the brackets
+    narrow them first.  A sketch changes the number of passes, never a result.
+    """
+
+    def __init__(self, df: DataFrame, columns: list[str], shares: list[float]):
+        kinds = {c: df.schema[c].dataType for c in columns}
+        self.df = df.select(*columns)
+        self.measure = {c: _measure(c, kind) for c, kind in kinds.items()}
+        floats = (T.DoubleType, T.FloatType)
+        self.is_nan = {c: F.isnan(c) if isinstance(kind, floats) else F.lit(False) for c, kind in kinds.items()}
+        self.targets = [_Target(c, None, shares) for c in columns]
+
+    def _side(self, target: _Target) -> Column:
+        name, low, high = target.column, target.low, target.high
+        value = F.col(name) if self.measure[name] is None else self.measure[name]
+        side = F.when(F.col(name).isNull(), NULL).when(self.is_nan[name], NAN)
         if low is not None:
-            bounds &= ~_ahead_of(keys, low, schema) & ~_same_as(keys, low, schema)
+            side = side.when(value < low, BEFORE).when(value == low, BEFORE if target.open else LOW)
         if high is not None:
-            bounds &= _ahead_of(keys, high, schema)
-        inside = here.where(bounds)
-        if rows <= FETCH_ROWS:
-            return inside.orderBy(*order).limit(rows).collect()[position]
-        drawn = inside.orderBy(F.rand(rows)).limit(PIVOTS).distinct().orderBy(*order).collect()
-        # 2i + 1: equal to pivot i; 2i: between pivots i - 1 and i
-        side = F.lit(0)
-        for pivot in drawn:
-            ahead, same = _ahead_of(keys, pivot, schema), _same_as(keys, pivot, schema)
-            side += F.when(ahead, 0).when(same, 1).otherwise(2)
-        counts = dict(inside.groupBy(side.alias("side")).count().collect())
-        for at in sorted(counts):
-            if position < counts[at]:
-                break
-            position -= counts[at]
-        if at % 2:
-            return drawn[at // 2]
-        low = drawn[at // 2 - 1] if at else low
-        high = drawn[at // 2] if at // 2 < len(drawn) else high
-        rows = counts[at]
-
-
-def _first_fraction(df: DataFrame, keys: list[SortKey], fraction: float) -> Column:
-    """Whether a row is among the first ``int(n * fraction)`` of the order."""
-    rows = df.count()
-    ahead = int(rows * fraction)
-    if ahead == 0:
-        return F.lit(False)
-    cut = row_at(df, keys, ahead, rows)
-    return F.lit(True) if cut is None else _ahead_of(keys, cut, df.schema)
+            side = side.when(value > high, BEHIND).when(value == high, BEHIND if target.open else HIGH)
+        return side.otherwise(INSIDE)
+
+    def _within(self, target: _Target) -> Column:
+        return self._side(target).between(LOW, HIGH)
+
+    def bracket(self) -> None:
+        """Narrow every target to the neighbourhood of its shares."""
+        sketched = [t for t in self.targets if self.measure[t.column] is not None]
+        if sketched:
+            asked = sorted({p for t in sketched for p in _around(t.shares, MARGIN)})
+            names = [f"t{i}" for i in range(len(sketched))]
+            inside = [
+                F.when(self._within(t), self.measure[t.column]).alias(n) for t, n in zip(sketched, names, strict=True)
+            ]
+            found = self.df.select(*inside).approxQuantile(names, asked, SKETCH_ERROR)
+            for target, values in zip(sketched, found, strict=True):
+                if values:
+                    ends = _around(target.shares, MARGIN)
+                    target.low, target.high = (values[asked.index(p)] for p in (ends[0], ends[-1]))
+                    target.open = False
+        for target in self.targets:
+            if target not in sketched:
+                # values that are no numbers: a few drawn ones stand for all
+                here = self.df.where(self._within(target)).select(target.column)
+                drawn = sorted(r[0] for r in here.orderBy(F.rand(7)).limit(PIVOTS).collect())
+                ends = _around(target.shares, 2 / math.sqrt(PIVOTS))
+                at = [min(len(drawn) - 1, int(p * len(drawn))) for p in (ends[0], ends[-1])]
+                target.low, target.high, target.open = drawn[at[0]], drawn[at[1]], False
+
+    def count(self, by_value: bool) -> list[tuple[int, int, object, int]] | None:
+        """Rows by target and side and, within the ranges, by value; None if those are too many."""
+
+        def cell(i: int, target: _Target) -> Column:
+            value = F.when(self._within(target), F.col(target.column)) if by_value else F.lit(None)
+            return F.struct(F.lit(i).alias("target"), self._side(target).alias("side"), value.alias("value"))
+
+        # one grouping serves all targets
+        cells = F.explode(F.array(*[cell(i, t) for i, t in enumerate(self.targets)])).alias("_cell")
+        counted = self.df.select(cells).groupBy("_cell").count()
+        # one double stands for less than a thousand 64-bit integers
+        most = sum(SAME_MEASURE if t.single else FETCH_ROWS for t in self.targets) + BEHIND * len(self.targets)
+        # a limit alone would be taken in several jobs
+        rows = counted.limit(most + 1).coalesce(1).collect()
+        return None if len(rows) > most else [(*r["_cell"], r["count"]) for r in rows]
+
+    def run(
+        self, ranks: Callable[[_Sizes], list[int]], rows: float = math.inf
+    ) -> dict[str, tuple[_Sizes, list[_Place]]]:
+        """Per column its sizes and the places at ``ranks(sizes)``, counted among its known values.
+
+        A table known to have few ``rows`` is counted as a whole first.
+        """
+        found: dict[str, tuple[_Sizes, dict[int, _Place]]] = {}
+        if rows > FETCH_ROWS and any(self.measure[t.column] is not None for t in self.targets):
+            self.bracket()
+        while self.targets:
+            cells = self.count(by_value=True)
+            fetched = cells is not None
+            cells = cells if fetched else self.count(by_value=False)
+            left = []
+            for i, target in enumerate(self.targets):
+                mine = [cell[1:] for cell in cells if cell[0] == i]
+                sides = Counter()
+                for side, _, n in mine:
+                    sides[side] += n
+                sizes = _Sizes(sides[NULL], sides[NAN], sum(n for side, n in sides.items() if side >= BEFORE))
+                wanted = ranks(sizes)
+                picks = range(len(wanted)) if target.picks is None else target.picks
+                places = found.setdefault(target.column, (sizes, {}))[1]
+                beside = [p for p in picks if not sides[BEFORE] <= wanted[p] < sizes.known - sides[BEHIND]]
+                if beside:
+                    # the sketch was beside it: once more from the whole column, at the known share
+                    left.append(_Target(target.column, [*picks], [(wanted[p] + 0.5) / sizes.known for p in picks]))
+                elif fetched:
+                    places.update({p: _place(mine, sides[BEFORE], wanted[p]) for p in picks})
+                else:
+                    left += _parts(target, sides, {p: wanted[p] for p in picks})
+            self.targets = left
+            if left:
+                self.bracket()
+        return {c: (sizes, [places[i] for i in sorted(places)]) for c, (sizes, places) in found.items()}
+
+
+def _around(shares: list[float], margin: float) -> list[float]:
+    return sorted(min(1.0, max(0.0, s + d)) for s in shares for d in (-margin, margin))
+
+
+def _place(cells: list[tuple[int, object, int]], ahead: int, rank: int) -> _Place:
+    """The place at ``rank`` among counted values, with ``ahead`` rows before them."""
+    for value, n in sorted((value, n) for side, value, n in cells if LOW <= side <= HIGH):
+        if rank < ahead + n:
+            return _Place(value, ahead, n)
+        ahead += n
+    raise AssertionError("ranks are checked against the counts")
+
+
+def _parts(target: _Target, rows: Counter, wanted: dict[int, int]) -> list[_Target]:
+    """A target's ends and its open inside, those that hold wanted ranks."""
+    if target.single:
+        raise ArithmeticError(f"values of {target.column} are too close to each other to be told apart")
+    low, high = target.low, target.high
+    ends = {LOW: (low, low, False), INSIDE: (low, high, True), HIGH: (high, high, False)}
+    parts, ahead = [], rows[BEFORE]
+    for side, bounds in ends.items():
+        here = {p: r - ahead for p, r in wanted.items() if ahead <= r < ahead + rows[side]}
+        if here:
+            parts.append(_Target(target.column, [*here], [(r + 0.5) / rows[side] for r in here.values()], *bounds))
+        ahead += rows[side]
+    return parts
+
+
+def _first_rows(
+    df: DataFrame, keys: list[SortKey], share: float, want: Callable[[int], int], about: float = math.inf
+) -> tuple[Column, bool]:
+    """Which of the first ``want(n)`` rows of the order these are, and whether ``keys`` could tell.
+
+    ``share`` is about ``want(n) / n``, ``about`` is n where that is known.  If they could not, rows that are equal in all
+    keys lie on both sides of the cut, and none of them is counted in.
+    """
+    key, kind = keys[0], df.schema[keys[0].name].dataType
+
+    def classes(sizes: _Sizes) -> list[tuple[str, int]]:
+        ordered = [("null", sizes.nulls), ("known", sizes.known), ("nan", sizes.nans)]
+        return ordered[::-1] if key.descending else ordered
+
+    def cut(sizes: _Sizes) -> tuple[str, int, int]:
+        """The class of the first row behind the cut, and the rows before that class and in it."""
+        ahead, position = 0, want(sizes.nulls + sizes.known + sizes.nans)
+        for name, rows in classes(sizes):
+            if position < ahead + rows:
+                return name, ahead, rows
+            ahead += rows
+        return "end", ahead, 0
+
+    def rank(sizes: _Sizes) -> list[int]:
+        name, ahead, rows = cut(sizes)
+        at = want(sizes.nulls + sizes.known + sizes.nans) - ahead
+        return [] if name != "known" else [rows - 1 - at if key.descending else at]
+
+    sizes, places = _Search(df, [key.name], [1 - share if key.descending else share]).run(rank, about)[key.name]
+    rows = sizes.nulls + sizes.known + sizes.nans
+    wanted = want(rows)
+    if wanted <= 0:
+        return F.lit(False), True
+    if wanted >= rows:
+        return F.lit(True), True
+    name, ahead, ties = cut(sizes)
+    value = None if name == "null" else math.nan
+    if name == "known":
+        place = places[0]
+        value, ties = place.value, place.ties
+        ahead += sizes.known - place.ahead - ties if key.descending else place.ahead
+    before = _ahead_of(key, value, kind)
+    short = wanted - ahead
+    if short == 0:
+        return before, True
+    same = F.col(key.name).eqNullSafe(_constant(value, kind))
+    if len(keys) == 1:
+        return before, False
+    rest, exact = _first_rows(df.where(same), keys[1:], short / ties, lambda _: short, ties)
+    return before | (same & rest), exact
+
+
+def _first_fraction(df: DataFrame, keys: list[SortKey], fraction: float) -> tuple[DataFrame, Column]:
+    """A table with the rows of ``df``, and which are among the first ``int(n * fraction)`` of the order.
+
+    If rows equal in all keys lie on both sides of the cut, the table is written with
+    a number for every row and those with the smallest numbers are taken.
+    """
+    want = lambda rows: int(rows * fraction)
+    early, exact = _first_rows(df, keys, fraction, want)
+    if exact:
+        return df, early
+    numbered = stage(df.withColumn("_slot", F.monotonically_increasing_id()), "numbered")
+    return numbered, _first_rows(numbered, [*keys, SortKey("_slot")], fraction, want)[0]
 
 
 @dataclass(frozen=True)
@@ -164,29 +357,31 @@ class TimeSplit:
 
     table: DataFrame
     early: Column
+    columns: list[str]
 
     @property
     def train(self) -> DataFrame:
-        return self.table.where(self.early)
+        return self.table.where(self.early).select(*self.columns)
 
     @property
     def test(self) -> DataFrame:
-        return self.table.where(~self.early)
+        return self.table.where(~self.early).select(*self.columns)
 
     @property
     def rows(self) -> DataFrame:
         """All rows with a ``split`` column saying train or test."""
-        return self.table.withColumn("split", F.when(self.early, "train").otherwise("test"))
+        return self.table.select(*self.columns, F.when(self.early, "train").otherwise("test").alias("split"))
 
 
 def time_split(df: DataFrame, ts: str, tie: str, fraction: float = 0.8) -> TimeSplit:
     """Take the earliest ``int(n * fraction)`` rows for training, the rest for testing.
 
-    ``df`` should be a stored or staged table: it is scanned some times for the cut,
-    then once per part, but neither sorted nor written.  Rows with one time are
-    divided by ``tie``; rows equal in both stay together, in the test part.
+    ``df`` should be a stored or staged table: it is scanned two or three times for the
+    cut, then once per part, but neither sorted nor written.  Rows with one time are
+    divided by ``tie``; rows equal in both are divided too, in an order of their own,
+    for which the table is written once.
     """
-    return TimeSplit(df, _first_fraction(df, [SortKey(ts), SortKey(tie)], fraction))
+    return TimeSplit(*_first_fraction(df, [SortKey(ts), SortKey(tie)], fraction), df.columns)
 
 
 def mark_top_fraction(
@@ -194,15 +389,17 @@ def mark_top_fraction(
 ) -> DataFrame:
     """Flag the ``int(n * fraction)`` rows with the highest scores; of equal scores the smallest ties.
 
-    ``df`` should be stored or staged, as for ``time_split``.
+    ``df`` should be stored or staged, and rows equal in both columns are divided, as
+    for ``time_split``.
     """
-    keys = [SortKey(score, descending=True), SortKey(tie)]
-    return df.withColumn(flag, _first_fraction(df, keys, fraction))
+    table, top = _first_fraction(df, [SortKey(score, descending=True), SortKey(tie)], fraction)
+    return table.withColumn(flag, top).select(*[c for c in df.columns if c != flag], flag)
 
 
 def top_fraction(df: DataFrame, score: str, tie: str, fraction: float = 0.10) -> DataFrame:
-    """The ``int(n * fraction)`` rows with the highest scores."""
-    return df.where(_first_fraction(df, [SortKey(score, descending=True), SortKey(tie)], fraction))
+    """The ``int(n * fraction)`` rows with the highest scores, exactly as many."""
+    table, top = _first_fraction(df, [SortKey(score, descending=True), SortKey(tie)], fraction)
+    return table.where(top).select(*df.columns)
 
 
 # --- quantile buckets ------------------------------------------------------
@@ -267,60 +464,22 @@ def running_totals(
 def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5) -> dict[str, float | None]:
     """The exact quantile of each column, interpolated between neighbours.
 
-    Null and NaN are skipped; a column without values gives None.  Two passes for
-    all columns together: bucket borders and rows per bucket; then ``row_at`` within
-    the buckets that hold the wanted ranks.  No pass shuffles rows, no task's share
-    grows but with the scan.
+    Null and NaN are skipped; a column without values gives None.  Both neighbours of
+    all columns are found together, in two passes over the columns as a rule; no pass
+    shuffles rows, no task's share grows but with the scan.
     """
-    values = df.select(
-        *[F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double")).alias(c) for c in columns]
-    )
-    bucketed = _bucket_model(values, columns).transform(values)
-    # one struct per column, so that one grouping serves all of them
-    cells = F.explode(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(c).alias("column"),
-                    F.col(f"_bucket_{c}").cast("int").alias("bucket"),
-                    F.col(c).alias("value"),
-                )
-                for c in columns
-            ]
-        )
-    )
-    long = bucketed.select(cells.alias("_cell")).select("_cell.*").where(F.col("value").isNotNull())
-    sizes: dict[str, list[tuple[int, int]]] = {c: [] for c in columns}
-    for row in long.groupBy("column", "bucket").count().collect():
-        sizes[row["column"]].append((row["bucket"], row["count"]))
-
-    wanted, picks = [], {}
-    for column, buckets in sizes.items():
-        n = sum(rows for _, rows in buckets)
-        if n == 0:
-            continue
-        position = (n - 1) * q
-        picks[column] = (int(position), min(int(position) + 1, n - 1), position % 1)
-        ahead = 0
-        for bucket, rows in sorted(buckets):
-            for rank in picks[column][:2]:
-                if ahead <= rank < ahead + rows:
-                    wanted.append((column, bucket, rank, rank - ahead, rows))
-            ahead += rows
-    if not wanted:
-        return dict.fromkeys(columns)
-
-    found = {
-        (column, rank): row_at(
-            bucketed.where((F.col(f"_bucket_{column}") == bucket) & F.col(column).isNotNull()),
-            [SortKey(column)],
-            local,
-            rows,
-        )[column]
-        for column, bucket, rank, local, rows in wanted
-    }
-    quantiles: dict[str, float | None] = dict.fromkeys(columns)
-    for column, (low, high, share) in picks.items():
-        below, above = found[column, low], found[column, high]
-        quantiles[column] = below + (above - below) * share
-    return quantiles
+    values = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+
+    def neighbours(sizes: _Sizes) -> list[int]:
+        low = int((sizes.known - 1) * q) if sizes.known else 0
+        return [low, min(low + 1, sizes.known - 1)] if sizes.known else []
+
+    quantiles: dict[str, float | None] = {}
+    for column, (sizes, places) in _Search(values, columns, [q]).run(neighbours).items():
+        quantiles[column] = None
+        if places:
+            below, above = (place.value for place in places)
+            # equal infinities have no difference
+            share = (sizes.known - 1) * q % 1
+            quantiles[column] = below if below == above else below + (above - below) * share
+    return {c: quantiles[c] for c in columns}

@@ -58,9 +58,9 @@ def test_top_fraction_equals_sort_and_slice(spark):
 
 @pytest.fixture
 def small_steps(monkeypatch):
-    """Intervals are divided down to a few rows, so that every branch runs."""
-    monkeypatch.setattr(ordering, "FETCH_ROWS", 3)
-    monkeypatch.setattr(ordering, "PIVOTS", 4)
+    """Ranges are divided down to a few values, so that every branch runs."""
+    monkeypatch.setattr(ordering, "FETCH_ROWS", 12)
+    monkeypatch.setattr(ordering, "PIVOTS", 64)
 
 
 def tied(spark, kind):
@@ -92,7 +92,62 @@ def test_cuts_of_no_rows_and_of_equal_rows(spark, small_steps):
     assert ordering.top_fraction(none, "ts", "tie").count() == 0
     same = spark.createDataFrame([(1, 1)] * 50, "ts int, tie int")
     split = ordering.time_split(same, "ts", "tie")
-    assert (split.train.count(), split.test.count()) == (0, 50)
+    assert (split.train.count(), split.test.count()) == (40, 10)
+    assert split.train.columns == split.test.columns == ["ts", "tie"]
+    assert split.rows.columns == ["ts", "tie", "split"]
+
+
+def test_rows_equal_in_all_keys_are_divided(spark):
+    """A hundred equal rows, and a hot value among others; the extra column tells the rows apart."""
+    equal = spark.range(100).select(F.lit(0.5).alias("score"), F.lit("t").alias("tie"), F.col("id").alias("n"))
+    top = ordering.top_fraction(equal.repartition(7), "score", "tie", 0.1)
+    assert top.columns == ["score", "tie", "n"] and top.count() == 10
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, 0.5).when(F.col("id") % 3 == 1, F.col("id") / 900).alias("score"),
+        F.lit(None).cast("string").alias("tie"),
+        F.col("id").alias("n"),
+    )
+    for fraction in (0.05, 0.5, 0.7):
+        marked = ordering.mark_top_fraction(rows.repartition(5), "score", "tie", fraction)
+        assert marked.columns == ["score", "tie", "n", "in_top"] and marked.count() == 900
+        assert marked.where("in_top").count() == int(900 * fraction)
+        taken = [r.score for r in marked.where("in_top").collect()]
+        left = [r.score for r in marked.where("NOT in_top").collect()]
+        low = lambda s: -1.0 if s is None else s
+        assert min(map(low, taken)) >= max(map(low, left), default=-2)
+        again = ordering.top_fraction(rows.repartition(5), "score", "tie", fraction)
+        assert again.select("n").distinct().count() == int(900 * fraction)
+
+
+@pytest.mark.parametrize("values", ["id % 2", "IF(id < 3000, 7, id)", "IF(id % 3 = 0, 5, IF(id % 3 = 1, 9, id % 1000 / 250 + 5))", "pow(id, 3)", "-1"])
+@pytest.mark.parametrize("q", [0.333, 0.5])
+def test_neighbours_on_both_sides_of_a_range(spark, small_steps, values, q):
+    df = spark.range(6000).select(F.expr(values).cast("double").alias("x")).repartition(4)
+    want = float(np.quantile([r.x for r in df.collect()], q))
+    assert ordering.exact_quantiles(df, ["x"], q)["x"] == pytest.approx(want, rel=1e-12)
+
+
+def jobs(spark, run):
+    """How many Spark jobs ``run`` starts."""
+    name = f"jobs-{random.random()}"
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        run()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+
+def test_a_cut_takes_three_passes_and_all_medians_two(spark, tmp_path):
+    frame(spark, n=20_000, hot=0.0).withColumn("y", F.col("x") * F.col("key")).write.parquet(str(tmp_path / "t"))
+    stored = spark.read.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # which makes a job of every stage
+    try:
+        assert jobs(spark, lambda: ordering.time_split(stored, "x", "id")) <= 3
+        assert jobs(spark, lambda: ordering.top_fraction(stored, "key", "id")) <= 3
+        assert jobs(spark, lambda: ordering.exact_quantiles(stored, ["x", "y", "id", "key"])) <= 2
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
 def test_median_inside_a_large_bucket(spark, small_steps):
