@@ -121,6 +121,22 @@ STEPS = {
         SELECT *, CASE WHEN row_number() OVER (ORDER BY first_purchase_ts, customer_unique_id)
                    <= floor(count(*) OVER () * CAST(0.8 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split
         FROM firsts""",
+    "fixed_margins": """
+        SELECT customer_unique_id, purchase_2nd_within_90d AS y_true,
+               CAST(-0.75 AS DOUBLE) + (coalesce(delivery_days_mean, 9.5) - 12.25) / 8.5 * 0.4
+                   - (coalesce(first_event_review_score_mean, 4.0) - 3.75) / 1.25 * 0.6
+                   + CASE customer_state WHEN 'NATION_3' THEN 0.5 WHEN 'NATION_11' THEN -0.25 WHEN 'NATION_20' THEN 1.5
+                          ELSE CASE WHEN customer_state IS NULL THEN 0.125 ELSE 0 END END
+                   + 0.875 * late_flag - 0.375 * has_review AS margin
+        FROM firsts""",
+    "fixed_scores": """
+        SELECT customer_unique_id, y_true, 1 / (1 + exp(-margin)) AS y_prob,
+               CAST(margin > 0 AS INTEGER) AS y_pred
+        FROM fixed_margins""",
+    "fixed_tops": """
+        SELECT *, row_number() OVER (ORDER BY round(y_prob, 2) DESC, customer_unique_id)
+                   <= floor(count(*) OVER () * CAST(0.1 AS DOUBLE)) AS in_top
+        FROM fixed_scores""",
     "first_medians": """
         SELECT median(delivery_days_mean) AS d_median, median(first_event_review_score_mean) AS r_median
         FROM first_parts WHERE split = 'train'""",
@@ -364,6 +380,15 @@ SELECTS = {
               UNION ALL SELECT 'late_flag', sum(late_flag) FROM train
               UNION ALL SELECT 'has_review', sum(has_review) FROM train
               UNION ALL SELECT 'intercept', count(*) FROM train)""",
+    "fixed_model_scores": """
+        SELECT customer_unique_id, y_true, round(y_prob, 6) AS y_prob, y_pred FROM fixed_scores""",
+    "fixed_model_lift": """
+        SELECT round(avg(y_true), 6) AS overall_rate,
+               round(avg(y_true) FILTER (WHERE in_top), 6) AS top_rate,
+               count(*) FILTER (WHERE in_top) AS top_rows,
+               count(*) FILTER (WHERE in_top AND y_true = 1) AS top_positives,
+               round(avg(y_true) FILTER (WHERE in_top) / nullif(avg(y_true), 0), 6) AS lift
+        FROM fixed_tops""",
     "class_weights": """
         SELECT purchase_2nd_within_90d, count(*) AS cnt,
                round(CAST(sum(count(*)) OVER () AS DOUBLE) / (count(*) OVER () * count(*)), 6) AS weight

@@ -18,6 +18,7 @@ from encore.functions.temporal import ts_literal
 from encore.operators import evaluate, features, grain, lifecycle, model, ordering, profile
 from encore.operators.features import ModelColumns
 from encore.operators.impute import impute_median
+from encore.operators.projection import LinearModel, Scaled
 from encore.plans import modelling, preparation
 from encore.schemas import BASE_TABLE, RAW, with_types
 from encore.sources.base_table import load_abt, write_abt
@@ -322,6 +323,33 @@ def logreg_top_decile_lift(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(evaluate.top_fraction_lift(run.scored, COLUMNS.key))
 
 
+# a model with round numbers, so that another engine can score the same rows
+FIXED_MODEL = LinearModel(
+    intercept=-0.75,
+    numeric={
+        "delivery_days_mean": Scaled(median=9.5, mean=12.25, deviation=8.5, coefficient=0.4),
+        "first_event_review_score_mean": Scaled(median=4.0, mean=3.75, deviation=1.25, coefficient=-0.6),
+    },
+    categorical={"customer_state": {"NATION_3": 0.5, "NATION_11": -0.25, "NATION_20": 1.5, features.MISSING: 0.125}},
+    binary={"late_flag": 0.875, "has_review": -0.375},
+)
+
+
+def _fixed_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """All first purchases, censored ones and such with unknown numbers too."""
+    return FIXED_MODEL.score(_first_purchase(spark, sf), LABEL)
+
+
+def fixed_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    return tidy(_fixed_scores(spark, sf).select(COLUMNS.key, "y_true", "y_prob", "y_pred"))
+
+
+def fixed_model_lift(spark: SparkSession, sf: str) -> DataFrame:
+    """The lift of the model's best tenth, cut between equal scores by customer."""
+    scored = _fixed_scores(spark, sf).select(COLUMNS.key, "y_true", F.round("y_prob", 2).alias("y_prob"))
+    return tidy(evaluate.top_fraction_lift(stage(scored, "fixed_scores"), COLUMNS.key))
+
+
 # --- evaluation of a fixed score -----------------------------------------------
 
 
@@ -417,6 +445,8 @@ QUERIES: dict[str, Query] = {
         scaled_numeric_unimputed,
         class_weights,
         logreg_optimality,
+        fixed_model_scores,
+        fixed_model_lift,
         logreg_scores,
         logreg_metrics,
         logreg_top_decile_lift,

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from encore.functions.flags import ratio, ratio_or_zero
 from encore.operators.ordering import mark_top_fraction, running_totals
+from encore.sources.staging import stage
 
 
 def _cell(actual: int, predicted: int) -> Column:
@@ -85,12 +86,15 @@ def classification_report(scored: DataFrame) -> DataFrame:
 
 
 def score_curve(scored: DataFrame) -> DataFrame:
-    """Per distinct score: positives, negatives, tp / fp at that threshold, and the class totals."""
+    """Per distinct score: positives, negatives, tp / fp at that threshold, and the class totals.
+
+    The scored rows are read once; their counts per distinct score are staged.
+    """
     known = scored.where(F.col("y_prob").isNotNull() & ~F.isnan("y_prob"))
     counts = known.groupBy("y_prob").agg(
         F.count_if(F.col("y_true") == 1).alias("pos"), F.count_if(F.col("y_true") == 0).alias("neg")
     )
-    curve = running_totals(counts, "y_prob", ["pos", "neg"], descending=True, fit_on=known)
+    curve = running_totals(stage(counts, "score_counts"), "y_prob", ["pos", "neg"], descending=True)
     return curve.withColumnsRenamed({"pos_upto": "tp", "neg_upto": "fp"})
 
 

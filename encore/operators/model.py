@@ -6,7 +6,8 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.operators.features import ModelColumns, assembler, cleaner, encoder_stages
@@ -72,32 +73,50 @@ def optimality(
 
     ``weighted`` are the training rows with their ``weight``.  At the optimum, which is
     unique, every gradient is 0.  ``n_wrong`` counts the rows whose prediction is not
-    what their probability says.  One aggregate over the rows.
+    what their probability says.  One aggregate over the rows, six expressions however
+    many coefficients there are.
     """
     coefficients = [*model.stages[-1].coefficients.toArray().tolist(), 0.0]
     names = [*column_names(model, columns), "intercept"]
-    x, probability = vector_to_array("features"), vector_to_array("probability")[1]
+    probability = vector_to_array("probability")[1]
+    residual = F.col("weight") * (probability - F.col(columns.label))
     rows = model.transform(weighted).select(
-        F.concat(x, F.array(F.lit(1.0))).alias("_x"),
-        (F.col("weight") * (probability - F.col(columns.label))).alias("_residual"),
+        "features",
+        residual.alias("_residual"),
+        # a summary takes no negative weights
+        F.greatest(residual, F.lit(0.0)).alias("_over"),
+        F.greatest(-residual, F.lit(0.0)).alias("_under"),
         (F.col("prediction") != (probability > 0.5).cast("double")).alias("_wrong"),
     )
+    total = Summarizer.metrics("sum")
     sums = rows.agg(
         F.count("*").alias("_rows"),
         F.count_if("_wrong").alias("n_wrong"),
-        *[F.sum(F.col("_x")[i]).alias(f"_sum{i}") for i in range(len(names))],
-        *[F.sum(F.col("_residual") * F.col("_x")[i]).alias(f"_slope{i}") for i in range(len(names))],
+        F.sum("_residual").alias("_slope"),
+        total.summary(F.col("features")).alias("_total"),
+        total.summary(F.col("features"), F.col("_over")).alias("_over"),
+        total.summary(F.col("features"), F.col("_under")).alias("_under"),
     )
-    lines = [
-        F.struct(
-            F.lit(name).alias("name"),
-            F.col(f"_sum{i}").alias("total"),
-            ((F.col(f"_slope{i}") + coefficient / inverse_penalty) / F.col("_rows")).alias("gradient"),
-            F.col("n_wrong"),
-        )
-        for i, (name, coefficient) in enumerate(zip(names, coefficients, strict=True))
-    ]
-    return sums.select(F.inline(F.array(*lines)))
+    rows_as_double = F.col("_rows").cast("double")
+    vectors = {
+        "total": F.concat(vector_to_array("_total.sum"), F.array(rows_as_double)),
+        "over": F.concat(vector_to_array("_over.sum"), F.array("_slope")),
+        "under": F.concat(vector_to_array("_under.sum"), F.array(F.lit(0.0))),
+    }
+    zipped = F.arrays_zip(*[column.alias(name) for name, column in vectors.items()])
+    # one row per coefficient on both sides
+    lines = sums.select("_rows", "n_wrong", F.posexplode(zipped).alias("_at", "_sums"))
+    named = model_names(weighted.sparkSession, names, coefficients)
+    gradient = (F.col("_sums.over") - F.col("_sums.under") + F.col("_coefficient") / inverse_penalty) / F.col("_rows")
+    return lines.join(named, "_at").select(
+        "name", F.col("_sums.total").alias("total"), gradient.alias("gradient"), "n_wrong"
+    )
+
+
+def model_names(spark: SparkSession, names: list[str], coefficients: list[float]) -> DataFrame:
+    """The coefficients of a fitted model as a table: ``_at``, ``name`` and ``_coefficient``."""
+    rows = [(i, name, c) for i, (name, c) in enumerate(zip(names, coefficients, strict=True))]
+    return spark.createDataFrame(rows, "_at int, name string, _coefficient double")
 
 
 def features_and_label(df: DataFrame, columns: ModelColumns) -> DataFrame:

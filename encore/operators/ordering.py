@@ -423,17 +423,16 @@ def _bucket_model(df: DataFrame, columns: list[str]) -> Bucketizer:
     )
 
 
-def running_totals(
-    values: DataFrame, key: str, totals: list[str], descending: bool, fit_on: DataFrame
-) -> DataFrame:
+def running_totals(values: DataFrame, key: str, totals: list[str], descending: bool) -> DataFrame:
     """Add ``<total>_upto``, the sum over all keys up to and including this one, and ``<total>_all``.
 
-    ``values`` has one row per distinct key; ``fit_on`` is the table those keys
-    come from.  Runs one pass over ``fit_on[key]`` to find the bucket borders.
+    ``values`` has one row per distinct key and should be stored or staged: one pass
+    over its keys finds the bucket borders, so that buckets have about equal numbers
+    of keys however many rows a key stands for.
     """
     direction = F.desc if descending else F.asc
     bucketed = (
-        _bucket_model(fit_on.select(key), [key])
+        _bucket_model(values.select(key), [key])
         .transform(values)
         .withColumnRenamed(f"_bucket_{key}", "_bucket")
     )

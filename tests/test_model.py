@@ -6,7 +6,7 @@ import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from encore.operators import features, model
+from encore.operators import features, model, projection
 from encore.operators.features import ModelColumns
 from encore.plans import modelling
 from encore.plans.evaluation import evaluation
@@ -145,3 +145,58 @@ def test_value_and_gmv_stay_out_unless_asked(spark):
 def test_a_solver_that_gives_up_is_no_fit(spark):
     with pytest.raises(ArithmeticError, match="gradient"):
         model.fit(base_table(spark, n=300), max_iter=1)
+
+
+def test_the_projection_scores_as_the_pipeline(spark):
+    rows = base_table(spark)
+    new_states = rows.withColumn("customer_state", F.when(F.col("first_purchase_ts") % 5 == 0, "new").otherwise(F.col("customer_state")))
+    fitted = model.fit(rows, COLUMNS)
+    plain = projection.compiled(fitted, COLUMNS)
+    assert set(plain.categorical["customer_state"]) == {"MG", "RJ", "SP", features.MISSING}
+    for given in (rows, new_states):
+        slow = model.score(fitted, given, COLUMNS).select("customer_unique_id", F.col("y_prob").alias("p"), F.col("y_pred").alias("d"))
+        fast = plain.score(given, COLUMNS.label)
+        assert fast.columns == [*given.columns, "y_true", "y_prob", "y_pred"]
+        both = fast.join(slow, "customer_unique_id")
+        assert both.count() == 1500
+        assert both.where((F.abs(F.col("y_prob") - F.col("p")) > 1e-12) | (F.col("y_pred") != F.col("d"))).count() == 0
+
+
+def test_many_categories_are_looked_up(spark, monkeypatch):
+    rows = base_table(spark, n=200)
+    weights = {"SP": 0.5, "RJ": -0.25, features.MISSING: 2.0}
+    plain = projection.LinearModel(0.1, {}, {"customer_state": weights}, {})
+    inside = {r["customer_unique_id"]: r["y_prob"] for r in plain.score(rows).collect()}
+    monkeypatch.setattr(projection, "MOST_BRANCHES", 2)
+    joined = plain.score(rows)
+    assert joined.columns == [*rows.columns, "y_prob", "y_pred"]
+    assert {r["customer_unique_id"]: r["y_prob"] for r in joined.collect()} == inside
+
+
+def test_scoring_is_one_projection(spark, tmp_path):
+    base_table(spark).write.parquet(str(tmp_path / "t"))
+    plain = projection.LinearModel(
+        0.1, {"delivery_days_mean": projection.Scaled(1.0, 2.0, 3.0, 4.0)}, {"customer_state": {"SP": 1.0}}, {"late_flag": 1.0}
+    )
+    scored = plain.score(spark.read.parquet(str(tmp_path / "t"))).select("customer_unique_id", "y_prob")
+    text = scored._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in text and "UDF" not in text and "vector" not in text.lower()
+    assert "first_purchase_gmv" not in text
+
+
+def test_the_check_of_a_wide_model_is_a_small_plan(spark):
+    """Five thousand categories: the gradient is 0 and the plan as small as with five."""
+    few, many = (
+        base_table(spark, n=n).withColumn("customer_state", F.concat(F.lit("c"), F.expr(f"hash(customer_unique_id) % {k}")))
+        for n, k in ((1500, 5), (12_000, 5000))
+    )
+    sizes = []
+    for rows in (few, many):
+        ones = rows.where(F.col(COLUMNS.label) == 1).count()
+        n = rows.count()
+        weighted = rows.withColumn("weight", F.when(F.col(COLUMNS.label) == 1, n / (2 * ones)).otherwise(n / (2 * (n - ones))))
+        fitted = model.fit(rows, COLUMNS)
+        lines = model.optimality(fitted, weighted, COLUMNS)
+        sizes.append((len(lines._jdf.queryExecution().optimizedPlan().toString()), lines.count()))
+        assert lines.agg(F.max(F.abs("gradient"))).first()[0] < 1e-6
+    assert sizes[1][1] > 4000 and sizes[1][0] < 2 * sizes[0][0]

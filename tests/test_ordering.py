@@ -170,17 +170,34 @@ def test_running_totals_equal_a_cumulative_sum(spark):
     df = frame(spark)
     counts = df.groupBy(F.col("x").alias("x")).agg(F.count("*").alias("cnt"), F.sum("id").alias("ids"))
     for descending in (True, False):
-        got = ordering.running_totals(counts, "x", ["cnt", "ids"], descending, fit_on=df).toPandas()
+        got = ordering.running_totals(counts, "x", ["cnt", "ids"], descending).toPandas()
         got = got.sort_values("x", ascending=not descending)
         assert (got["cnt_upto"] == got["cnt"].cumsum()).all()
         assert (got["ids_upto"] == got["ids"].cumsum()).all()
         assert len(got) == 5000
 
 
+def test_buckets_are_balanced_by_keys(spark):
+    """99 of 100 rows on five scores: the others spread over the buckets all the same."""
+    spark.conf.set("spark.sql.shuffle.partitions", "50")
+    try:
+        rows = spark.range(200_000).select(
+            F.when(F.col("id") % 100 > 0, F.col("id") % 5 / 5).otherwise(F.col("id") / 200_000).alias("x")
+        )
+        counts = rows.groupBy("x").agg(F.count("*").alias("cnt")).cache()
+        model = ordering._bucket_model(counts.select("x"), ["x"])
+        sizes = [r["count"] for r in model.transform(counts).groupBy("_bucket_x").count().collect()]
+        assert max(sizes) <= 2 * counts.count() / 50
+        got = ordering.running_totals(counts, "x", ["cnt"], False).toPandas().sort_values("x")
+        assert (got["cnt_upto"] == got["cnt"].cumsum()).all() and len(got) == sum(sizes)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_running_totals_with_one_single_key(spark):
     df = spark.createDataFrame([(0.5,)] * 20, "x double")
     counts = df.groupBy("x").agg(F.count("*").alias("cnt"))
-    row = ordering.running_totals(counts, "x", ["cnt"], True, fit_on=df).first()
+    row = ordering.running_totals(counts, "x", ["cnt"], True).first()
     assert (row["cnt"], row["cnt_upto"]) == (20, 20)
 
 
