@@ -3,7 +3,8 @@
 A visitor goes over the parts of a turn in order.  Text is escaped, everything
 else becomes a placeholder, and its reference, place and expanded token count are
 recorded.  Control strings begin with ``<|``; in texts that becomes ``<\\|`` and a
-backslash is doubled, so no text can end a turn and every text can be read back.
+backslash is doubled, so no text can end a turn and every text can be read back; a
+text that begins with ``|`` after one that ends with ``<`` is parted from it alike.
 Only built-in expressions and one shuffle by conversation.
 """
 
@@ -41,14 +42,25 @@ def _is_text(part: Column) -> Column:
     return F.coalesce(part["kind"], F.lit("text")) == "text"
 
 
-def _visit(part: Column) -> Column:
-    """What stands for a part; an unknown kind is a document."""
+def _visit(part: Column, last: Column) -> Column:
+    """What stands for a part after text that ends with ``last``; an unknown kind is a document.
+
+    Two texts side by side must not make a control string that neither of them has.
+    """
     known = F.when(part["kind"].isin(*TOKENS_PER_UNIT), part["kind"]).otherwise("document")
-    return F.when(_is_text(part), escape(F.coalesce(part["text"], F.lit("")))).otherwise(
+    text = F.coalesce(part["text"], F.lit(""))
+    parted = F.when((last == "<") & text.startswith("|"), "\\").otherwise("")
+    return F.when(_is_text(part), F.concat(parted, escape(text))).otherwise(
         F.concat(F.lit("<|"), known, F.lit("|>"))
     )
 
 
+def _last(part: Column, last: Column) -> Column:
+    """The last character of the text so far; an attachment ends a text."""
+    text = F.coalesce(part["text"], F.lit(""))
+    return F.when(~_is_text(part), "").when(text == "", last).otherwise(F.right(text, F.lit(1)))
+
+
 def _tokens(part: Column) -> Column:
     rate = F.lit(TOKENS_PER_UNIT["document"])
     for kind, tokens in TOKENS_PER_UNIT.items():
@@ -60,25 +72,39 @@ def _turn(role: Column, parts: Column) -> Column:
     """One turn: its text, the spans of text parts and the attachments in it."""
     head = F.concat(F.lit(TURN), escape(role), F.lit(SAYS))
 
-    def laid_out(pieces: Column) -> Column:
-        def place(i: Column) -> Column:
-            ahead = F.aggregate(F.slice(pieces, 1, i), F.lit(0), lambda n, p: n + F.char_length(p))
-            return (F.char_length(head) + ahead).cast("long")
+    def visit(state: Column, part: Column) -> Column:
+        return let(
+            _visit(part, state["last"]),
+            lambda piece: F.struct(
+                F.array_append(state["pieces"], piece).alias("pieces"),
+                F.array_append(state["starts"], state["at"]).alias("starts"),
+                (state["at"] + F.char_length(piece)).alias("at"),
+                _last(part, state["last"]).alias("last"),
+            ),
+        )
 
+    def laid_out(state: Column) -> Column:
         spans = F.transform(
             parts,
             lambda part, i: F.struct(
-                place(i).alias("start"),
-                F.char_length(pieces[i]).cast("long").alias("length"),
+                F.get(state["starts"], i).alias("start"),
+                F.char_length(F.get(state["pieces"], i)).cast("long").alias("length"),
                 _is_text(part).alias("is_text"),
                 part["kind"].alias("kind"),
                 part["ref"].alias("ref"),
                 _tokens(part).alias("tokens"),
             ),
         )
-        return F.struct(F.concat(head, F.array_join(pieces, ""), F.lit(END)).alias("text"), spans.alias("spans"))
-
-    return let(F.transform(parts, _visit), laid_out)
+        text = F.concat(head, F.array_join(state["pieces"], ""), F.lit(END))
+        return F.struct(text.alias("text"), spans.alias("spans"))
+
+    begin = F.struct(
+        F.array().cast("array<string>").alias("pieces"),
+        F.array().cast("array<bigint>").alias("starts"),
+        F.char_length(head).cast("long").alias("at"),
+        F.lit("").alias("last"),
+    )
+    return let(F.aggregate(parts, begin, visit), laid_out)
 
 
 def format_chats(
