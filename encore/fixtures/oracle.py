@@ -425,6 +425,16 @@ SELECTS = {
         FROM curve
         UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS DOUBLE),
                CAST(0 AS DOUBLE)""",
+    "roc_curve_corners": """
+        SELECT round(y_prob, 6) AS threshold, fp, tp, round(fp / all_neg, 6) AS fpr,
+               round(tp / all_pos, 6) AS tpr
+        FROM (SELECT *, lag(fp) OVER w AS fp_before, lead(fp) OVER w AS fp_after,
+                     lag(tp) OVER w AS tp_before, lead(tp) OVER w AS tp_after
+              FROM curve WINDOW w AS (ORDER BY y_prob DESC))
+        WHERE fp_before IS NULL OR fp_after IS NULL
+           OR fp_after - 2 * fp + fp_before <> 0 OR tp_after - 2 * tp + tp_before <> 0
+        UNION ALL SELECT CAST(NULL AS DOUBLE), CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS DOUBLE),
+               CAST(0 AS DOUBLE)""",
     "pr_curve": """
         SELECT round(y_prob, 6) AS threshold, round(CAST(tp AS DOUBLE) / (tp + fp), 6) AS precision,
                round(tp / all_pos, 6) AS recall

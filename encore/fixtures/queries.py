@@ -382,6 +382,12 @@ def roc_curve(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(evaluate.roc_curve(evaluate.score_curve(_scored(spark, sf))))
 
 
+def roc_curve_corners(spark: SparkSession, sf: str) -> DataFrame:
+    """The points that a drawn line needs."""
+    curve = stage(evaluate.score_curve(_scored(spark, sf)), "curve")
+    return tidy(evaluate.roc_curve(curve, drop_collinear=True))
+
+
 def pr_curve(spark: SparkSession, sf: str) -> DataFrame:
     return tidy(evaluate.pr_curve(evaluate.score_curve(_scored(spark, sf))))
 
@@ -454,6 +460,7 @@ QUERIES: dict[str, Query] = {
         classification_metrics,
         classification_report,
         roc_curve,
+        roc_curve_corners,
         pr_curve,
         roc_auc,
         average_precision,

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from encore.functions.flags import ratio, ratio_or_zero
-from encore.operators.ordering import mark_top_fraction, running_totals
+from encore.operators.ordering import mark_top_fraction, running_totals, with_next
 from encore.sources.staging import stage
 
 
@@ -98,11 +98,29 @@ def score_curve(scored: DataFrame) -> DataFrame:
     return curve.withColumnsRenamed({"pos_upto": "tp", "neg_upto": "fp"})
 
 
-def roc_curve(curve: DataFrame) -> DataFrame:
+def without_collinear(curve: DataFrame) -> DataFrame:
+    """The curve without points on the straight line between their neighbours.
+
+    A step of the curve is a score's negatives to the right and positives up; between
+    two equal steps the point says nothing.  The first and the last point stay.  The
+    curve should be staged.
+    """
+    following = with_next(curve, "y_prob", ["pos", "neg"], descending=True)
+    highest = (F.col("tp") == F.col("pos")) & (F.col("fp") == F.col("neg"))
+    turns = (F.col("pos") != F.col("pos_next")) | (F.col("neg") != F.col("neg_next"))
+    last = F.col("pos_next").isNull()
+    return following.where(highest | last | turns).select(*curve.columns)
+
+
+def roc_curve(curve: DataFrame, drop_collinear: bool = False) -> DataFrame:
     """False and true positive rate at every threshold, from the (0, 0) corner.
 
     The rate of a class without rows is null, also in the corner; no rows, no points.
+    With ``drop_collinear`` only the points that a drawn line needs, as
+    ``without_collinear`` finds them on a staged curve.
     """
+    if drop_collinear:
+        curve = without_collinear(curve)
 
     def point(threshold: Column, fp: Column, tp: Column) -> Column:
         return F.struct(

@@ -460,6 +460,32 @@ def running_totals(values: DataFrame, key: str, totals: list[str], descending: b
     )
 
 
+def with_next(values: DataFrame, key: str, columns: list[str], descending: bool) -> DataFrame:
+    """Add ``<column>_next``, the column at the next key of the order; null at the last key.
+
+    ``values`` as for ``running_totals``.  Neighbours are found within quantile buckets;
+    at a bucket's end the next bucket's first row is the neighbour.
+    """
+    direction = F.desc if descending else F.asc
+    bucketed = (
+        _bucket_model(values.select(key), [key])
+        .transform(values)
+        .withColumnRenamed(f"_bucket_{key}", "_bucket")
+    )
+    within = Window.partitionBy("_bucket").orderBy(direction(key))
+    first = F.max_by if descending else F.min_by
+    heads = bucketed.groupBy("_bucket").agg(first(F.struct(*columns), key).alias("_head"))
+    # one row per bucket, whatever the number of keys
+    following = heads.select("_bucket", F.lead("_head").over(Window.orderBy(direction("_bucket"))).alias("_after"))
+    here = F.lead(F.struct(*columns)).over(within)
+    return (
+        bucketed.withColumn("_following", here)
+        .join(F.broadcast(following), "_bucket")
+        .withColumns({f"{c}_next": F.coalesce(F.col("_following")[c], F.col("_after")[c]) for c in columns})
+        .drop("_bucket", "_following", "_after")
+    )
+
+
 def exact_quantiles(df: DataFrame, columns: list[str], q: float = 0.5) -> dict[str, float | None]:
     """The exact quantile of each column, interpolated between neighbours.
 

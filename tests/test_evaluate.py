@@ -1,5 +1,8 @@
 """Metrics against brute force, including ties and missing classes."""
 
+import numpy as np
+import random
+
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -105,3 +108,30 @@ def test_lift(spark):
 def test_lift_of_too_few_rows_is_unknown(spark):
     lift = evaluate.top_fraction_lift(scored(spark, [(1, 1, 0.5), (0, 0, 0.1)]), "id").first()
     assert (lift["top_rows"], lift["top_rate"], lift["lift"]) == (0, None, None)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("buckets", ["2", "9"])
+def test_collinear_points_are_dropped(spark, seed, buckets):
+    """Second differences of both counts, computed on the whole sorted curve."""
+    chance = random.Random(seed)
+    rows = [(int(chance.random() < 0.2), 0, round(chance.random(), 2)) for _ in range(seed * 120)]
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", buckets)
+    try:
+        curve = evaluate.score_curve(scored(spark, rows)).cache()
+        points = curve.toPandas().sort_values("y_prob", ascending=False)
+        fp, tp = points["fp"].to_numpy(), points["tp"].to_numpy()
+        keep = np.r_[True, (np.diff(fp, 2) != 0) | (np.diff(tp, 2) != 0), True]
+        want = sorted(zip(fp[keep].tolist(), tp[keep].tolist())) + [(0, 0)]
+        got = [(r.fp, r.tp) for r in evaluate.roc_curve(curve, drop_collinear=True).collect()]
+        assert sorted(got) == sorted(want) and 2 < len(got) < len(fp) + 1
+        assert evaluate.without_collinear(curve).columns == curve.columns
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_short_curves_keep_their_ends(spark):
+    for scores in ([0.5], [0.5, 0.7]):
+        curve = evaluate.score_curve(scored(spark, [(i % 2, 0, s) for i, s in enumerate(scores)])).cache()
+        assert evaluate.without_collinear(curve).count() == len(scores)
