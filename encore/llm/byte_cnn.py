@@ -137,18 +137,19 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", rows: int
 
 
 def score(docs: DataFrame, net: Network, text: str = "text") -> DataFrame:
-    """``docs`` with ``_score``: 0 to 1, higher for likelier good texts.
+    """``docs`` with a last column ``_score``: 0 to 1, higher for likelier good texts.
 
     Every byte of a text is looked at; a null or empty text is scored as blanks.
     Rows are scored one by one, repeats alike; an empty table gives an empty one;
-    the caller's columns are kept, one named ``_score`` excepted.
+    the caller's columns are kept, and a name of theirs is not taken: the score has
+    more underscores then.
     """
-    names = docs.columns
+    names, schema = docs.columns, with_score(docs)
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores = [probability(net, t.encode()) for t in values(batch.column(at), "")]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=[*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores, pa.float64())], names=schema.names)
 
-    return docs.mapInArrow(run, with_score(docs))
+    return docs.mapInArrow(run, schema)

@@ -7,6 +7,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from encore.llm.tables import free_name
+
 FOLDS = 5
 
 
@@ -45,4 +47,4 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-3, steps: int = 30)
 
 
 def with_score(docs: DataFrame) -> T.StructType:
-    return T.StructType([*docs.schema.fields, T.StructField("_score", T.DoubleType())])
+    return T.StructType([*docs.schema.fields, T.StructField(free_name("_score", docs.columns), T.DoubleType())])

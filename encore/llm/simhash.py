@@ -374,7 +374,8 @@ def near_groups(
     work = Workspace(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long"), F.col(text), F.lit(0).cast("long"))
     prints, joined = _linked(rows, shingle_words, most_different, work)
-    least = joined.groupBy("_group").agg(F.min("_least").alias("component_id"))
+    # written, so that the join is one of two plain shuffles and a large group can be split
+    least = stage(joined.groupBy("_group").agg(F.min("_least").alias("component_id")), "least", work)
     by_print = stage(joined.join(least, "_group").select("_fp", "component_id"), "components", work)
     return prints.join(by_print, "_fp").select(
         F.col("_doc").alias("doc_id"), F.lower(F.lpad(F.hex("_fp"), 16, "0")).alias("fingerprint"), "component_id"
@@ -455,8 +456,8 @@ def _copies(members: DataFrame, similar: float, work: Workspace) -> DataFrame:
     different = stage(sets.join(firsts, "_row", "left_semi").drop("_sha"), "different", work)
     sides = F.greatest(F.ceil(F.count("*") / TILE_TEXTS), F.ceil(F.sum("_n") / TILE_SHINGLES)).cast("int")
     # groups of one tile need no row here: a row per TILE_TEXTS texts or TILE_SHINGLES shingles at most
-    large = different.groupBy("_group").agg(sides.alias("_sides")).where("_sides > 1")
-    tiles = different.join(F.broadcast(large), "_group", "left").withColumn("_sides", F.coalesce("_sides", F.lit(1)))
+    large = stage(different.groupBy("_group").agg(sides.alias("_sides")).where("_sides > 1"), "large", work)
+    tiles = different.join(large, "_group", "left").withColumn("_sides", F.coalesce("_sides", F.lit(1)))
     tiles = tiles.withColumn("_side", F.pmod(F.xxhash64("_row"), F.col("_sides")).cast("int"))
     tiles = tiles.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_sides") - 1)))
     key = [F.col("_group"), F.least("_side", "_other").alias("_low"), F.greatest("_side", "_other").alias("_high")]
@@ -492,6 +493,8 @@ def drop_near_copies(
     given = rows.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"), F.col(row))
     prints, joined = _linked(given, SHINGLE_WORDS, most_different, work)
     several = joined.groupBy("_group").agg(F.sum("_n").alias("_n")).where("_n > 1").select("_group")
+    # written, so that the join is one of two plain shuffles and a large group can be split
+    several = stage(several, "repeated", work)
     grouped = stage(joined.join(several, "_group").select("_fp", "_group"), "several", work)
     placed = stage(prints.join(grouped, "_fp").select("_row", "_group"), "placed", work)
     texts = rows.select(F.col(row).alias("_row"), F.col(f"`{text}`").alias("text"))

@@ -25,7 +25,6 @@ from encore.llm.labelled import logistic, sample, with_score
 from encore.llm.tables import once_per_worker, values
 
 SAMPLE_ROWS = 12_000
-CANDIDATES = 30_000
 ENTRIES = 2_000
 EXCEPTIONS = 1_000
 LEAST_DOCS = 5
@@ -166,12 +165,20 @@ def _phrases(text: str, matcher_of) -> set[str]:
     return found
 
 
-def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int = SAMPLE_ROWS) -> Lexicon:
+def learn(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "toxic",
+    rows: int = SAMPLE_ROWS,
+    most_entries: int | None = ENTRIES,
+    most_exceptions: int | None = EXCEPTIONS,
+) -> Lexicon:
     """A lexicon from at most ``rows`` labelled rows that are not held out.
 
     Entries occur in at least 5 toxic texts of the sample and far more often there
-    than in the others; at most 30,000 candidates and 2,000 entries, the best.
-    Without labels of both kinds the lexicon is empty.
+    than in the others.  All such are weighed; the best ``most_entries`` are kept, and
+    the most frequent ``most_exceptions`` phrases, or all with None.  Without labels of
+    both kinds the lexicon is empty.
     """
     known = sample(docs, labels, label, rows)
     totals = dict(known.groupBy("label").count().collect())
@@ -180,7 +187,8 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
         return Lexicon({}, frozenset())
     seen = known.where("label = 1").mapInArrow(_counted(lambda text: patterns(fold(text))), COUNTS)
     counts = seen.groupBy("pattern").agg(F.sum("n").alias("n")).where(F.col("n") >= LEAST_DOCS)
-    toxic = {r[0]: r[1] for r in counts.orderBy(F.desc("n"), "pattern").limit(CANDIDATES).collect()}
+    # patterns of a bounded sample, each in several of its texts
+    toxic = {r[0]: r[1] for r in counts.collect()}
     wanted = frozenset(toxic)
     other = known.where("label = 0").mapInArrow(_counted(lambda text, w: patterns(fold(text)) & w, (wanted,)), COUNTS)
     clean = dict(other.groupBy("pattern").agg(F.sum("n")).collect())
@@ -190,13 +198,15 @@ def learn(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows: int =
 
     weights = {pattern: weight(pattern) for pattern in toxic}
     best = sorted(((w * math.sqrt(toxic[p]), w, p) for p, w in weights.items() if w >= LEAST_WEIGHT), reverse=True)
-    entries = {pattern: w for _, w, pattern in best[:ENTRIES]}
+    entries = {pattern: w for _, w, pattern in best[:most_entries]}
     draft = Lexicon(entries, frozenset())
     around = known.mapInArrow(_counted(_phrases, (lambda: _matcher(draft),)), COUNTS).groupBy("pattern").pivot(
         "label", [0, 1]
     ).agg(F.sum("n"))
     excused = around.where((F.col("0") >= LEAST_DOCS) & F.col("1").isNull()).orderBy(F.desc("0"), "pattern")
-    lexicon = Lexicon(entries, frozenset(r[0] for r in excused.limit(EXCEPTIONS).collect()))
+    if most_exceptions is not None:
+        excused = excused.limit(most_exceptions)
+    lexicon = Lexicon(entries, frozenset(r[0] for r in excused.collect()))
     # two numbers per row of the sample
     measured = np.array(known.mapInArrow(_measured(lexicon), "dense double, total double, label int").collect())
     return Lexicon(entries, lexicon.exceptions, tuple(logistic(measured[:, :2], measured[:, 2])))
@@ -228,19 +238,20 @@ def _measured(lexicon: Lexicon):
 
 
 def score(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
-    """``docs`` with ``_score``: 0 to 1, higher for likelier toxic texts.
+    """``docs`` with a last column ``_score``: 0 to 1, higher for likelier toxic texts.
 
     A null or empty text has no weight and the score that goes with that.  Rows
     are scored one by one, repeats alike; an empty table gives an empty one; the
-    caller's columns are kept, one named ``_score`` excepted.
+    caller's columns are kept, and a name of theirs is not taken: the score has more
+    underscores then.
     """
-    names = docs.columns
+    names, schema = docs.columns, with_score(docs)
     at = names.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         matcher = _matcher(lexicon)
         for batch in batches:
             scores = pa.array([matcher.score(t) for t in values(batch.column(at), "")], pa.float64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=[*names, "_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, scores], names=schema.names)
 
-    return docs.mapInArrow(run, with_score(docs))
+    return docs.mapInArrow(run, schema)

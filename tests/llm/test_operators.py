@@ -462,3 +462,57 @@ def test_texts_side_by_side_make_no_control_string(spark, texts, between):
     assert one.formatted.count("<|end|>") == one.formatted.count("<|turn|>") == 2
     if not between:
         assert [t.text for t in one.read.turns] == ["".join(t or "" for t in texts)] * 2
+
+
+def test_a_column_of_the_scores_name_is_kept(spark):
+    named = cases.table(spark).withColumn("_score", F.lit("own")).withColumn("__SCORE", F.lit(1))
+    lexicon = toxicity.Lexicon({" hello ": 2.0}, frozenset())
+    for scored in (toxicity.score(named, lexicon), byte_cnn.score(named, byte_cnn.Network.fresh())):
+        assert scored.columns == [*named.columns, "___score"]
+        assert {r._score for r in scored.collect()} == {"own"}
+        assert scored.where("___score between 0 and 1").count() == len(cases.ROWS)
+
+
+def test_weights_of_a_text_equal_a_plain_scan():
+    """Every entry looked for at every place, the heaviest at each, those inside an exception taken back."""
+    chance = random.Random(9)
+    words = ["ab", "abc", "abcd", "bca", "cab", "b", "ca"]
+    for _ in range(200):
+        entries = {f" {w}" + chance.choice(["", " "]): chance.uniform(0.1, 3) for w in chance.sample(words, 4)}
+        exceptions = frozenset(" ".join(chance.choices(words, k=2)) for _ in range(2))
+        matcher = toxicity.Matcher(toxicity.Lexicon(entries, exceptions))
+        text = " ".join(chance.choices(words, k=chance.randint(0, 14)))
+        folded = toxicity.fold(text)
+        phrases = [
+            (at, at + len(p) + 2)
+            for p in exceptions
+            for at in range(len(folded))
+            if folded.startswith(f" {p} ", at)
+        ]
+        want = []
+        for at in range(len(folded)):
+            here = [(w, at + len(e)) for e, w in entries.items() if folded.startswith(e, at)]
+            if here:
+                weight, end = max(here)
+                if not any(a <= at and end <= z for a, z in phrases):
+                    want.append((at, weight))
+        got = sorted((begin, weight) for begin, _, weight in matcher.hits(folded))
+        assert [w for w, _ in got] == [w for w, _ in want]
+        assert [w for _, w in got] == pytest.approx([w for _, w in want])
+
+
+def test_fingerprints_equal_a_plain_count_of_bits(spark):
+    import re
+
+    import xxhash
+
+    texts = [t for _, t in cases.ROWS] + ["ONE", "one two", "Ä b C d E ä", "x y z " * 9]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.fingerprint for r in simhash.near_groups(docs).collect()}
+    for i, text in enumerate(texts):
+        lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+        words = re.findall(r"[^\x20\x09-\x0D]+", lowered)
+        shingles = [" ".join(words[a : a + 3]) for a in range(max(1, len(words) - 2))] if words else []
+        hashes = [xxhash.xxh64_intdigest(s.encode(), seed=42) for s in shingles]
+        bits = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+        assert got[i] == f"{bits:016x}"
