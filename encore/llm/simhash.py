@@ -12,8 +12,14 @@ A block value shared by very many fingerprints is split again: what is left are
 48 bits, of which one of four 12-bit parts has to agree.
 
 Wider distances take one block more than bits may differ, so that one block always
-agrees; below it the same holds for the parts of the other bits.  Near copies are
-searched for that way and then compared by their sets of shingles.
+agrees; below it the same holds for the parts of the other bits.
+
+Near copies lie too far apart for that: blocks get so short that a key's share of all
+fingerprints does not shrink as the corpus grows, and unrelated fingerprints come
+close by chance.  Their keys are minimal hashes of five-word shingles instead, which
+only texts with common shingles share.  Below a key the same index searches the
+fingerprints, and a link counts only if a second sketch, of hashes that are not the
+fingerprint's, agrees; then groups are compared by their sets of shingles.
 """
 
 from __future__ import annotations
@@ -48,13 +54,24 @@ BATCH = 1 << 17
 # near copies: sets of five-word shingles, searched for by fingerprints that differ in so many bits
 SET_WORDS = 5
 SIMILAR = 0.8
-SEARCHED_BITS = 11
+SEARCHED_BITS = 14
+# minimal hashes of a text's set: so many are keys, so many make its sketch, of 16 bits each,
+# and so many of those have to agree; of two texts with a similarity of 0.8, 99.85 % do
+KEY_SLOTS = 8
+SKETCH_SLOTS = 16
+LEAST_ALIKE = 8
+# fingerprints of a key that are searched as a whole, not part by part
+WHOLE = 64
 # texts and shingles of a tile's side; larger groups are compared tile by tile
 TILE_TEXTS = 256
 TILE_SHINGLES = 200_000
 COLUMNS = 4096
 
 PRINTS = pa.schema([("_doc", pa.int64()), ("_fp", pa.int64()), ("_row", pa.int64())])
+LANES = [f"_lane{i}" for i in range(SKETCH_SLOTS // 4)]
+SKETCHES = pa.schema(
+    [*PRINTS, *((lane, pa.int64()) for lane in LANES), ("_mins", pa.list_(pa.int64()))]
+)
 SETS = pa.schema([("_row", pa.int64()), ("_group", pa.int64()), ("_n", pa.int64()), ("_set", pa.binary())])
 
 
@@ -137,8 +154,8 @@ def _levels(codes: np.ndarray, groups: np.ndarray) -> list[tuple]:
 class GrayIndex:
     """Finds which of the indexed fingerprints belong together, group by group."""
 
-    def __init__(self, codes: np.ndarray, groups: np.ndarray, most: int = MOST_DIFFERENT):
-        self.codes, self.most = codes, most
+    def __init__(self, codes: np.ndarray, groups: np.ndarray, most: int = MOST_DIFFERENT, accept=None):
+        self.codes, self.most, self.accept = codes, most, accept
         self.levels = _levels(codes, groups)
         self.labels = np.arange(len(codes))
         self.roots = np.repeat(np.arange(len(self.levels[0][4])), np.diff(self.levels[0][3]))
@@ -174,7 +191,11 @@ class GrayIndex:
             node = first + np.arange(len(first))
         distance = distance + np.bitwise_count((self.codes[queries] ^ self.codes[node]) & ~above)
         near = (distance <= self.most) & (node > queries)
-        _unite(self.labels, queries[near], node[near])
+        queries, node = queries[near], node[near]
+        if self.accept is not None:
+            accepted = self.accept(queries, node)
+            queries, node = queries[accepted], node[accepted]
+        _unite(self.labels, queries, node)
 
     def _spans(self) -> list[tuple[np.ndarray, np.ndarray]]:
         """Smallest and largest label under every node."""
@@ -201,11 +222,11 @@ def _unite(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
 
 
 def _complete(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, ...]]:
-    """Whole groups of (key, code, node) rows that come sorted by key, some at a time."""
+    """Whole groups of (key, code, node, ...) rows that come sorted by key, some at a time."""
     held: list[tuple[np.ndarray, ...]] = []
     count = 0
     for batch in batches:
-        held.append(tuple(batch.column(i).to_numpy() for i in range(3)))
+        held.append(tuple(column.to_numpy() for column in batch.columns))
         count += batch.num_rows
         if count >= BATCH:
             joined = tuple(map(np.concatenate, zip(*held, strict=True)))
@@ -385,6 +406,137 @@ def near_groups(
 # --- near copies -------------------------------------------------------------------
 
 
+def _multipliers() -> np.ndarray:
+    """An odd number per slot, by a fixed rule; each turns the hashes into another order."""
+    from xxhash import xxh64_intdigest
+
+    return np.array([xxh64_intdigest(bytes([slot]), SEED) | 1 for slot in range(SKETCH_SLOTS)], np.uint64)
+
+
+def minimal_hashes(hashes: np.ndarray, multipliers: np.ndarray) -> np.ndarray:
+    """The smallest hash of a set in every slot's order; zeros without any."""
+    least = np.full(len(multipliers), np.iinfo(np.uint64).max if len(hashes) else 0, np.uint64)
+    for at in range(0, len(hashes), 8192):
+        part = hashes[at : at + 8192] * multipliers[:, None]
+        least = np.minimum(least, part.min(axis=1))
+    return least
+
+
+def sketch(least: np.ndarray) -> np.ndarray:
+    """Sixteen bits of every minimal hash, four to a number; the lowest bits of a minimum are still random."""
+    return least.astype(np.uint16).view(np.int64)
+
+
+def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    rows, multipliers = Rows(SKETCHES), _multipliers()
+    for batch in batches:
+        for doc, text, row in zip(*map(values, batch.columns), strict=True):
+            text = text or ""
+            code = np.uint64(fingerprint(text)).astype(np.int64)
+            least = minimal_hashes(shingles(text, SET_WORDS), multipliers)
+            yield from rows.add((doc, int(code), row, *sketch(least).tolist(), least[:KEY_SLOTS].astype(np.int64)))
+    yield from rows.rest()
+
+
+def _alike(lanes: np.ndarray, least: int = LEAST_ALIKE):
+    """Whether the sketches of pairs of positions agree in so many slots."""
+
+    def accept(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        agree = np.zeros(len(a), bool)
+        for at in range(0, len(a), BATCH):
+            here = slice(at, at + BATCH)
+            apart = lanes[a[here]] ^ lanes[b[here]]
+            agree[here] = (apart.view(np.uint16) == 0).sum(axis=1) >= least
+        return agree
+
+    return accept
+
+
+def _sketch_labels(keys: np.ndarray, codes: np.ndarray, lanes: np.ndarray, most: int) -> np.ndarray:
+    """Which fingerprints of each key belong together, by distance and sketch.
+
+    A key of many fingerprints is searched part by part; partners agree in one part.
+    """
+    labels = np.arange(len(codes))
+    groups = np.cumsum(np.concatenate([[0], np.diff(keys) != 0]))
+    whole = np.bincount(groups)[groups] <= WHOLE
+    rank = codes.copy()
+    for shift in (1, 2, 4, 8, 16, 32):
+        rank ^= rank >> np.uint64(shift)
+    for number, (low, width) in enumerate(_cuts(64, most)):
+        part = (codes >> np.uint64(low) & np.uint64((1 << width) - 1)).astype(np.int64)
+        within = groups << BLOCK_BITS | np.where(whole, 0, part)
+        chosen = np.flatnonzero(~whole) if number else np.arange(len(codes))
+        if len(chosen):
+            order = chosen[np.lexsort((rank[chosen], within[chosen]))]
+            found = GrayIndex(codes[order], within[order], most, _alike(lanes[order])).link()
+            _unite(labels, order, order[found])
+    return labels
+
+
+def _sketch_link(most: int):
+    def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for keys, codes, nodes, *lanes in _complete(batches):
+            labels = _sketch_labels(keys, codes.view(np.uint64), np.stack(lanes, axis=1), most)
+            linked = np.flatnonzero(labels != np.arange(len(labels)))
+            yield pa.record_batch([pa.array(nodes[linked]), pa.array(nodes[labels[linked]])], names=["a", "b"])
+
+    return link
+
+
+def _split(keyed: DataFrame, parts: Column, label: str, work: Workspace) -> DataFrame:
+    """``keyed`` with the keys of more than ``HOT`` fingerprints replaced by their ``parts``."""
+    hot = keyed.groupBy("_key").count().where(F.col("count") > HOT).select("_key", F.lit(True).alias("_hot"))
+    marked = keyed.join(stage(hot, label, work), "_key", "left")
+    keys = F.when(F.col("_hot"), parts).otherwise(F.array("_key"))
+    return marked.withColumn("_key", F.explode(keys)).drop("_hot")
+
+
+def _sketch_keyed(distinct: DataFrame, most: int, work: Workspace) -> DataFrame:
+    """Fingerprints under each key where a partner is looked for.
+
+    A key is one minimal hash.  One that very many share takes a second: partners with
+    sketches that agree have several in common.  What still is too much are texts with
+    largely the same shingles; there a block of the fingerprint has to agree as well.
+    """
+    keyed = distinct.select("*", F.posexplode("_mins").alias("_slot", "_min"))
+    keyed = keyed.withColumn("_key", F.xxhash64("_slot", "_min"))
+
+    def pair(least: Column, slot: Column) -> Column:
+        ahead = F.struct(slot.alias("slot"), least.alias("least")) < F.struct("_slot", "_min")
+        both = F.when(ahead, F.xxhash64(slot, least, "_slot", "_min"))
+        return both.otherwise(F.xxhash64("_slot", "_min", slot, least))
+
+    # the slot itself makes a key of equal halves that nobody needs
+    second = F.filter(F.transform("_mins", pair), lambda _, slot: slot != F.col("_slot"))
+    keyed = _split(keyed, second, "hot", work).drop("_mins", "_slot", "_min")
+    blocks = F.transform(_block_keys(F.col("_fp"), most), lambda block: F.xxhash64("_key", block))
+    return _split(keyed, blocks, "hotter", work)
+
+
+def _candidates(prints: DataFrame, most: int, work: Workspace) -> DataFrame:
+    """``_row`` and ``_group`` of the rows that links of fingerprint and sketch join to others."""
+    known = ["_fp", *LANES]
+    distinct = prints.groupBy(known).agg(F.min("_mins").alias("_mins"), F.count("*").alias("_n"))
+    distinct = stage(distinct.withColumn("_node", F.monotonically_increasing_id()), "distinct", work)
+    parts = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    links = (
+        _sketch_keyed(distinct.drop("_n"), most, work)
+        .select("_key", "_fp", "_node", *LANES)
+        .repartition(parts, "_key")
+        .sortWithinPartitions("_key")
+        .mapInArrow(_sketch_link(most), "a long, b long")
+    )
+    found = components(links, work).select(F.col("node").alias("_node"), "component")
+    # alone are texts without a link whose fingerprint and sketch no other row has
+    grouped = (
+        distinct.join(found, "_node", "left")
+        .where("component IS NOT NULL OR _n > 1")
+        .select(*known, F.coalesce("component", "_node").alias("_group"))
+    )
+    return prints.join(stage(grouped, "grouped", work), known).select("_row", "_group")
+
+
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows = Rows(SETS)
     for batch in batches:
@@ -483,20 +635,19 @@ def drop_near_copies(
     Near copies have sets of five-word shingles (by their 64-bit hashes; a shorter
     text is one shingle, texts without words are alike) with a Jaccard similarity of
     ``similar`` or more, and groups are what such pairs link.  Compared are all texts
-    that links of at most ``most_different`` bits between three-word fingerprints
-    join; a pair that lies further apart and is not joined over others is missed.
-    Every row is told by a number of its own, so ids may be null or repeat; columns
-    are kept; an empty table gives an empty one.
+    that links join: at most ``most_different`` bits between three-word fingerprints,
+    and half of sixteen minimal hashes in common.  A pair that lies further apart and
+    is not joined over others is missed; of pairs at 0.8 and more that is about one in
+    a hundred.  Every row is told by a number of its own, so ids may be null or repeat;
+    columns are kept; an empty table gives an empty one.
     """
     work = Workspace(docs.sparkSession)
     rows, row = numbered(docs, work)
     given = rows.select(F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"), F.col(row))
-    prints, joined = _linked(given, SHINGLE_WORDS, most_different, work)
-    several = joined.groupBy("_group").agg(F.sum("_n").alias("_n")).where("_n > 1").select("_group")
-    # written, so that the join is one of two plain shuffles and a large group can be split
-    several = stage(several, "repeated", work)
-    grouped = stage(joined.join(several, "_group").select("_fp", "_group"), "several", work)
-    placed = stage(prints.join(grouped, "_fp").select("_row", "_group"), "placed", work)
+    lanes = ", ".join(f"{lane} long" for lane in LANES)
+    prints = given.mapInArrow(_sketched, f"_doc long, _fp long, _row long, {lanes}, _mins array<long>")
+    prints = stage(prints, "sketches", work)
+    placed = stage(_candidates(prints, most_different, work), "placed", work)
     texts = rows.select(F.col(row).alias("_row"), F.col(f"`{text}`").alias("text"))
     found = _copies(placed.join(texts, "_row").select("_row", "_group", "text"), similar, work)
     found = stage(found, "copies", work)

@@ -189,15 +189,84 @@ def near_rows():
     return rows
 
 
-@pytest.mark.parametrize("tile", [2, 256])
-def test_near_copies_by_jaccard(spark, monkeypatch, tile):
+@pytest.mark.parametrize("tile, hot", [(2, 20_000), (256, 20_000), (256, 3)])
+def test_near_copies_by_jaccard(spark, monkeypatch, tile, hot):
     monkeypatch.setattr(simhash, "TILE_TEXTS", tile)
+    monkeypatch.setattr(simhash, "HOT", hot)
     rows = near_rows()
     docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id bigint, text string, n int")
     kept = sorted(r.n for r in simhash.drop_near_copies(docs.coalesce(1)).collect())
     assert kept == near_kept(rows) and len(kept) < len(rows) - 20
 
 
+def test_minimal_hashes_and_sketches():
+    multipliers = simhash._multipliers()
+    hashes = np.unique(simhash.shingles(" ".join(f"w{i}" for i in range(9000)), 5))
+    plain = [min(h * m % (1 << 64) for h in hashes.tolist()) for m in multipliers.tolist()]
+    least = simhash.minimal_hashes(hashes, multipliers)
+    assert least.tolist() == plain and (multipliers % 2 == 1).all()
+    lanes = simhash.sketch(least).view(np.uint16).tolist()
+    assert lanes == [m % (1 << 16) for m in plain]
+    assert simhash.minimal_hashes(np.zeros(0, np.uint64), multipliers).tolist() == [0] * 16
+
+
+@pytest.mark.parametrize("whole", [1, 64, 10_000])
+def test_sketch_search_finds_what_all_pairs_find(monkeypatch, whole):
+    monkeypatch.setattr(simhash, "WHOLE", whole)
+    chance = random.Random(4)
+    codes = np.array(_family(chance, 9), np.int64).view(np.uint64)
+    keys = np.sort(np.array([chance.randrange(4) for _ in codes], np.int64))
+    lanes = np.array([[chance.randrange(3) for _ in range(16)] for _ in codes], np.uint16).view(np.int64)
+    found, plain = simhash._sketch_labels(keys, codes, lanes, 14), np.arange(len(codes))
+    agree = (lanes.view(np.uint16)[:, None] == lanes.view(np.uint16)[None, :]).sum(axis=2) >= simhash.LEAST_ALIKE
+    close = np.bitwise_count(codes[:, None] ^ codes[None, :]) <= 14
+    simhash._unite(plain, *np.nonzero(agree & close & (keys[:, None] == keys[None, :])))
+    assert (found == plain).all() and len(set(plain.tolist())) < len(codes)
+
+
+def test_unrelated_rows_form_no_group(spark, monkeypatch):
+    """200,000 rows of random prints, a third of them with a key in common, and fifty planted fives."""
+    monkeypatch.setattr(simhash, "HOT", 5_000)
+    number = F.when(F.col("id") < 250, F.floor(F.col("id") / 5)).otherwise(F.col("id"))
+
+    def random_long(what):
+        return F.xxhash64(number, F.lit(what))
+
+    common = F.when((F.col("id") >= 250) & (F.col("id") % 3 == 0), F.lit(7).cast("long"))
+    prints = spark.range(200_000).select(
+        F.col("id").alias("_doc"),
+        random_long("print").bitwiseXOR(F.when(F.col("id") < 250, F.col("id") % 5).otherwise(0).cast("long")).alias("_fp"),
+        F.col("id").alias("_row"),
+        *[random_long(lane).alias(lane) for lane in simhash.LANES],
+        F.array(F.coalesce(common, random_long("0")), *[random_long(str(i)) for i in range(1, 8)]).alias("_mins"),
+    )
+    rows = simhash._candidates(prints, simhash.SEARCHED_BITS, Workspace(spark)).collect()
+    groups = defaultdict(set)
+    for r in rows:
+        groups[r._group].add(r._row)
+    assert sorted(map(sorted, groups.values())) == [list(range(i, i + 5)) for i in range(0, 250, 5)]
+
+
+def test_recall_of_near_copies(spark):
+    """Pairs of texts with a similarity of 0.8 to 1, short ones too: at least 0.95 are found."""
+    chance, pairs = random.Random(12), []
+    words = [f"w{i}" for i in range(5000)]
+    while len(pairs) < 600:
+        text = chance.choices(words, k=chance.choice((30, 60, 200, 600)))
+        other = list(text)
+        for at in chance.sample(range(len(text)), max(1, int(len(text) * chance.uniform(0, 0.03)))):
+            other[at] = chance.choice(words)
+        a, b = ({tuple(t[i : i + 5]) for i in range(len(t) - 4)} for t in (text, other))
+        if 0.8 <= len(a & b) / len(a | b) < 1:
+            pairs.append((" ".join(text), " ".join(other)))
+    rows = [(2 * n + side, text) for n, pair in enumerate(pairs) for side, text in enumerate(pair)]
+    kept = {r.doc_id for r in simhash.drop_near_copies(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert all(2 * n in kept for n in range(600))
+    found = sum(2 * n + 1 not in kept for n in range(600))
+    print("recall", found / 600)
+    assert found >= 0.95 * 600
+
+
 AWKWARD = [
     *cases.ROWS,
     (None, "a text of its own without an id"),
