@@ -4,7 +4,9 @@ Entities are found by pattern and by name lists, and known by a canonical form
 (digits of a number, lower case of an address), so that one entity has one
 surrogate wherever it occurs and however it is written.  A surrogate is drawn
 with a keyed hash: letters of the same script and case, digits, hexadecimal
-digits, valid check digits, names of the same gender and script.  All distinct
+digits, valid check digits, names of the same gender and script.  A family name
+is an entity of its own, so that a person named with a title and one named in
+full stay one; given names are drawn for the whole name.  All distinct
 entities of the table are then checked for collisions, with each other and with
 entities that really occur, and the losers draw again until none is left.
 """
@@ -14,9 +16,11 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+from bisect import bisect
 from collections.abc import Iterator
 
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,10 +28,11 @@ from pyspark.sql import types as T
 from encore.llm.tables import free_name, stage, values
 from encore.sources.staging import Workspace
 
-KEY = b"surrogates"
 FOUND = "array<struct<kind:string,start:int,length:int,entity:string>>"
 # draws after which a surrogate may get longer, so that a full format cannot stop the search
 SAME_LENGTH_DRAWS = 24
+# the same for given names, of which a list holds few
+LISTED_DRAWS = 3
 # draws after which an address is one of the block reserved for documentation, which has room for all
 DOTTED_DRAWS = 2 * SAME_LENGTH_DRAWS
 
@@ -55,6 +60,7 @@ ALPHABETS = {
 
 # longest first: what an earlier pattern took is not looked at again
 PATTERNS = (
+    ("iban", re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])")),
     ("email", re.compile(r"[^\W_][\w.+%-]*@[^\W_](?:[\w-]*[^\W_])?(?:\.[^\W_](?:[\w-]*[^\W_])?)+")),
     ("secret", re.compile(r"(?<![0-9A-Za-z])(?=[A-Za-z]*[0-9])(?=[0-9]*[A-Za-z])[0-9A-Za-z]{24,}(?![0-9A-Za-z])")),
     ("ip", re.compile(r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\d]|\.\d)")),
@@ -63,10 +69,15 @@ PATTERNS = (
     ("phone", re.compile(r"(?<![\w+])\(\d{3}\)[ .-]?\d{3}[ .-]\d{4}(?!\d)")),
     ("ssn", re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")),
 )
-TITLED = re.compile(
-    r"\b(" + "|".join(sorted(GENDER_OF, key=len, reverse=True)) + r")\.? ([^\W\d_]+(?: [^\W\d_]+)?)"
-)
-NAMED = re.compile(r"\b(" + "|".join(sorted(GROUP_OF, key=len, reverse=True)) + r") ([^\W\d_]{2,})")
+# fixed values: words in small letters inside a family name
+PARTICLES = "von vom zu van de der den da di du del della la le ter ten".split()
+_TITLE = "|".join(sorted(GENDER_OF, key=len, reverse=True))
+_GIVEN = "|".join(sorted(GROUP_OF, key=len, reverse=True))
+# capitalised words, also with hyphens and apostrophes; a run ends before a title
+_WORD = rf"(?!(?:{_TITLE})\b)\p{{Lu}}[\p{{L}}\p{{M}}]*+(?:['\u2019-][\p{{L}}\p{{M}}]++)*+"
+_RUN = rf"{_WORD}(?: (?:(?:{'|'.join(PARTICLES)}) )*+{_WORD})*+"
+TITLED = regex.compile(rf"\b({_TITLE})\.? ((?:(?:{'|'.join(PARTICLES)}) )*+{_RUN})")
+NAMED = regex.compile(rf"\b({_GIVEN})(?= (?:(?:{'|'.join(PARTICLES)}) )*+{_WORD}){_RUN[len(_WORD):]}")
 DIGIT = re.compile(r"\d")
 # fixed values: country codes of one and two digits; all others have three, and none begins another
 COUNTRY = re.compile(
@@ -83,40 +94,81 @@ def script_of(word: str) -> str:
     return "latin"
 
 
-def _canonical(kind: str, surface: str) -> str:
-    if kind == "phone" and surface[0] == "+":
-        return "+" + re.sub(r"\D", "", surface)
-    if kind in ("card", "phone", "ssn"):
-        return re.sub(r"\D", "", surface)
-    return surface.lower() if kind in ("email", "secret") else surface
+def _letters(surface: str) -> str:
+    return re.sub(r"[^0-9A-Za-z]", "", surface)
 
 
-def _names(text: str) -> Iterator[tuple[str, int, str]]:
-    """Names after a title, or a known given name before another capitalised word."""
+def _is_iban(surface: str) -> bool:
+    plain = _letters(surface)
+    return 15 <= len(plain) <= 34 and int("".join(str(int(c, 36)) for c in plain[4:] + plain[:4])) % 97 == 1
+
+
+def _canonical(kind: str, surface: str) -> str:
+    if kind == "phone":
+        # without a country code only the format of the code 1 is looked for
+        return ("+" if surface[0] == "+" else "+1") + re.sub(r"\D", "", surface)
+    if kind in ("card", "ssn"):
+        return re.sub(r"\D", "", surface)
+    if kind == "iban":
+        return _letters(surface)
+    if kind == "secret":
+        # only hexadecimal digits of one case are the same in the other
+        folds = all(c in "0123456789abcdef" for c in surface.lower()) and (surface.isupper() or surface.islower())
+        return surface.lower() if folds else surface
+    return surface.lower() if kind == "email" else surface
+
+
+def _patterned(text: str) -> Iterator[tuple[str, int, int, str]]:
+    for kind, pattern in PATTERNS:
+        for match in pattern.finditer(text):
+            surface = match[0]
+            if kind == "iban":
+                # a following word may look like one more part
+                while not _is_iban(surface) and " " in surface:
+                    surface = surface.rpartition(" ")[0]
+                if not _is_iban(surface):
+                    continue
+            yield kind, match.start(), match.start() + len(surface), _canonical(kind, surface)
+
+
+def _name(gender: str, start: int, surface: str) -> Iterator[tuple[str, int, int, str]]:
+    """The given and the family part of a name; a single word is a family name unless it is a known given one."""
+    words = surface.split(" ")
+    particles = [i for i, word in enumerate(words) if word in PARTICLES]
+    n_given = particles[0] if particles else len(words) - 1
+    if len(words) == 1 and surface in GROUP_OF:
+        n_given = 1
+    given, family = " ".join(words[:n_given]), " ".join(words[n_given:])
+    if given:
+        yield f"given-{gender}", start, start + len(given), f"{given.lower()}|{family.lower()}"
+    if family:
+        yield "family", start + len(surface) - len(family), start + len(surface), family.lower()
+
+
+def _names(text: str) -> Iterator[tuple[str, int, int, str]]:
+    """Capitalised words after a title, or after a known given name."""
     for match in TITLED.finditer(text):
-        words = [w for w in match[2].split(" ") if w[0].isupper()]
-        if words and match[2].startswith(words[0]):
-            yield f"name-{GENDER_OF[match[1]]}", match.start(2), " ".join(words)
+        yield from _name(GENDER_OF[match[1]], match.start(2), match[2])
     for match in NAMED.finditer(text):
-        if match[2][0].isupper():
-            yield f"name-{GROUP_OF[match[1]][0]}", match.start(), match[0]
+        yield from _name(GROUP_OF[match[1]][0], match.start(), match[0])
 
 
 def find(text: str) -> list[dict]:
-    """The entities of one text in order, without overlaps."""
-    taken: list[tuple[int, int]] = []
-    found = []
-    candidates = []
+    """The entities of one text in order, without overlaps; what was found first stays."""
+    starts: list[int] = []
+    found: list[dict] = []
+    candidates: list[tuple[str, int, int, str]] = []
     if "@" in text or DIGIT.search(text):
-        candidates = [(kind, m.start(), m[0]) for kind, pattern in PATTERNS for m in pattern.finditer(text)]
+        candidates += _patterned(text)
     if ANY_NAME.search(text):
         candidates += _names(text)
-    for kind, start, surface in candidates:
-        end = start + len(surface)
-        if all(end <= a or start >= b for a, b in taken):
-            taken.append((start, end))
-            found.append({"kind": kind, "start": start, "length": len(surface), "entity": _canonical(kind, surface)})
-    return sorted(found, key=lambda x: x["start"])
+    for kind, start, end, entity in candidates:
+        at = bisect(starts, start)
+        before_ends = at == 0 or found[at - 1]["start"] + found[at - 1]["length"] <= start
+        if before_ends and (at == len(starts) or end <= starts[at]):
+            starts.insert(at, start)
+            found.insert(at, {"kind": kind, "start": start, "length": end - start, "entity": entity})
+    return found
 
 
 # --- surrogates ------------------------------------------------------------------
@@ -156,10 +208,11 @@ def _check_digit(digits: str) -> str:
     return str(-total % 10)
 
 
-def surrogate(kind: str, entity: str, draw: int, key: bytes = KEY) -> str:
+def surrogate(kind: str, entity: str, draw: int, key: bytes) -> str:
     """The canonical form of an entity's surrogate at a draw."""
     stream = _Stream(key, kind, entity, str(draw))
-    more = "".join(str(stream.below(10)) for _ in range(max(0, draw - SAME_LENGTH_DRAWS)))
+    free = LISTED_DRAWS if kind.startswith("given-") else SAME_LENGTH_DRAWS
+    more = "".join(str(stream.below(10)) for _ in range(max(0, draw - free)))
     if kind == "ip":
         if draw > DOTTED_DRAWS:
             return "2001:db8:" + ":".join(f"{stream.below(1 << 16):04x}" for _ in range(6))
@@ -170,13 +223,20 @@ def surrogate(kind: str, entity: str, draw: int, key: bytes = KEY) -> str:
             str(low + stream.below(high - low)) for low, high in (ranges[len(part)] for part in entity.split("."))
         )
     if kind == "secret":
-        hexadecimal = all(c in "0123456789abcdef" for c in entity)
-        return "".join("0123456789abcdef"[stream.below(16)] if hexadecimal else stream.like(c) for c in entity) + more
+        if any(c not in "0123456789abcdef" for c in entity.lower()):
+            return "".join(map(stream.like, entity)) + more
+        drawn = "".join("0123456789abcdef"[stream.below(16)] for _ in entity)
+        # a key of mixed case keeps it place by place
+        return _cased(entity, drawn) + more
+    if kind == "iban":
+        account = "".join(map(stream.like, entity[4:])) + more
+        rest = int("".join(str(int(c, 36)) for c in account + entity[:2]) + "00") % 97
+        return f"{entity[:2]}{98 - rest:02}{account}"
     if kind == "email":
         name, _, domain = entity.partition("@")
         host, _, top = domain.rpartition(".")
         return "".join(map(stream.like, name)) + more + "@" + "".join(map(stream.like, host)) + "." + top
-    if kind == "phone" and entity[0] == "+":
+    if kind == "phone":
         # however the number is written, its country code stays and all other digits are drawn
         code = COUNTRY.match(entity)[0]
         return code + "".join(map(stream.like, entity[len(code) :])) + more
@@ -184,24 +244,38 @@ def surrogate(kind: str, entity: str, draw: int, key: bytes = KEY) -> str:
         luhn = _check_digit(entity[:-1]) == entity[-1]
         digits = "".join(map(stream.like, entity[:-1]))
         return digits + (_check_digit(digits) if luhn else stream.like("0")) + more
-    if kind.startswith("name-"):
-        gender, words = kind[-1], entity.split(" ")
-        given = NAMES[gender, script_of(entity)]
-        made = [given[stream.below(len(given))]] if words[0] in GROUP_OF else []
-        made += ["".join(map(stream.like, word)) for word in words[len(made) :]]
-        if draw > SAME_LENGTH_DRAWS:
-            made[-1] += "".join(stream.like("a") for _ in more)
-        return " ".join(made)
+    if kind.startswith("given-"):
+        # the family name goes along: persons have to differ in one of both
+        given, _, family = entity.partition("|")
+        known = NAMES[kind[-1], script_of(given)]
+        made = " ".join(known[stream.below(len(known))].lower() for _ in given.split(" "))
+        return f"{made}{''.join(stream.like(known[0][-1]) for _ in more)}|{family}"
+    if kind == "family":
+        words = [w if w in PARTICLES else "".join(map(stream.like, w)) for w in entity.split(" ")]
+        return " ".join(words) + "".join(stream.like(entity[-1]) for _ in more)
     return "".join(map(stream.like, entity)) + more
 
 
+def _cased(surface: str, drawn: str) -> str:
+    """``drawn`` with capitals where ``surface`` has some."""
+    return "".join(c.upper() if surface[i : i + 1].isupper() else c for i, c in enumerate(drawn))
+
+
 def _dressed(kind: str, surface: str, canonical: str) -> str:
     """A canonical surrogate written the way the entity was written."""
-    if kind in ("card", "phone", "ssn"):
-        digits = iter(canonical.removeprefix("+"))
-        return "".join(next(digits) if c.isdigit() else c for c in surface) + "".join(digits)
+    if kind in ("card", "phone", "ssn", "iban"):
+        if kind == "phone" and surface[0] != "+":
+            canonical = canonical.removeprefix("+1")
+        written = iter(canonical.removeprefix("+"))
+        return "".join(next(written) if c.isalnum() else c for c in surface) + "".join(written)
     if kind in ("email", "secret"):
         return canonical.upper() if surface.isupper() else canonical
+    if kind == "family":
+        # what got longer goes on in the case of the last letter
+        return _cased(surface + surface[-1] * max(0, len(canonical) - len(surface)), canonical)
+    if kind.startswith("given-"):
+        given = canonical.partition("|")[0]
+        return given.upper() if surface.isupper() and len(surface) > 1 else given.title()
     return canonical
 
 
@@ -285,9 +359,11 @@ def _rewritten(names: list[str], text: str, spans: str):
     return rewrite
 
 
-def replace(docs: DataFrame, text: str = "text", key: bytes = KEY) -> DataFrame:
+def replace(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
     """``docs`` with surrogates in its texts, and their number as ``_n_entities``.
 
+    Who knows ``key`` can recompute the surrogate of any guessed entity: keep it secret.
+    A name counts as two, its given and its family part.
     Every row comes back with its own columns.  A text without entities, empty or
     null, comes back as it is.  Repeated rows are rewritten alike; the same entity
     has the same surrogate in all rows, different entities have different ones.

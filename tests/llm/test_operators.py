@@ -49,7 +49,7 @@ def test_empty_tables(spark, none):
         suffix_dedup.remove_passages(none),
         simhash.near_groups(none),
         byte_bpe.decode(byte_bpe.encode(none, vocabulary(BYTE_BPE)), vocabulary(BYTE_BPE)),
-        pii.replace(none),
+        pii.replace(none, b"k"),
         block_naming.exact_groups(none),
         packing.pack(none, vocabulary(WORD_BPE)),
         quality_rules.judge(none),
@@ -346,7 +346,7 @@ def test_bpe_of_odd_words():
 
 
 def test_surrogates(docs):
-    out = {r.doc_id: r for r in pii.replace(docs).collect()}
+    out = {r.doc_id: r for r in pii.replace(docs, b"k").collect()}
     assert out[5].text is None and out[2].text == cases.ROWS[3][1] and out[12].kept == "own"
     text, words = out[12].text, out[12].text.replace(",", "").split()
     assert out[12]._n_entities == 3 and words[1] == words[4] != "10.1.22.133" and "4952935900253052" not in text
@@ -361,27 +361,103 @@ def test_colliding_surrogates_draw_again(spark, monkeypatch):
     assert len(drawn) == len(made) == 100 and not made & {r.entity for r in drawn}
 
 
+def parts(text):
+    return [(e["kind"], text[e["start"] : e["start"] + e["length"]]) for e in pii.find(text)]
+
+
 def test_names_keep_gender_and_script():
-    assert [e["kind"] for e in pii.find("Frau Anna Schmidt met Иван Петров")] == ["name-f", "name-m"]
-    given, family = pii.surrogate("name-m", "Иван Петров", 0).split(" ")
+    text = "Frau Anna Schmidt met Иван Петров"
+    kinds = ["given-f", "family", "given-m", "family"]
+    assert parts(text) == list(zip(kinds, ["Anna", "Schmidt", "Иван", "Петров"]))
+    spans = pii.find(text)
+    given = pii._dressed("given-m", "Иван", pii.surrogate("given-m", spans[2]["entity"], 0, b"k"))
+    family = pii._dressed("family", "Петров", pii.surrogate("family", spans[3]["entity"], 0, b"k"))
     assert given in pii.NAMES["m", "cyrillic"] and pii.script_of(family) == "cyrillic" and family[0].isupper()
 
 
 @pytest.mark.parametrize("before", ["", "(", '"', "\u201e", "by/", "so\u2014", "-", "["])
-@pytest.mark.parametrize("name, entity", [("Anna Schmidt", "Anna Schmidt"), ("Mr. Smith", "Smith"), ("Frau Weber", "Weber")])
-def test_names_beside_punctuation(before, name, entity):
-    assert [e["entity"] for e in pii.find(f"it was {before}{name}, then")] == [entity]
+@pytest.mark.parametrize(
+    "name, found",
+    [
+        ("Anna Schmidt", ["Anna", "Schmidt"]),
+        ("Mr. Smith", ["Smith"]),
+        ("Frau Weber", ["Weber"]),
+        ("Mrs. Anna Maria Schmidt", ["Anna Maria", "Schmidt"]),
+        ("Mr Smith-Jones", ["Smith-Jones"]),
+        ("Mr O'Neill and Mrs Jones", ["O'Neill", "Jones"]),
+        ("Peter van der Berg", ["Peter", "van der Berg"]),
+        ("Herr von Berg", ["von Berg"]),
+        ("Mr Smith Mrs Jones", ["Smith", "Jones"]),
+        ("Herr Peter", ["Peter"]),
+        ("MR SMITH and Anna said", []),
+    ],
+)
+def test_names_beside_punctuation(before, name, found):
+    assert [surface for _, surface in parts(f"it was {before}{name}, then")] == found
+
+
+def replaced(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    return [r.text for r in sorted(pii.replace(docs, b"k").collect(), key=lambda r: r.doc_id)]
+
+
+def test_planted_entities_of_every_kind(spark):
+    secrets = ["aBcD1234eFgH5678iJkL9012mN", "ABCD1234efgh5678IJKL9012MN", "0123456789abcdef" * 2, "0123456789ABCDEF" * 2]
+    texts = [
+        "Peter Smith came",
+        "so did Mr Smith",
+        "and Mr SMITH",
+        "Paul Smith did not",
+        "Call (509) 555-6973",
+        "Call +1 509 555 6973",
+        "Pay DE89 3704 0044 0532 0130 00 EUR",
+        "Pay DE89370400440532013000",
+        "Pay DE88370400440532013000",
+        *secrets,
+    ]
+    out = replaced(spark, texts)
+    first, family, _ = out[0].split()
+    assert first in pii.NAMES["m", "latin"] and family != "Smith" and len(family) == 5
+    assert out[1] == f"so did Mr {family}" and out[2] == f"and Mr {family.upper()}"
+    assert out[3].split()[1] == family and out[3].split()[0] != first
+    assert out[4][5:] == "({}) {}-{}".format(*out[5].split()[2:]) and out[4] != texts[4]
+    account = out[7].split()[1]
+    assert out[6].replace(" ", "") == f"Pay{account}EUR" and pii._is_iban(account) and account[:2] == "DE"
+    assert account not in texts[7] and len(account) == 22
+    made = out[9:]
+    assert len({m.lower() for m in made}) == 3 and made[3] == made[2].upper() and not set(made) & set(secrets)
+    for given, drawn in zip(secrets[:2], made):
+        assert [(c.isupper(), c.isdigit()) for c in given] == [(c.isupper(), c.isdigit()) for c in drawn]
+
+
+def test_many_names_of_one_family_stay_distinct(spark):
+    """More given names than the list holds: all persons differ, the family is one."""
+    texts = [f"Mr {chr(65 + i % 26)}{'abcdefg'[i // 26]}n Smith came" for i in range(60)] + ["Mr Smith came"]
+    out = replaced(spark, texts)
+    assert len(set(out)) == 61 and len({o.split()[-2] for o in out}) == 1
+
+
+def test_overlaps_are_resolved_as_by_comparing_all():
+    chance = random.Random(3)
+    pieces = ["Mr Smith", "Anna Maria Weber", "10.1.2.3", "4952935900253052", "me@host.org", "and", "Ms", "+1 377 555 0271", "x", "DE89370400440532013000"]
+    for _ in range(200):
+        text = "".join(chance.choice(pieces) + chance.choice((" ", ", ", "-", "/")) for _ in range(12))
+        taken = []
+        for kind, start, end, entity in [*pii._patterned(text), *pii._names(text)]:
+            if all(end <= a or start >= b for _, a, b, _ in taken):
+                taken.append((kind, start, end, entity))
+        assert [(e["kind"], e["start"], e["start"] + e["length"], e["entity"]) for e in pii.find(text)] == sorted(taken, key=lambda x: x[1])
 
 
 def test_one_number_in_several_formats():
     written = ["+15095556973", "+1 (509) 555-6973", "+1-509-555-6973", "+1 509 555 6973"]
     (entity,) = {e["entity"] for text in written for e in pii.find(text)}
-    made = pii.surrogate("phone", entity, 0)
+    made = pii.surrogate("phone", entity, 0, b"k")
     out = [pii._dressed("phone", text, made) for text in written]
     assert {"+" + "".join(c for c in text if c.isdigit()) for text in out} == {made} and made != entity
     assert all(text.startswith("+1") and len(text) == len(given) for text, given in zip(out, written))
-    assert pii.surrogate("phone", "+35312345678", 3).startswith("+353")
-    assert pii.surrogate("phone", "+4930123456", 3).startswith("+49")
+    assert pii.surrogate("phone", "+35312345678", 3, b"k").startswith("+353")
+    assert pii.surrogate("phone", "+4930123456", 3, b"k").startswith("+49")
 
 
 def test_numbers_of_one_country_code_are_written_differently(spark):
@@ -401,25 +477,25 @@ def test_a_full_format_of_addresses_ends():
     while losers:
         again = []
         for entity in losers:
-            drawn = pii.surrogate("ip", entity, draw)
+            drawn = pii.surrogate("ip", entity, draw, b"k")
             if drawn in real or drawn in made:
                 again.append(entity)
             made.add(drawn)
         losers, draw = again, draw + 1
         assert draw < pii.DOTTED_DRAWS
-    far = {pii.surrogate("ip", entity, pii.DOTTED_DRAWS + 1) for entity in entities}
+    far = {pii.surrogate("ip", entity, pii.DOTTED_DRAWS + 1, b"k") for entity in entities}
     assert len(far) == len(entities) and not any(pii.find(address) for address in far)
 
 
 def test_columns_with_the_operators_own_names(spark, docs):
     own = ("_row", "_found", "_spans", "_n_entities", "_quality", "kind", "entity", "surrogate", "node")
     clashing = docs.withColumns({name: F.lit(f"own {name}") for name in own})
-    replaced, judged = pii.replace(clashing), quality_rules.keep_good(clashing)
+    replaced, judged = pii.replace(clashing, b"k"), quality_rules.keep_good(clashing)
     assert replaced.columns == [*clashing.columns, "__n_entities"] and judged.columns == clashing.columns
     rows = replaced.collect()
     assert all(r[name] == f"own {name}" for r in [*rows, *judged.collect()] for name in own)
     assert len(rows) == len(cases.ROWS)
-    assert sorted(r["__n_entities"] for r in rows) == sorted(r._n_entities for r in pii.replace(docs).collect())
+    assert sorted(r["__n_entities"] for r in rows) == sorted(r._n_entities for r in pii.replace(docs, b"k").collect())
     assert quality_rules.judge(clashing).columns[-1] == "__quality"
 
 
