@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from encore.llm import block_naming, packing, pii, quality_rules, simhash
+from encore.llm.queries import FIXTURE_KEY
 from encore.llm.tables import read, stage
 from encore.llm.vocabularies import WORD_BPE, vocabulary
 from encore.sources.staging import Workspace
 
+KEY_SETTING = "spark.encore.surrogates.key"
+
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents the quality rules keep."""
@@ -27,9 +30,15 @@ def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def surrogates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Personal data replaced; the length column follows the text."""
-    replaced = pii.replace(docs)
-    return replaced.withColumn("n_chars", F.char_length("text").cast("long")).select(*docs.columns)
+    """Personal data replaced; the length column follows the text.
+
+    The key is the session's setting ``spark.encore.surrogates.key``.  Without it the
+    fixture's key is used, which is public: it protects made-up data only.
+    """
+    key = spark.conf.get(KEY_SETTING, None)
+    replaced = pii.replace(docs, key.encode() if key else FIXTURE_KEY)
+    columns = [f"`{name}`" for name in docs.columns]
+    return replaced.withColumn("n_chars", F.char_length("text").cast("long")).select(*columns)
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
