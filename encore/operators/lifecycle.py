@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from encore.functions.temporal import ts_literal, whole_days, within_days
-from encore.operators.ordering import ROWS_PER_PART, part_of_slot, write_in_order
+from encore.operators.ordering import ROWS_PER_PART, write_parts_in_order
 
 
 def event_rank(events: DataFrame, key: str, ts: str, rank: str = "purchase_event_rank") -> DataFrame:
@@ -19,10 +19,11 @@ def event_rank(events: DataFrame, key: str, ts: str, rank: str = "purchase_event
     partition and entity finds where the entity begins there.  Only a partition's
     first entity can have begun earlier; its true begin comes from the partitions'
     edges, one row each.  Nothing is joined or shuffled by the entity alone.
-    Writes a staged table.
+    Writes a staged table, in buckets of whole sorted partitions: the window sorts
+    each bucket where it is read, so the sort is the only shuffle of all columns.
     """
-    placed = write_in_order(events, [F.col(key), F.col(ts)]).withColumns(
-        {"_part": part_of_slot(), "_pos": F.pmod("_slot", F.lit(ROWS_PER_PART))}
+    placed = write_parts_in_order(events, [F.col(key), F.col(ts)]).withColumn(
+        "_pos", F.pmod("_slot", F.lit(ROWS_PER_PART))
     )
     runs = placed.groupBy("_part", key).agg(F.min("_pos").alias("_run"), F.count("*").alias("_rows"))
     edges = runs.groupBy("_part").agg(
@@ -46,13 +47,13 @@ def event_rank(events: DataFrame, key: str, ts: str, rank: str = "purchase_event
         "_begin", F.when(~(F.col("_continues") & one_run), F.col("_start") + F.col("_last_run"))
     ).withColumn("_carried", F.when(F.col("_continues"), F.last("_begin", ignorenulls=True).over(earlier)))
     edges = edges.select("_part", "_start", "_first_key", "_carried")
-    here = F.min("_pos").over(Window.partitionBy("_part", key))
+    placed = placed.withColumn("_here", F.min("_pos").over(Window.partitionBy("_part", key)))
     carried = F.col("_carried").isNotNull() & F.col(key).eqNullSafe(F.col("_first_key"))
-    first = F.when(carried, F.col("_carried")).otherwise(F.col("_start") + here)
+    first = F.when(carried, F.col("_carried")).otherwise(F.col("_start") + F.col("_here"))
     return (
         placed.join(F.broadcast(edges), "_part")
         .withColumn(rank, F.col("_start") + F.col("_pos") - first + 1)
-        .drop("_part", "_pos", "_slot", "_start", "_first_key", "_carried")
+        .drop("_part", "_pos", "_here", "_slot", "_start", "_first_key", "_carried")
     )
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from encore.functions.temporal import ts_literal
-from encore.sources.staging import stage
+from encore.sources.staging import Workspace, stage
 
 # monotonically_increasing_id() is the partition number above 33 bits of row number
 PART_BITS = 33
@@ -46,6 +46,18 @@ def write_in_order(df: DataFrame, order: list[Column]) -> DataFrame:
     )
 
 
+def write_parts_in_order(df: DataFrame, order: list[Column]) -> DataFrame:
+    """As ``write_in_order``, with the number of the sorted partition as ``_part``.
+
+    Each sorted partition is a file in one bucket by ``_part``, so work by ``_part``
+    and anything else shuffles nothing.
+    """
+    spark = df.sparkSession
+    placed = df.orderBy(*order).withColumn("_slot", F.monotonically_increasing_id())
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return Workspace(spark).stage_bucketed(placed.withColumn("_part", part_of_slot()), "ordered", "_part", buckets)
+
+
 def part_of_slot() -> Column:
     return F.shiftright("_slot", PART_BITS).alias("_part")
 

@@ -59,13 +59,19 @@ def data_end(raw: dict[str, DataFrame], firsts: DataFrame) -> datetime | None:
     return grain.latest_purchase(raw, after=seen)
 
 
-def prepare(raw: dict[str, DataFrame], horizon_days: int = 90) -> Prepared:
+def prepare(raw: dict[str, DataFrame], horizon_days: int = 90, check_keys: bool = False) -> Prepared:
     """Build the base table.
 
+    A customer id or order id that repeats multiplies orders; ``check_keys`` makes it
+    an error, for one more aggregation of each of the two tables' keys.
+
     First purchases are read more than once (their median is a fact about the
     whole table), so they are staged and the joins behind them run once.  The
     median covers every first purchase, also those censored afterwards.
     """
+    if check_keys:
+        grain.assert_unique(raw["customers"], ["customer_id"])
+        grain.assert_unique(raw["orders"], ["order_id"])
     firsts = stage(first_purchase(purchase_event(raw), horizon_days), "first_purchase")
     imputed = impute_median(firsts, REVIEW)
     base = lifecycle.censor(imputed, FIRST, data_end(raw, firsts), horizon_days).drop(RANK, SECOND, DAYS)

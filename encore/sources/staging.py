@@ -46,6 +46,18 @@ class Workspace:
         df.write.options(**options).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
+    def stage_bucketed(self, df: DataFrame, label: str, key: str, buckets: int) -> DataFrame:
+        """As ``stage``, in buckets by ``key``: grouping by it later shuffles nothing.
+
+        Needs a catalog in which a table may be created; its name is dropped at once.
+        """
+        name = f"{label}_{uuid4().hex}"
+        df.write.bucketBy(buckets, key).option("path", self.new_path(label)).saveAsTable(name, format="parquet")
+        table = self.spark.table(name)
+        table.schema  # resolved now; the name is not needed any more, the files are
+        self.spark.sql(f"DROP TABLE {name}")
+        return table
+
     def delete(self) -> None:
         """Remove the tables; frames that read them no longer work."""
         files, where = _file_system(self.spark, self.folder)

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from encore.operators import evaluate, grain, lifecycle, ordering, profile
@@ -130,3 +131,23 @@ def test_ranks_of_a_heavy_customer_need_no_shuffle_by_customer(spark, no_broadca
     assert not re.search(r"hashpartitioning\(key#", text)
     assert ranked.where("key = -7").agg(F.max("rank")).first()[0] == 1000
     assert ranked.where("key <> -7").agg(F.max("rank")).first()[0] == 1
+
+
+def test_ranks_shuffle_all_columns_once(spark, no_broadcast):
+    rows = spark.range(3000).select((F.col("id") % 7).alias("key"), F.col("id").alias("ts"), F.uuid().alias("wide"))
+    lines = plan(lifecycle.event_rank(rows, "key", "ts", "rank")).splitlines()
+    # the sorted write is scanned bucket by bucket, and none of its rows are dealt anew
+    scans = [line for line in lines if "FileScan" in line]
+    assert any("wide" in line for line in scans) and all("Bucketed: true" in line for line in scans)
+    assert not any("hashpartitioning" in line for line in lines)
+
+
+def test_ranks_over_many_parts_equal_a_window(spark):
+    rows = spark.range(5000).select(
+        F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id") % 40).alias("key"),
+        (F.col("id") * 7919 % 5000).alias("ts"),
+        F.col("id").alias("payload"),
+    )
+    ranked = lifecycle.event_rank(rows, "key", "ts", "rank").select("payload", F.col("rank").cast("int").alias("rank"))
+    plain = rows.withColumn("rank", F.row_number().over(Window.partitionBy("key").orderBy("ts")))
+    assert sorted(ranked.collect()) == sorted(plain.select("payload", "rank").collect())

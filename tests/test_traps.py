@@ -250,3 +250,12 @@ def test_ratio_of_nothing_is_zero(spark):
 def test_duplicate_customers_are_reported_not_dropped(spark):
     customers = spark.createDataFrame([("k", "a"), ("k", "b"), ("l", "c"), (None, "d"), (None, "e")], "customer_id string, u string")
     assert values(grain.duplicate_keys(customers, ["customer_id"]), "customer_id", "cnt") == [("k", 2)]
+
+
+def test_repeated_keys_are_an_error_on_request(spark):
+    tables = shop(spark)
+    preparation.prepare(tables, check_keys=True)
+    for name in ("customers", "orders"):
+        twice = {**tables, name: tables[name].union(tables[name])}
+        with pytest.raises(ValueError, match="not unique"):
+            preparation.prepare(twice, check_keys=True)
