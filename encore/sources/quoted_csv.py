@@ -5,13 +5,17 @@ read on its own tells what it does to the two possible answers: keep them, swap
 them, or settle them, as a text whose quotes are no field's quotes may.  Such steps
 can be joined in any grouping, so
 
-1. every split of a file reduces its lines to one step,
-2. a running combination over one row per split tells how each split begins,
-3. the same within every split tells how each line begins,
-4. lines that begin inside a quoted text are glued to the record before, first
-   within the split, then the at most two open pieces of every split.
-
-Splits are shuffled once, by split; a line stands in the split it begins in.
+1. every chunk of a split, of at most ``CHUNK_LINES`` lines, reduces its lines to one step,
+2. a running combination over one row per chunk tells how each chunk begins,
+3. chunks that begin outside of quoted text and never open one hold a record a line:
+   these lines go on where they are read,
+4. in the others the same combination tells how each line begins,
+5. lines that begin inside a quoted text are glued to the record before, first
+   within the chunk, then the at most two open pieces of every chunk.
+
+Only chunks with breaks in quoted text are shuffled, once, by chunk; a line stands in
+the split it begins in.  Both scans have to cut the files alike: a line that the first
+scan did not see in the same place is an error.
 """
 
 from __future__ import annotations
@@ -19,7 +23,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
-SPLIT = ("_file", "_block")
+# consecutive lines of a split that are looked at together
+CHUNK_LINES = 1 << 16
+CHUNK = ("_file", "_block", "_length", "_chunk")
+PLACE = ("_block", "_chunk")
+MOVED = (
+    "the files were cut into other splits the second time they were read; "
+    "set spark.sql.files.minPartitionNum, so that the number of executors does not matter"
+)
 QUOTE = '"'
 # what the next quote of a line does: nothing, end a quoted text, or begin one if nothing is before it
 STRAY, INSIDE, FRESH = 0, 1, 2
@@ -66,10 +77,13 @@ def _with_ends(steps: DataFrame, order: WindowSpec, begin: Column) -> DataFrame:
     )
 
 
-def _split_begins(steps: DataFrame) -> DataFrame:
-    """How every split begins: one row per split, from one step per split."""
+def _chunks(steps: DataFrame) -> DataFrame:
+    """How every chunk begins, whether a record is a line in it, where it and its file's header are.
+
+    One row per chunk, from one step per chunk.
+    """
     swapping = F.struct("_at", "_settles", "_swaps")
-    # only lines that do something, in order; a split holds its own and no more
+    # only lines that do something, in order; a chunk holds its own and no more
     acting = F.when(F.col("_settles").isNotNull() | (F.col("_swaps") == 1), swapping)
 
     def join(step: Column, line: Column) -> Column:
@@ -78,12 +92,29 @@ def _split_begins(steps: DataFrame) -> DataFrame:
         return F.struct(settles.alias("settles"), swaps.alias("swaps"))
 
     nothing = F.struct(F.lit(None).cast("int").alias("settles"), F.lit(0).alias("swaps"))
-    splits = steps.groupBy(*SPLIT).agg(F.array_sort(F.collect_list(acting)).alias("_acting"))
-    reduced = splits.withColumn("_step", F.aggregate("_acting", nothing, join)).select(
-        *SPLIT, F.col("_step.settles").alias("_settles"), F.col("_step.swaps").alias("_swaps")
+    chunks = steps.groupBy(*CHUNK).agg(
+        F.array_sort(F.collect_list(acting)).alias("_acting"),
+        F.max(F.coalesce("_settles", "_swaps")).alias("_opens"),
+        F.min("_at").alias("_from"),
+        F.max("_at").alias("_to"),
+        F.min(F.when(~_blank(), F.col("_at"))).alias("_filled"),
     )
-    in_file = Window.partitionBy("_file").orderBy("_block")
-    return _with_ends(reduced, in_file, F.lit(0)).select(*SPLIT, F.col("_begins").alias("_split_begins"))
+    reduced = chunks.withColumn("_step", F.aggregate("_acting", nothing, join)).select(
+        *CHUNK, "_opens", "_from", "_to", "_filled", F.col("_step.settles").alias("_settles"), F.col("_step.swaps").alias("_swaps")
+    )
+    in_file = Window.partitionBy("_file").orderBy(*PLACE)
+    return _with_ends(reduced, in_file, F.lit(0)).select(
+        *CHUNK,
+        "_from",
+        "_to",
+        F.col("_begins").alias("_chunk_begins"),
+        ((F.col("_begins") == 0) & (F.col("_opens") == 0)).alias("_by_line"),
+        F.first("_filled", ignorenulls=True).over(in_file).alias("_head"),
+    )
+
+
+def _blank() -> Column:
+    return F.col("_line").isin("", "\r")
 
 
 def _glued(lines: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -93,14 +124,34 @@ def _glued(lines: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
         F.array_join(F.transform(parts, lambda part: part["_line"]), "\n").alias("_line"),
         F.min_by("_begins", F.struct(*order)).alias("_begins"),
         F.max_by("_ends", F.struct(*order)).alias("_ends"),
+        F.max("_header").alias("_header"),
     )
 
 
+def _joined(lines: DataFrame, sep: str) -> DataFrame:
+    """The records of chunks whose quoted text holds line breaks."""
+    in_chunk = Window.partitionBy(*CHUNK).orderBy("_at")
+    placed = _with_ends(_steps(lines, sep), in_chunk, F.col("_chunk_begins"))
+    placed = placed.where((F.col("_begins") == 1) | ~_blank())
+    numbered = placed.withColumn("_record", F.sum(1 - F.col("_begins")).over(in_chunk)).select(
+        *CHUNK, "_record", "_at", "_begins", "_ends", "_header", "_line"
+    )
+
+    one_line = (F.col("_begins") == 0) & (F.col("_ends") == 0)
+    found = ["_file", "_header", "_line"]
+    pieces = _glued(numbered.where(~one_line), [*CHUNK, "_record"], ["_at"])
+    # at most two open pieces per chunk: records that go on over its borders
+    in_file = Window.partitionBy("_file").orderBy(*PLACE, "_record")
+    opened = pieces.where(~one_line).withColumn("_whole", F.sum(1 - F.col("_begins")).over(in_file))
+    across = _glued(opened, ["_file", "_whole"], [*PLACE, "_record"]).select(found)
+    return numbered.where(one_line).select(found).unionByName(pieces.where(one_line).select(found)).unionByName(across)
+
+
 def records(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """The records of the files at ``path`` as text: ``_file``, ``_block``, ``_record`` and ``_line``.
+    """The records of the files at ``path`` as text: ``_file``, ``_header`` and ``_line``.
 
-    Records end at ``\\n`` or ``\\r\\n`` outside quoted text.  ``_record`` counts from 1 in
-    the split ``_block`` where a record begins.  Empty lines between records are skipped.
+    Records end at ``\\n`` or ``\\r\\n`` outside quoted text; empty lines between them are
+    skipped.  ``_header`` tells the first record of a file.
     """
     lines = (
         spark.read.option("lineSep", "\n")
@@ -108,39 +159,20 @@ def records(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
         .select(
             F.col("_metadata.file_path").alias("_file"),
             F.col("_metadata.file_block_start").alias("_block"),
+            F.col("_metadata.file_block_length").alias("_length"),
             F.monotonically_increasing_id().alias("_at"),
             F.col("value").alias("_line"),
         )
+        .withColumn("_chunk", F.col("_at").cast("long") - F.pmod("_at", F.lit(CHUNK_LINES)))
     )
-    steps = _steps(lines, sep)
-    in_split = Window.partitionBy(*SPLIT).orderBy("_at")
-    placed = _with_ends(steps.join(_split_begins(steps), list(SPLIT)), in_split, F.col("_split_begins"))
-    placed = placed.where((F.col("_begins") == 1) | ~F.col("_line").isin("", "\r"))
-    numbered = placed.withColumn("_record", F.sum(1 - F.col("_begins")).over(in_split)).select(
-        *SPLIT, "_record", "_at", "_begins", "_ends", "_line"
-    )
-
-    one_line = (F.col("_begins") == 0) & (F.col("_ends") == 0)
-    key = [*SPLIT, "_record"]
-    pieces = _glued(numbered.where(~one_line), key, ["_at"])
-    # at most two open pieces per split: records that go on over its borders
-    in_file = Window.partitionBy("_file").orderBy("_block", "_record")
-    opened = pieces.where(~one_line).withColumn("_whole", F.sum(1 - F.col("_begins")).over(in_file))
-    first = F.struct("_block", "_record")
-    across = (
-        opened.groupBy("_file", "_whole")
-        .agg(
-            F.min(first).alias("_first"),
-            F.array_sort(F.collect_list(F.struct("_block", "_record", "_line"))).alias("_parts"),
-        )
-        .select(
-            "_file",
-            "_first.*",
-            F.array_join(F.transform("_parts", lambda part: part["_line"]), "\n").alias("_line"),
-        )
-    )
-    whole = numbered.where(one_line).select(*key, "_line")
-    found = whole.unionByName(pieces.where(one_line).select(*key, "_line")).unionByName(across)
+    known = lines.join(F.broadcast(_chunks(_steps(lines, sep))), list(CHUNK), "left")
+    by_line = F.when(F.col("_at").between(F.col("_from"), F.col("_to")), F.col("_by_line"))
+    known = known.withColumn("_by_line", F.coalesce(by_line, F.raise_error(F.lit(MOVED)).cast("boolean")))
+    known = known.withColumn("_header", F.col("_at").eqNullSafe(F.col("_head")))
+    # text of the answer, so that what a reader filters or casts never meets a line that is no record
+    record = F.when(F.col("_by_line"), F.col("_line")).alias("_line")
+    alone = known.where(F.col("_by_line") & ~_blank()).select("_file", "_header", record)
+    found = alone.unionByName(_joined(known.where(~F.col("_by_line")), sep))
     # a record that ends at CR LF has its quoted line breaks as LF, as the reader of whole files does
     plain = F.regexp_replace(F.replace("_line", F.lit("\r\n"), F.lit("\n")), "\r$", "")
     return found.withColumn("_line", F.when(F.col("_line").endswith("\r"), plain).otherwise(F.col("_line")))
@@ -150,6 +182,8 @@ def read_quoted_csv(spark: SparkSession, path: str, options: dict[str, str], nam
     """All columns as text, named ``names``; the first record of every file is its header."""
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
     found = records(spark, path, options.get("sep", ","))
-    rows = found.where((F.col("_block") > 0) | (F.col("_record") > 1))
-    parsed = rows.select(F.from_csv("_line", schema, options).alias("_row"))
+    rows = found.where(~F.col("_header"))
+    # a filter may be moved below the one above, and must not meet a header's text then
+    line = F.when(~F.col("_header"), F.col("_line"))
+    parsed = rows.select(F.from_csv(line, schema, options).alias("_row"))
     return parsed.select(*[F.col(f"_row.c{i}").alias(name) for i, name in enumerate(names)])

@@ -133,3 +133,52 @@ def test_one_file_is_read_by_many_tasks(spark, tmp_path, splits):
     assert "SinglePartition" not in text and "BroadcastNestedLoop" not in text and "Python" not in text
     assert spark.read.text(str(path)).rdd.getNumPartitions() > 15
     assert "review_comment" not in text and "CsvToStructs" in text.replace("from_csv", "CsvToStructs")
+
+
+@pytest.mark.parametrize("lines", [1, 2, 7])
+def test_chunks_of_few_lines(spark, tmp_path, splits, monkeypatch, lines):
+    """Records, blank lines and headers at every place of a chunk."""
+    monkeypatch.setattr(quoted_csv, "CHUNK_LINES", lines)
+    chance = random.Random(lines)
+    (tmp_path / "a.csv").write_text(made(chance, 60), encoding="utf-8", newline="")
+    (tmp_path / "b.csv").write_text("\n" * 9 + "id,note,x\n\n\n1,a,b\n", newline="")
+    splits(200)
+    got, want, n = both(spark, str(tmp_path))
+    assert got == want and len(got) == 61 and n > 3
+
+
+def test_only_chunks_with_breaks_are_shuffled(spark, tmp_path, monkeypatch):
+    """Lines that are records go on where they are read, also such with quotes."""
+    monkeypatch.setattr(quoted_csv, "CHUNK_LINES", 16)
+    joined, met = quoted_csv._joined, []
+
+    def counted(lines, sep):
+        met.append(lines.count())
+        return joined(lines, sep)
+
+    monkeypatch.setattr(quoted_csv, "_joined", counted)
+    rows = [f'{i},"note, {i}",x' for i in range(1000)]
+    (tmp_path / "t.csv").write_text("id,note,x\n" + "\n".join(rows) + "\n")
+    got, want, _ = both(spark, str(tmp_path))
+    assert got == want and met == [0]
+    rows[500] = '500,"note\n500",x'
+    (tmp_path / "t.csv").write_text("id,note,x\n" + "\n".join(rows) + "\n")
+    got, want, _ = both(spark, str(tmp_path))
+    assert got == want and 2 <= met[1] <= 32
+
+
+def test_a_cast_meets_records_only(spark, tmp_path):
+    """Neither a header nor a line of a longer text, wherever the filter is moved."""
+    (tmp_path / "t.csv").write_text('id,note,x\n1,"a\nb\nc",y\n2,d,z\n')
+    text = read_csv_text(spark, str(tmp_path), multi_line=True)
+    numbers = text.select(F.col("id").cast("int").alias("id")).where("id IS NOT NULL")
+    keys = spark.range(5).withColumnRenamed("id", "key")
+    assert sorted(r.id for r in numbers.join(keys, F.col("id") == F.col("key")).collect()) == [1, 2]
+
+
+def test_splits_that_move_between_scans_are_an_error(spark, tmp_path, monkeypatch):
+    (tmp_path / "t.csv").write_text("id,note,x\n1,a,b\n2,c,d\n")
+    chunks = quoted_csv._chunks
+    monkeypatch.setattr(quoted_csv, "_chunks", lambda steps: chunks(steps).withColumn("_to", F.col("_to") - 1))
+    with pytest.raises(Exception, match="cut into other splits"):
+        read_csv_text(spark, str(tmp_path), multi_line=True).collect()
