@@ -183,7 +183,6 @@ def read_quoted_csv(spark: SparkSession, path: str, options: dict[str, str], nam
     schema = ", ".join(f"c{i} string" for i in range(len(names)))
     found = records(spark, path, options.get("sep", ","))
     rows = found.where(~F.col("_header"))
-    # a filter may be moved below the one above, and must not meet a header's text then
-    line = F.when(~F.col("_header"), F.col("_line"))
-    parsed = rows.select(F.from_csv(line, schema, options).alias("_row"))
-    return parsed.select(*[F.col(f"_row.c{i}").alias(name) for i, name in enumerate(names)])
+    # a row of its own, so that a line is parsed once, not again for every filter and field read from it
+    parsed = rows.select(F.inline(F.array(F.from_csv("_line", schema, options))))
+    return parsed.toDF(*names)

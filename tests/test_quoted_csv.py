@@ -182,3 +182,13 @@ def test_splits_that_move_between_scans_are_an_error(spark, tmp_path, monkeypatc
     monkeypatch.setattr(quoted_csv, "_chunks", lambda steps: chunks(steps).withColumn("_to", F.col("_to") - 1))
     with pytest.raises(Exception, match="cut into other splits"):
         read_csv_text(spark, str(tmp_path), multi_line=True).collect()
+
+
+def test_a_line_is_parsed_once(spark, tmp_path):
+    """Filters and casts of many fields read the parsed fields."""
+    (tmp_path / "t.csv").write_text("id,note,x\n1,a,b\n2,c,d\n")
+    text = read_csv_text(spark, str(tmp_path), multi_line=True)
+    kept = text.where("id > 0 AND note <> 'c' AND x IS NOT NULL").select(F.col("id").cast("int"), "note", "x")
+    assert [tuple(r) for r in kept.collect()] == [(1, "a", "b")]
+    plan = kept._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("from_csv") + plan.count("csvtostructs") == 1
