@@ -1,18 +1,20 @@
 """Byte-level BPE by a trie of distinct words that share their prefixes' encodings.
 
-The distinct new words of a batch are walked in sorted order, which is the
-depth-first order of their trie.  Each node holds one state: the last token of
-its prefix's encoding.  That token is the only one which ends the prefix and
-stays apart from the last token before it, so a node needs the states above it
-and nothing else, and a prefix shared by many words is encoded once.  A word's
-encoding is read off by jumping from its node back over last tokens.
+The distinct new words of a batch are sorted, so that words with a common prefix
+stand together, and their trie is walked level by level, all nodes of a level at
+once.  Each node holds one state: the last token of its prefix's encoding.  That
+token is the only one which ends the prefix and stays apart from the last token
+before it, so a node needs the states above it and nothing else, and a prefix
+shared by many words is encoded once.  A word's encoding is read off by jumping
+from its node back over last tokens.  Long words, and levels that only a few words
+reach, are not worth it; those words are walked one after another, depth first.
 """
 
 from __future__ import annotations
 
 import json
 from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,15 +24,20 @@ from pyspark.sql import functions as F
 from encore.llm.packing import byte_letters
 from encore.llm.tables import once_per_worker, values
 
-# fixed value: how a byte-level vocabulary of this kind cuts a text into words
+# fixed value: how a byte-level vocabulary of this kind cuts a text into words; letters and
+# numbers begin no contraction, so the commonest come first
 WORDS = (
-    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+"
+    r" ?\p{L}+| ?\p{N}+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\p{White_Space}\p{L}\p{N}]+"
     r"|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
 )
 # words and pairs a task remembers; beyond it the memory starts anew
 REMEMBERED_WORDS = 200_000
 REMEMBERED_PAIRS = 400_000
 LONGEST_REMEMBERED = 48
+# words walked side by side, in bytes and number; levels with fewer than FEW_WORDS are not
+LONGEST_TOGETHER = 256
+MOST_TOGETHER = 1 << 16
+FEW_WORDS = 64
 # texts encoded together, so that their new words share one trie
 BATCH_CHARS = 1 << 20
 
@@ -57,23 +64,67 @@ class Vocabulary:
         self.begins: dict[bytes, list] = {token[:to]: [] for token in self.ids for to in range(1, len(token) + 1)}
 
 
+class Endings:
+    """Reads many strings side by side and knows the tokens that end what was read (Aho-Corasick)."""
+
+    def __init__(self, ids: dict[bytes, int]):
+        prefixes = sorted({token[:to] for token in ids for to in range(len(token) + 1)}, key=len)
+        number = {prefix: state for state, prefix in enumerate(prefixes)}
+        parent = np.array([number[prefix[:-1]] for prefix in prefixes])
+        byte = np.array([prefix[-1] if prefix else 0 for prefix in prefixes])
+        edges = parent[1:] << 8 | byte[1:]
+        order = np.argsort(edges)
+        self.edges, self.targets = edges[order], order + 1
+        self.size = np.fromiter(map(len, prefixes), np.int64, len(prefixes))
+        self.token = np.array([ids.get(prefix, -1) for prefix in prefixes])
+        # the longest other state that ends a state, and the longest that is a token
+        self.fail, self.shorter = np.zeros_like(parent), np.zeros_like(parent)
+        starts = np.searchsorted(self.size, np.arange(2, self.size[-1] + 2))
+        for level in map(slice, starts, starts[1:]):
+            self.fail[level] = fail = self.step(self.fail[parent[level]], byte[level])
+            self.shorter[level] = self.longest(fail)
+
+    def step(self, states: np.ndarray, read: np.ndarray) -> np.ndarray:
+        """The states after one more byte each."""
+        reached = np.zeros_like(states)
+        todo = np.arange(len(states))
+        while len(todo):
+            edges = states << 8 | read
+            at = np.minimum(np.searchsorted(self.edges, edges), len(self.edges) - 1)
+            found = self.edges[at] == edges
+            reached[todo[found]] = self.targets[at[found]]
+            rest = ~found & (states > 0)
+            todo, states, read = todo[rest], self.fail[states[rest]], read[rest]
+        return reached
+
+    def longest(self, states: np.ndarray) -> np.ndarray:
+        """The states of the longest tokens that end what was read."""
+        return np.where(self.token[states] >= 0, states, self.shorter[states])
+
+
 class TrieEncoder:
     """Encodes sets of words; remembers which neighbours stay apart."""
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
         self.apart: dict[int, bool] = {}
+        self.endings = Endings(vocabulary.ids)
+        self.sizes = np.zeros(max(vocabulary.ids.values()) + 1, np.int64)
+        for token, i in vocabulary.ids.items():
+            self.sizes[i] = len(token)
 
     def _merged(self, text: bytes) -> list[int]:
         """The merges in order of rank, for the few bytes of one or two tokens."""
         tokens = [self.vocabulary.ids[text[i : i + 1]] for i in range(len(text))]
         merges = self.vocabulary.merges
         while len(tokens) > 1:
-            found = [(merges[pair], i) for i, pair in enumerate(zip(tokens, tokens[1:])) if pair in merges]
+            pairs = list(zip(tokens, tokens[1:]))
+            found = [pair for pair in pairs if pair in merges]
             if not found:
                 break
-            (_, whole), at = min(found, key=lambda x: (x[0][0], x[1]))
-            tokens[at : at + 2] = [whole]
+            first = min(found, key=merges.__getitem__)
+            at = pairs.index(first)
+            tokens[at : at + 2] = [merges[first][1]]
         return tokens
 
     def _stay_apart(self, left: int, right: int) -> bool:
@@ -84,6 +135,8 @@ class TrieEncoder:
             token_bytes = self.vocabulary.bytes
             if left < 0:
                 known = self._merged(token_bytes[right]) == [right]
+            elif (left, right) in self.vocabulary.merges:
+                known = False
             else:
                 known = self._merged(token_bytes[left] + token_bytes[right]) == [left, right]
             if len(self.apart) >= REMEMBERED_PAIRS:
@@ -99,13 +152,83 @@ class TrieEncoder:
         self.vocabulary.begins[tail] = found
         return found
 
-    def encode(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, bytes]]:
-        """Each distinct word with its ids as native 32-bit integers."""
+    def _all_stay_apart(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        keys = (left.astype(np.int64) << 20 | right).tolist()
+        known = list(map(self.apart.get, keys))
+        if None in known:
+            known = [self._stay_apart(key >> 20, key & 0xFFFFF) if k is None else k for key, k in zip(keys, known)]
+        return np.array(known, bool)
+
+    def encode(self, words: list[bytes]) -> list[bytes]:
+        """The ids of sorted distinct words, as native 32-bit integers."""
+        coded = []
+        for begin in range(0, len(words), MOST_TOGETHER):
+            some = words[begin : begin + MOST_TOGETHER]
+            sizes = sorted(map(len, some), reverse=True)
+            longest = min(sizes[FEW_WORDS - 1], LONGEST_TOGETHER) if len(some) >= FEW_WORDS else 0
+            together = self._walk_together([word for word in some if len(word) <= longest])
+            alone = [at for at, word in enumerate(some) if len(word) > longest]
+            for at, ids in zip(alone, self.walk([some[at] for at in alone])):
+                together.insert(at, ids)
+            coded += together
+        return coded
+
+    def _walk_together(self, words: list[bytes]) -> list[bytes]:
+        """The same, all nodes of a level at once."""
+        endings = self.endings
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        read = np.frombuffer(b"".join(words), np.uint8)
+        starts = np.cumsum(sizes) - sizes
+        # one last token for each prefix of each word, its empty prefix first
+        roots = starts + np.arange(len(words))
+        last = np.full(len(read) + len(words), -1, np.int32)
+        going = np.arange(len(words))
+        nodes, states = np.zeros_like(going), np.zeros(1, np.int64)
+        for depth in range(1, sizes.max(initial=0) + 1):
+            longer = sizes[going] >= depth
+            going, nodes = going[longer], nodes[longer]
+            byte = read[starts[going] + depth - 1].astype(np.int64)
+            new = np.ones(len(going), bool)
+            new[1:] = (nodes[1:] != nodes[:-1]) | (byte[1:] != byte[:-1])
+            states = endings.step(states[nodes[new]], byte[new])
+            nodes = np.cumsum(new) - 1
+            ends, found = (roots[going] + depth)[new], np.full(len(states), -1)
+            todo, tried = np.arange(len(states)), endings.longest(states)
+            while len(todo):
+                token = endings.token[tried]
+                fits = self._all_stay_apart(last[ends[todo] - endings.size[tried]], token)
+                found[todo[fits]] = token[fits]
+                todo, tried = todo[~fits], endings.shorter[tried[~fits]]
+                if not tried.all():
+                    raise ValueError("no token ends a prefix as merged: these merges are no byte-pair encoding")
+            last[roots[going] + depth] = found[nodes]
+        return self._read_off(roots, sizes, last)
+
+    def _read_off(self, roots: np.ndarray, sizes: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """The ids of every word."""
+        going, at, found = np.flatnonzero(sizes), sizes[sizes > 0], []
+        while len(going):
+            tokens = last[roots[going] + at]
+            found.append((going, tokens))
+            at = at - self.sizes[tokens]
+            going, at = going[at > 0], at[at > 0]
+        counts = np.zeros(len(roots), np.int64)
+        for some, _ in found:
+            counts[some] += 1
+        ends = np.cumsum(counts)
+        ids = np.zeros(counts.sum(), np.int32)
+        for back, (some, tokens) in enumerate(found, 1):
+            ids[ends[some] - back] = tokens
+        coded = ids.tobytes()
+        return [coded[begin:end] for begin, end in zip((4 * (ends - counts)).tolist(), (4 * ends).tolist())]
+
+    def walk(self, words: list[bytes]) -> Iterator[bytes]:
+        """The same, one word after another."""
         begins, known, ask = self.vocabulary.begins, self.apart, self._stay_apart
         token_bytes = self.vocabulary.bytes
         path, before = [-1], b""  # states from the root to the last word's node
         tails = [b""]  # and the longest end of each prefix that begins a token
-        for word in sorted(set(words)):
+        for word in words:
             shared = 0
             for a, b in zip(word, before):
                 if a != b:
@@ -127,7 +250,7 @@ class TrieEncoder:
             while at:
                 ids.append(path[at])
                 at -= len(token_bytes[path[at]])
-            yield word, array("i", reversed(ids)).tobytes()
+            yield array("i", reversed(ids)).tobytes()
 
 
 class TextEncoder:
@@ -156,8 +279,8 @@ class TextEncoder:
         if len(self.known) + len(fresh) > REMEMBERED_WORDS:
             self.known = dict(self.special)
             fresh = set().union(*cut).difference(self.known)
-        by_bytes = {word.encode(): word for word in fresh}
-        self.known.update((by_bytes[word], ids) for word, ids in self.trie.encode(by_bytes))
+        ordered = sorted(fresh)  # as their bytes
+        self.known.update(zip(ordered, self.trie.encode([word.encode() for word in ordered]), strict=True))
         look = self.known.__getitem__
         coded = [b"".join(map(look, words)) for words in cut]
         for word in fresh:

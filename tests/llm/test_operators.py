@@ -3,6 +3,7 @@
 import os
 import random
 import sys
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -345,6 +346,53 @@ def test_bpe_of_odd_words():
         assert np.frombuffer(ids, np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def odd_words(count, seed):
+    """Distinct words: tokens side by side, few different bytes (also no UTF-8), many scripts, some long."""
+    draw, pool = random.Random(seed), sorted(byte_bpe.Vocabulary(vocabulary(BYTE_BPE), merging=False).ids)
+    makes = [
+        lambda: b"".join(draw.choices(pool, k=draw.randint(1, 6))),
+        lambda: bytes(draw.choices(b"aetin \x00\xff\xe3\x81", k=draw.randint(1, 30))),
+        lambda: "".join(draw.choices("abcdefghij \u00e9\u00fc\u65e5\u672c\u8a9e\U0001f642", k=draw.randint(1, 40))).encode(),
+    ]
+    words = {draw.choice(makes)() for _ in range(count)}
+    return sorted(words | {b"a" * 3000, b"\x00", b"\x00\x00", b"a", b"a\x00"})
+
+
+def test_words_encoded_together_equal_words_one_by_one(monkeypatch):
+    encoder = byte_bpe.TrieEncoder(byte_bpe.Vocabulary(vocabulary(BYTE_BPE)))
+    words = odd_words(2000, 1)
+    one_by_one = list(encoder.walk(words))
+    assert len(one_by_one) == len(words) and list(encoder.encode(words)) == one_by_one
+    for some in ([], words[:1], words[: byte_bpe.FEW_WORDS], words[-byte_bpe.FEW_WORDS - 1 :]):
+        assert list(encoder.encode(some)) == list(encoder.walk(some))
+    monkeypatch.setattr(byte_bpe, "MOST_TOGETHER", 300)
+    monkeypatch.setattr(byte_bpe, "LONGEST_TOGETHER", 20)
+    assert list(encoder.encode(words)) == one_by_one
+
+
+def test_many_new_words_equal_the_library():
+    from tokenizers import Tokenizer
+
+    path, draw = vocabulary(BYTE_BPE), random.Random(2)
+    words = [word.decode("utf-8", "replace") for word in odd_words(2000, 3)] + ["it's", "'ll", "x'd9'", "\u00b2\u0663"]
+    texts = [draw.choice(["", " ", "\n", "  "]).join(draw.choices(words, k=9)) for _ in range(300)]
+    library, encoder = Tokenizer.from_file(path), byte_bpe.TextEncoder(path)
+    for text, ids in zip(texts, encoder.encode(texts), strict=True):
+        assert np.frombuffer(ids, np.int32).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_new_words_cost_less_together_than_one_by_one():
+    encoder, draw = byte_bpe.TrieEncoder(byte_bpe.Vocabulary(vocabulary(BYTE_BPE))), random.Random(4)
+    parts = ["the", "on", "ing", "er", "tion", "and", "re", "un", "st", "ble", "wh", "ou"]
+    words = sorted({" ".join(["", "".join(draw.choices(parts, k=5))]).encode() for _ in range(20_000)})
+    took = []
+    for encode in (encoder.walk, encoder.encode, encoder.walk, encoder.encode):  # pairs are learnt in the first
+        before = time.process_time()
+        list(encode(words))
+        took.append(time.process_time() - before)
+    assert 1.5 * took[3] < took[2]
+
+
 def test_surrogates(docs):
     out = {r.doc_id: r for r in pii.replace(docs, b"k").collect()}
     assert out[5].text is None and out[2].text == cases.ROWS[3][1] and out[12].kept == "own"
